@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopover.functions.times import gap_minutes, local_time, minutes_between
+from stopover.operators.groups import largest_group
 from stopover.operators.summary import LEG_KEYS
 from stopover.session import staged
 
@@ -29,8 +30,7 @@ def lead_in_order(
     group beyond ``hot_rows``, the rows are cut into ranges instead, and the
     last row of a range takes its values from the first row of the next one.
     """
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= hot_rows:
+    if largest_group(df, keys) <= hot_rows:
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({n: F.lead(c).over(window) for n, c in values.items()})
     return _lead_over_ranges(df, keys, order, values)

@@ -1,0 +1,14 @@
+"""How large the groups of a table are."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def largest_group(df: DataFrame, keys: list[str]) -> int:
+    """Rows of the largest group of ``keys``.
+
+    Runs one job, which reads the key columns only and counts before it shuffles.
+    """
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopover.functions.stops import intermediate_stops, layover_text, stop_count
+from stopover.operators.groups import largest_group
 from stopover.schema import SUMMARY_COLUMNS
 
 #: What tells one leg of one itinerary from another.
@@ -15,6 +16,9 @@ LEG_KEYS = ["fetch_date", "itinerary_id", "leg_id", "leg_pos"]
 #: itineraries of one day may fall together.
 PRICE_KEYS = ["fetch_date", "formattedPrice", "departure"]
 
+#: Segments of one group that may be gathered into one row.
+HOT_ROWS = 100_000
+
 
 def summarise_legs(legs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Summary of each row's ``segments`` array; a narrow job without a shuffle.
@@ -40,43 +44,71 @@ def summarise_legs(legs: DataFrame, carry: list[str] | None = None) -> DataFrame
 
 
 def summarise_groups(
-    segments: DataFrame, keys: list[str], position: list[str], carry: list[str]
+    segments: DataFrame,
+    keys: list[str],
+    position: list[str],
+    carry: list[str],
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """End points and stops per group of ``keys``, and ``carry`` of its first segment.
 
-    A group is never gathered as it is: the first aggregation leaves one row
-    per group and airport, with the places where that airport comes first and
-    last, so a group with very many segments shrinks before it is shuffled.
+    A group usually has a few rows, which are gathered and put in order. Where
+    a count finds a group beyond ``hot_rows``, no group is gathered: a first
+    aggregation leaves one row per group and airport, with the places where
+    that airport comes first and last, before anything is shuffled.
     """
-    place = F.struct(*position)
+    if largest_group(segments, keys) <= hot_rows:
+        return _with_stops(_gathered(segments, keys, position, carry))
+    return _with_stops(_by_airport(segments, keys, position, carry))
+
+
+def _gathered(
+    segments: DataFrame, keys: list[str], position: list[str], carry: list[str]
+) -> DataFrame:
+    row = F.struct(*position, "originCode", "destinationCode", *carry)
+    grouped = segments.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    head = F.element_at("_rows", 1)
+    codes = F.transform("_rows", lambda r: r["destinationCode"])
+    return grouped.select(
+        *keys,
+        *[head[c].alias(c) for c in carry],
+        head["originCode"].alias("origin"),
+        F.element_at("_rows", -1)["destinationCode"].alias("destination"),
+        F.filter(codes, lambda code: code.isNotNull()).alias("_visited"),
+    )
+
+
+def _by_airport(
+    segments: DataFrame, keys: list[str], position: list[str], carry: list[str]
+) -> DataFrame:
     airports = segments.groupBy(*keys, F.col("destinationCode").alias("_code")).agg(
         F.min(F.struct(*position, "originCode", *carry)).alias("_head"),
-        F.min(place).alias("_first"),
-        F.max(place).alias("_last"),
+        F.max(F.struct(*position)).alias("_last"),
+    )
+    first = F.struct(*[F.col(f"_head.{p}") for p in position])
+    seen = F.when(F.col("_code").isNotNull(), F.struct(first.alias("_first"), "_code"))
+    grouped = airports.groupBy(*keys).agg(
+        F.min("_head").alias("_head"),
+        F.max_by("_code", "_last").alias("destination"),
+        F.array_sort(F.collect_list(seen)).alias("_seen"),
     )
-    seen = F.when(F.col("_code").isNotNull(), F.struct("_first", "_code"))
-    return _with_stops(
-        airports.groupBy(*keys)
-        .agg(
-            F.min("_head").alias("_head"),
-            F.max_by("_code", "_last").alias("destination"),
-            F.array_sort(F.collect_list(seen)).alias("_seen"),
-        )
-        .select(
-            *keys,
-            *[F.col(f"_head.{c}").alias(c) for c in carry],
-            F.col("_head.originCode").alias("origin"),
-            "destination",
-            F.transform("_seen", lambda s: s["_code"]).alias("_visited"),
-        )
+    return grouped.select(
+        *keys,
+        *[F.col(f"_head.{c}").alias(c) for c in carry],
+        F.col("_head.originCode").alias("origin"),
+        "destination",
+        F.transform("_seen", lambda s: s["_code"]).alias("_visited"),
     )
 
 
-def summarise_segments(segments: DataFrame, keys: list[str], position: list[str]) -> DataFrame:
+def summarise_segments(
+    segments: DataFrame, keys: list[str], position: list[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """The summary from flat segments, grouped by ``keys``, in order of ``position``."""
     of_first = [c for c in SUMMARY_COLUMNS if c in segments.columns and c not in keys]
     further = [k for k in keys if k not in SUMMARY_COLUMNS]
-    return summarise_groups(segments, keys, position, of_first).select(*further, *SUMMARY_COLUMNS)
+    groups = summarise_groups(segments, keys, position, of_first, hot_rows)
+    return groups.select(*further, *SUMMARY_COLUMNS)
 
 
 def _with_stops(groups: DataFrame) -> DataFrame:

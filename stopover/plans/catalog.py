@@ -31,8 +31,8 @@ from stopover.schema import (
 from stopover.session import fresh_path
 from stopover.sources import sinks
 from stopover.sources.snapshots import (
-    accepted, discover_snapshots, folder_date, merge_report, missing_snapshots, read_id_lists,
-    read_snapshots, rejected, snapshot_report, union_by_name,
+    accepted, discover_snapshots, merge_report, outcome_report, read_id_lists, read_snapshots,
+    snapshot_states, union_by_name,
 )
 from stopover.streaming.ingest import ingest_new_files
 
@@ -134,13 +134,7 @@ def empty_snapshot_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = [nested.landing(spark, sf_dir), _failed_days(spark, sf_dir)]
     found = accepted(read_snapshots(spark, paths))
     expected = union_by_name([_days(spark, sf_dir, d) for d in ("-01-01", "-01-02", "-01-03")])
-    report = snapshot_report(found).select(
-        "fetch_date", "itineraries", "status",
-        F.when(F.col("is_empty"), "empty").otherwise("full").alias("state"))
-    missing = missing_snapshots(expected, found).select(
-        "fetch_date", F.lit(0).cast("bigint").alias("itineraries"), F.lit("").alias("status"),
-        F.lit("missing").alias("state"))
-    return union_by_name([report, missing])
+    return snapshot_states(expected, found)
 
 
 def _cut_records(spark: SparkSession, sf_dir: str) -> str:
@@ -165,13 +159,7 @@ def fault_isolated_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = [f(spark, sf_dir) for f in (nested.landing, _stray_records)]
     snapshots = read_snapshots(
         spark, [*paths, _cut_records(spark, sf_dir)], files="*.{json,txt}")
-    good = accepted(snapshots).groupBy("fetch_date").agg(F.count("data").alias("records"))
-    bad = rejected(snapshots).groupBy(
-        F.coalesce(folder_date(F.col("file_path")), F.lit("none")).alias("fetch_date"), "reason",
-    ).agg(F.count("*").alias("records"))
-    return union_by_name([
-        good.withColumn("reason", F.lit("accepted")), bad,
-    ]).select("fetch_date", "reason", "records")
+    return outcome_report(snapshots)
 
 
 _OPERATING = (

@@ -137,6 +137,58 @@ select fetch_date, record_id, true as status, total_results,
        cast(total_results as integer) as itineraries
 from records"""
 
+# Types of the nested store, from the innermost level out.
+_SEGMENT_TYPE = (
+    "struct<flightNumber:string,departure:string,arrival:string,"
+    "marketingCarrier:struct<name:string>,operatingCarrier:struct<name:string>,"
+    "origin:struct<displayCode:string>,destination:struct<displayCode:string>>")
+_LEG_TYPE = (
+    "struct<id:string,departure:string,arrival:string,durationInMinutes:bigint,"
+    f"stopCount:bigint,segments:array<{_SEGMENT_TYPE}>>")
+_ITINERARY_TYPE = (
+    f"struct<id:string,price:struct<raw:double,formatted:string>,legs:array<{_LEG_TYPE}>>")
+_CONTEXT_TYPE = "struct<status:string,sessionId:string,totalResults:bigint>"
+
+# Path, type and the table whose rows hold one value each.
+_PATHS = [
+    ("status", "boolean", "records"),
+    ("message", "string", "records"),
+    ("data", f"struct<context:{_CONTEXT_TYPE},itineraries:array<{_ITINERARY_TYPE}>>", "records"),
+    ("data.context", _CONTEXT_TYPE, "records"),
+    ("data.context.status", "string", "records"),
+    ("data.context.sessionId", "string", "records"),
+    ("data.context.totalResults", "bigint", "records"),
+    ("data.itineraries", f"array<{_ITINERARY_TYPE}>", "records"),
+    ("data.itineraries.id", "string", "pages"),
+    ("data.itineraries.price", "struct<raw:double,formatted:string>", "pages"),
+    ("data.itineraries.price.raw", "double", "pages"),
+    ("data.itineraries.price.formatted", "string", "pages"),
+    ("data.itineraries.legs", f"array<{_LEG_TYPE}>", "pages"),
+    ("data.itineraries.legs.id", "string", "legs"),
+    ("data.itineraries.legs.departure", "string", "legs"),
+    ("data.itineraries.legs.arrival", "string", "legs"),
+    ("data.itineraries.legs.durationInMinutes", "bigint", "legs"),
+    ("data.itineraries.legs.stopCount", "bigint", "legs"),
+    ("data.itineraries.legs.segments", f"array<{_SEGMENT_TYPE}>", "legs"),
+    ("data.itineraries.legs.segments.flightNumber", "string", "segs"),
+    ("data.itineraries.legs.segments.departure", "string", "segs"),
+    ("data.itineraries.legs.segments.arrival", "string", "segs"),
+    ("data.itineraries.legs.segments.marketingCarrier", "struct<name:string>", "segs"),
+    ("data.itineraries.legs.segments.marketingCarrier.name", "string", "segs"),
+    ("data.itineraries.legs.segments.operatingCarrier", "struct<name:string>", "segs"),
+    ("data.itineraries.legs.segments.operatingCarrier.name", "string", "segs"),
+    ("data.itineraries.legs.segments.origin", "struct<displayCode:string>", "segs"),
+    ("data.itineraries.legs.segments.origin.displayCode", "string", "segs"),
+    ("data.itineraries.legs.segments.destination", "struct<displayCode:string>", "segs"),
+    ("data.itineraries.legs.segments.destination.displayCode", "string", "segs"),
+]
+
+_INTROSPECTION = f"""with {_RECORDS},
+legs as (select distinct l_orderkey, leg_no from segs)
+""" + "\nunion all ".join(
+    f"select '{path}' as path, '{kind}' as type, count(*) as present from {source}"
+    for path, kind, source in _PATHS)
+
 ORACLE = {
     "snapshot_discovery": f"with {_ORDERS} select distinct fetch_date from orders_",
     "json_scan": _JSON_SCAN,
@@ -152,7 +204,7 @@ from records group by fetch_date
 union all select y || '-01-02', 0, 'failure', 'empty' from years
 union all select y || '-01-03', 0, '', 'missing' from years""",
     "fault_isolated_read": f"""with {_RECORDS}
-select fetch_date, 'accepted' as reason, count(*) as records from records group by fetch_date
+select fetch_date, 'accepted' as outcome, count(*) as records from records group by fetch_date
 union all
 select fetch_date, 'malformed record', count(*) from records group by fetch_date
 union all
@@ -170,7 +222,8 @@ union all select n_name, n_nationkey, null, null from nation""",
 select 'kept' as measure, cast(0 as bigint) as value
 union all select 'rejected', count(*) from records
 union all select 'summary rows', 0""",
-    "id_list_scan": f"""
+    "schema_introspection": _INTROSPECTION,
+    "id_list_scan": """
 select cast(row_number() over (partition by doc_id // 500 order by doc_id) - 1 as integer) as rank,
        doc_id as id
 from (select distinct doc_id from documents)""",

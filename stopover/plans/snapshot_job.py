@@ -10,6 +10,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stopover.functions.times import date_key
 from stopover.operators.flatten import explode_itineraries, explode_legs, flatten_segments
 from stopover.operators.summary import distinct_segments, summarise_legs
 from stopover.schema import ENVELOPE, FULL_ENVELOPE, SEGMENT_COLUMNS, SUMMARY_SCHEMA
@@ -17,7 +18,7 @@ from stopover.sources.sinks import (
     replace_snapshots, write_csv, write_json, write_parquet, write_partitioned,
 )
 from stopover.sources.snapshots import (
-    accepted, latest_itineraries, merge_report, read_snapshots, rejected, snapshot_report,
+    LINEAGE, accepted, latest_itineraries, merge_report, read_snapshots, rejected, snapshot_report,
 )
 
 
@@ -28,10 +29,15 @@ def merge_snapshots(spark: SparkSession, landing: str, store: str) -> DataFrame:
     return open_store(spark, store)
 
 
-def open_store(spark: SparkSession, store: str) -> DataFrame:
-    """The merged store, with the day as text as in a scan of the landing folder."""
-    return spark.read.parquet(store).withColumn(
-        "fetch_date", F.date_format("fetch_date", "yyyy-MM-dd"))
+def open_store(spark: SparkSession, store: str, schema: str = ENVELOPE) -> DataFrame:
+    """The merged store, with the day as text as in a scan of the landing folder.
+
+    Spark prunes nested columns up to the first explode only; the schema given
+    here is what keeps all other nested fields unread.
+    """
+    stored = f"{schema}, {LINEAGE}, fetch_date date"
+    return spark.read.schema(stored).parquet(store).withColumn(
+        "fetch_date", date_key(F.col("fetch_date")))
 
 
 def itinerary_summary(envelopes: DataFrame) -> DataFrame:

@@ -117,39 +117,46 @@ def has_path(df: DataFrame, path: str) -> bool:
     return any(found == path for found, _, _ in schema_paths(df.schema))
 
 
-def _each(structs: Column, name: str) -> Column:
-    return F.transform(structs, lambda s: s[name])
-
-
-def _values(value: Column, data_type: T.DataType, prefix: str) -> list[tuple[str, str, Column]]:
-    """For each path, an array column of the values one record holds there."""
-    found = []
-    for field in data_type.fields:
-        path, inner = f"{prefix}{field.name}", field.dataType
-        here = F.filter(_each(value, field.name), lambda v: v.isNotNull())
-        found.append((path, inner.simpleString(), here))
-        while isinstance(inner, T.ArrayType):
-            here, inner = F.filter(F.flatten(here), lambda v: v.isNotNull()), inner.elementType
-        if isinstance(inner, T.StructType):
-            found += _values(here, inner, f"{path}.")
-    return found
-
-
 def describe_paths(df: DataFrame) -> DataFrame:
     """One row per field: its path, its type, and how many values are present.
 
-    The counts come from one aggregation over the whole of ``df``.
+    Fields of array elements are counted after an explode, so there is one
+    aggregation per array, and no record is blown up in memory.
     """
-    paths = _values(F.array(F.struct("*")), df.schema, "")
-    counts = df.select(*[F.size(v).alias(str(i)) for i, (_, _, v) in enumerate(paths)])
-    totals = counts.agg(*[F.coalesce(F.sum(F.col(str(i))), F.lit(0)).alias(str(i))
-                          for i in range(len(paths))])
-    rows = F.array(*[
+    counted = None
+    for part in _described(df.select(F.struct("*").alias("_at")), df.schema, ""):
+        counted = part if counted is None else counted.unionByName(part)
+    return counted
+
+
+def _described(rows: DataFrame, struct: T.StructType, prefix: str) -> list[DataFrame]:
+    """Counts for the structs in column ``_at``, then for those inside its arrays."""
+    here: list[tuple[str, str, Column]] = []
+    arrays: list[tuple[str, T.DataType, Column]] = []
+
+    def walk(value: Column, inside: T.StructType, start: str) -> None:
+        for field in inside.fields:
+            path, at = f"{start}{field.name}", value[field.name]
+            here.append((path, field.dataType.simpleString(), at))
+            if isinstance(field.dataType, T.StructType):
+                walk(at, field.dataType, f"{path}.")
+            elif isinstance(field.dataType, T.ArrayType):
+                arrays.append((path, field.dataType.elementType, at))
+
+    walk(F.col("_at"), struct, prefix)
+    totals = rows.agg(*[F.count(at).alias(str(i)) for i, (_, _, at) in enumerate(here)])
+    parts = [totals.select(F.inline(F.array(*[
         F.struct(F.lit(path).alias("path"), F.lit(kind).alias("type"),
                  F.col(str(i)).alias("present"))
-        for i, (path, kind, _) in enumerate(paths)
-    ])
-    return totals.select(F.inline(rows))
+        for i, (path, kind, _) in enumerate(here)
+    ])))]
+    for path, element, at in arrays:
+        inner = rows.select(F.explode(at).alias("_at"))
+        while isinstance(element, T.ArrayType):
+            inner, element = inner.select(F.explode("_at").alias("_at")), element.elementType
+        if isinstance(element, T.StructType):
+            parts += _described(inner, element, f"{path}.")
+    return parts
 
 
 def _aligned(value: Column, have: T.DataType | None, want: T.DataType) -> Column:

@@ -20,6 +20,9 @@ DATE = r"\d{4}-\d{2}-\d{2}"
 CORRUPT = "_corrupt_record"
 JSON_FILES = "*.json"
 
+#: Types of the lineage columns, ``fetch_date`` aside.
+LINEAGE = "search_date string, file_path string, landed_at timestamp"
+
 
 def _date_or_null(text: Column) -> Column:
     return F.when(text.rlike(f"^{DATE}$") & text.try_cast("date").isNotNull(), text)
@@ -116,6 +119,26 @@ def snapshot_report(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def snapshot_states(expected: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """The report with a row for each expected day too: full, empty or missing."""
+    both = expected.join(snapshot_report(snapshots), "fetch_date", "full")
+    return both.select(
+        "fetch_date",
+        F.coalesce("itineraries", F.lit(0)).alias("itineraries"),
+        F.coalesce("status", F.lit("")).alias("status"),
+        F.when(F.col("is_empty"), "empty").when(~F.col("is_empty"), "full")
+        .otherwise("missing").alias("state"),
+    )
+
+
+def outcome_report(snapshots: DataFrame) -> DataFrame:
+    """Records per day and outcome, in one scan: accepted, or the reason for the reject."""
+    return snapshots.groupBy(
+        F.coalesce("fetch_date", F.lit("none")).alias("fetch_date"),
+        F.coalesce(_reject_reason(), F.lit("accepted")).alias("outcome"),
+    ).agg(F.count("*").alias("records"))
+
+
 def missing_snapshots(expected: DataFrame, snapshots: DataFrame) -> DataFrame:
     """Days of ``expected`` that no accepted record belongs to."""
     return expected.join(snapshots.select("fetch_date").distinct(), "fetch_date", "left_anti")

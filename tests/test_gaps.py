@@ -1,0 +1,103 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from stopover.functions.times import date_key, local_time, minutes_between
+from stopover.operators.flatten import explode_itineraries, explode_legs, flatten_segments
+from stopover.operators.gaps import (
+    flight_gaps, lead_in_order, leg_connections, segment_connections,
+)
+from stopover.sources.snapshots import accepted, read_snapshots
+from tests.landed import golden_waits
+
+
+def values(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_golden_connections(spark, landing):
+    records = accepted(read_snapshots(spark, landing))
+    nested = leg_connections(explode_legs(explode_itineraries(records)))
+    flat = segment_connections(flatten_segments(records).repartition(5))
+    columns = ["fetch_date", "itinerary_id", "seg_pos", "airport", "minutes"]
+    assert sorted(map(tuple, nested.select(*columns).collect())) == golden_waits()
+    assert sorted(map(tuple, flat.select(*columns).collect())) == golden_waits()
+    assert "Exchange" not in nested._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_minutes_do_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame(
+            [("2025-03-09T01:30:00", "2025-03-09T03:30:59"),  # clocks change in New York
+             ("2025-03-31T23:00:00", "2025-04-02T00:30:00"),
+             ("2025-01-02T00:00:00", "2025-01-01T22:59:00")], "a string, b string")
+        got = df.select(minutes_between(local_time(F.col("a")), local_time(F.col("b"))))
+        assert [r[0] for r in got.collect()] == [120, 1530, -61]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_text_that_is_no_time_is_null(spark):
+    df = spark.createDataFrame([("2025-03-06T20:20:00",), ("5-LOW",), (None,)], "t string")
+    got = [r[0] for r in df.select(date_key(local_time(F.col("t")))).collect()]
+    assert got == ["2025-03-06", None, None]
+
+
+def brute_lead(rows):
+    """Rows are (key, time, id, value); gives id -> next (time, value)."""
+    ahead, groups = {}, {}
+    for row in rows:
+        groups.setdefault(row[0], []).append(row)
+    for group in groups.values():
+        group.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        for one, other in zip(group, group[1:] + [(None, None, None, None)]):
+            ahead[one[2]] = (other[1], other[3])
+    return ahead
+
+
+@pytest.mark.parametrize("hot_rows", [10_000_000, 50])
+def test_lead_with_a_third_of_all_rows_in_one_group(spark, hot_rows):
+    """The plain window and the ranges give what a sort in Python gives."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(3000):
+        key = "hot" if i % 3 == 0 else rng.choice([None, *map(str, range(40))])
+        # many equal times, and some nulls
+        rows.append((key, rng.choice([None, *range(25)]), i, rng.choice([None, i * 2])))
+    df = spark.createDataFrame(rows, "k string, t int, id int, v int").repartition(5)
+    got = lead_in_order(df, ["k"], ["t", "id"], {"next_t": "t", "next_v": "v"}, hot_rows)
+    assert got.columns == ["k", "t", "id", "v", "next_t", "next_v"]
+    collected = got.collect()
+    assert len(collected) == len(rows)
+    assert {r.id: (r.next_t, r.next_v) for r in collected} == brute_lead(rows)
+
+
+def test_lead_over_ranges_with_two_keys(spark):
+    rows = [(a, b, t, t) for a in "xy" for b in (1, None) for t in range(60)]
+    df = spark.createDataFrame(rows, "a string, b int, t int, v int")
+    plain = lead_in_order(df, ["a", "b"], ["t"], {"n": "v"})
+    ranged = lead_in_order(df, ["a", "b"], ["t"], {"n": "v"}, hot_rows=10)
+    assert values(plain) == values(ranged)
+    assert ranged.where("n is null").count() == 4
+
+
+def test_lead_of_nothing(spark):
+    df = spark.createDataFrame([], "k string, t int")
+    assert lead_in_order(df, ["k"], ["t"], {"n": "t"}).collect() == []
+
+
+def test_flight_gaps_parse_local_times(spark, landing):
+    """Flight 567 leaves at 20:20 in three itineraries: twice on one day, once on another."""
+    segments = flatten_segments(accepted(read_snapshots(spark, landing)))
+    gaps = flight_gaps(segments, ["departure", "itinerary_id", "leg_pos", "seg_pos"])
+    assert gaps.count() == 41
+    rows = gaps.where("flightNumber = '567'").orderBy("departure", "itinerary_id").select(
+        "next_departure", "arrival", "layover_duration").collect()
+    assert [r.next_departure for r in rows] == [
+        "2025-03-06T20:20:00", "2025-03-28T20:20:00", None]
+    assert rows[0].layover_duration == -(120 + 215 + 120)
+    assert rows[2].layover_duration is None

@@ -1,0 +1,80 @@
+"""Whole runs: batch job, incremental ingest, refresh of days."""
+
+from stopover.operators.flatten import flatten_segments
+from stopover.plans.snapshot_job import merge_snapshots, run
+from stopover.schema import SUMMARY_COLUMNS, SUMMARY_SCHEMA
+from stopover.sources import sinks
+from stopover.sources.snapshots import accepted, read_snapshots
+from stopover.streaming.ingest import ingest_new_files, refresh_days
+from tests.landed import GOLDEN, envelope, golden_itinerary, golden_summary, itinerary, land, leg
+
+
+def values(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_job_writes_golden_summary(spark, landing, tmp_path):
+    base, out = tmp_path / "flight_prices", str(tmp_path / "out")
+    (base / "2025-03-06" / "cut.json").write_text('{"status": tr')
+    for _ in range(2):
+        assert sorted(map(tuple, run(spark, landing, out).collect())) == golden_summary()
+    back = sinks.read_csv(spark, f"{out}/summary_csv", SUMMARY_SCHEMA)
+    assert sorted(map(tuple, back.collect())) == golden_summary()
+    assert spark.read.parquet(f"{out}/segments").count() == 41
+    assert spark.read.json(f"{out}/rejected").count() == 1
+    assert spark.read.parquet(f"{out}/report").count() == 3
+
+
+def test_job_without_data(spark, tmp_path):
+    base = land(tmp_path / "n", "pricedata", "a.json", envelope([]))
+    summary = run(spark, base, str(tmp_path / "out"))
+    assert summary.columns == SUMMARY_COLUMNS and summary.count() == 0
+
+
+def test_merged_store_equals_the_scan(spark, landing, tmp_path):
+    merged = merge_snapshots(spark, landing, str(tmp_path / "store"))
+    scanned = accepted(read_snapshots(spark, landing))
+    keys = ["fetch_date", "itinerary_id", "seg_pos", "destinationCode", "seg_arrival"]
+    assert values(flatten_segments(merged).select(*keys)) == values(
+        flatten_segments(scanned).select(*keys))
+
+
+def test_ingest_takes_each_file_once_and_equals_batch(spark, tmp_path):
+    base, target, progress = tmp_path / "land", str(tmp_path / "t"), str(tmp_path / "p")
+    counts = []
+
+    def go(**options):
+        ingest_new_files(spark, str(base), target, progress, **options)
+        counts.append(spark.read.parquet(target).count())
+
+    land(base, "2025-03-06", "a.json", envelope([golden_itinerary(GOLDEN[0])]))
+    go()
+    land(base, "2025-03-06", "b.json", envelope([golden_itinerary(GOLDEN[2])]))
+    land(base, "2025-03-07", "c.json", envelope([golden_itinerary(GOLDEN[10])]))
+    (base / "2025-03-07" / "cut.json").write_text("{")
+    go(max_files=1)
+    go()
+    assert counts == [2, 7, 7]
+    batch = flatten_segments(accepted(read_snapshots(spark, str(base))))
+    got = spark.read.parquet(target)
+    columns = ["itinerary_id", "leg_id", "seg_pos", "flightNumber", "seg_departure", "duration"]
+    assert values(got.select(*columns)) == values(batch.select(*columns))
+
+
+def test_refresh_rewrites_touched_days_only(spark, tmp_path):
+    base, target, progress = tmp_path / "land", str(tmp_path / "t"), str(tmp_path / "p")
+
+    def summary():
+        refresh_days(spark, str(base), target, progress)
+        return values(spark.read.parquet(target).selectExpr(
+            "date_format(fetch_date, 'yyyy-MM-dd')", "itinerary_id", "layover"))
+
+    one, two = itinerary("1", [leg("1", ["A", "X", "B"])]), itinerary("2", [leg("2", ["A", "B"])])
+    land(base, "2025-01-01", "a.json", envelope([one]))
+    land(base, "2025-01-02", "a.json", envelope([two]))
+    first = [("2025-01-01", "1", "X"), ("2025-01-02", "2", "")]
+    assert summary() == first
+    assert summary() == first
+    # a second file of the day repeats one itinerary and brings another
+    land(base, "2025-01-01", "b.json", envelope([one, two]))
+    assert summary() == sorted([*first, ("2025-01-01", "2", "")])
