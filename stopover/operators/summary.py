@@ -65,14 +65,16 @@ def summarise_groups(
 def _gathered(
     segments: DataFrame, keys: list[str], position: list[str], carry: list[str]
 ) -> DataFrame:
-    row = F.struct(*position, "originCode", "destinationCode", *carry)
-    grouped = segments.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
-    head = F.element_at("_rows", 1)
+    stop = F.struct(*position, "destinationCode")
+    grouped = segments.groupBy(*keys).agg(
+        F.min(F.struct(*position, "originCode", *carry)).alias("_head"),
+        F.array_sort(F.collect_list(stop)).alias("_rows"),
+    )
     codes = F.transform("_rows", lambda r: r["destinationCode"])
     return grouped.select(
         *keys,
-        *[head[c].alias(c) for c in carry],
-        head["originCode"].alias("origin"),
+        *[F.col(f"_head.{c}").alias(c) for c in carry],
+        F.col("_head.originCode").alias("origin"),
         F.element_at("_rows", -1)["destinationCode"].alias("destination"),
         F.filter(codes, lambda code: code.isNotNull()).alias("_visited"),
     )

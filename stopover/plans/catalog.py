@@ -318,12 +318,13 @@ def nested_field_access(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def literal_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.lit("2025-03-06").alias("fetch_date"),
         F.lit(None).cast("string").alias("operating"),
         F.lit(0).alias("layover"),
     )
+    return orders.withColumn("operating", F.coalesce("operating", F.lit("unknown")))
 
 
 def derived_column(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -249,7 +249,7 @@ select cast(l_orderkey // 64 as varchar) || '-' || cast(page as varchar) as reco
        "originCode" as origin
 from segs""",
     "literal_column": """
-select o_orderkey, '2025-03-06' as fetch_date, cast(null as varchar) as operating, 0 as layover
+select o_orderkey, '2025-03-06' as fetch_date, 'unknown' as operating, 0 as layover
 from orders""",
     "derived_column": """
 select l_orderkey, l_linenumber - 1 as l_linenumber, l_partkey, l_suppkey, l_extendedprice,

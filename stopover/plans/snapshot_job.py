@@ -15,28 +15,43 @@ from stopover.operators.flatten import explode_itineraries, explode_legs, flatte
 from stopover.operators.summary import distinct_segments, summarise_legs
 from stopover.schema import ENVELOPE, FULL_ENVELOPE, SEGMENT_COLUMNS, SUMMARY_SCHEMA
 from stopover.sources.sinks import (
-    replace_snapshots, write_csv, write_json, write_parquet, write_partitioned,
+    read_csv, replace_snapshots, write_csv, write_json, write_parquet,
 )
 from stopover.sources.snapshots import (
-    LINEAGE, accepted, latest_itineraries, merge_report, read_snapshots, rejected, snapshot_report,
+    ACCEPTED, CORRUPT, LINEAGE, latest_itineraries, outcome, read_snapshots, snapshot_report,
 )
 
 
 def merge_snapshots(spark: SparkSession, landing: str, store: str) -> DataFrame:
-    """All accepted records, every field, as parquet by day; the columnar merged store."""
-    records = accepted(read_snapshots(spark, landing, FULL_ENVELOPE))
-    write_partitioned(records, store, "fetch_date")
+    """Write all landed records as parquet, by outcome and day, and open the accepted ones.
+
+    The JSON text is parsed once, here. A scan task holds files of one day, or
+    of a few if they are small, so the records are written as they are scanned.
+    """
+    records = read_snapshots(spark, landing, FULL_ENVELOPE).withColumn("outcome", outcome())
+    records.write.mode("overwrite").partitionBy("outcome", "fetch_date").parquet(store)
     return open_store(spark, store)
 
 
 def open_store(spark: SparkSession, store: str, schema: str = ENVELOPE) -> DataFrame:
-    """The merged store, with the day as text as in a scan of the landing folder.
+    """The accepted records, with the day as text as in a scan of the landing folder.
 
     Spark prunes nested columns up to the first explode only; the schema given
     here is what keeps all other nested fields unread.
     """
-    stored = f"{schema}, {LINEAGE}, fetch_date date"
-    return spark.read.schema(stored).parquet(store).withColumn(
+    return _stored(spark, store, schema).where(F.col("outcome") == ACCEPTED).drop("outcome")
+
+
+def open_rejected(spark: SparkSession, store: str) -> DataFrame:
+    """The other records: file, reason and, if malformed, the text."""
+    records = _stored(spark, store, f"{CORRUPT} string").where(F.col("outcome") != ACCEPTED)
+    return records.select(
+        "file_path", F.col("outcome").alias("reason"), F.col(CORRUPT).alias("record"))
+
+
+def _stored(spark: SparkSession, store: str, schema: str) -> DataFrame:
+    columns = f"{schema}, {LINEAGE}, outcome string, fetch_date date"
+    return spark.read.schema(columns).parquet(store).withColumn(
         "fetch_date", date_key(F.col("fetch_date")))
 
 
@@ -52,17 +67,15 @@ def empty_summary(spark: SparkSession) -> DataFrame:
 
 def run(spark: SparkSession, landing: str, out: str) -> DataFrame:
     """Write all outputs below ``out`` and return the summary."""
-    snapshots = read_snapshots(spark, landing, ENVELOPE)
-    write_json(rejected(snapshots), f"{out}/rejected")
-    write_parquet(snapshot_report(accepted(snapshots)), f"{out}/report")
-    if not merge_report(snapshots).first()["has_data"]:
-        return empty_summary(spark)
     merged = merge_snapshots(spark, landing, f"{out}/merged")
+    write_json(open_rejected(spark, f"{out}/merged"), f"{out}/rejected")
+    write_parquet(snapshot_report(merged), f"{out}/report")
+    if merged.isEmpty():
+        return empty_summary(spark)
     segments = distinct_segments(flatten_segments(merged), SEGMENT_COLUMNS)
     replace_snapshots(segments, f"{out}/segments")
-    summary = itinerary_summary(merged)
-    write_csv(summary, f"{out}/summary_csv")
-    return summary
+    write_csv(itinerary_summary(merged), f"{out}/summary_csv")
+    return read_csv(spark, f"{out}/summary_csv", SUMMARY_SCHEMA)
 
 
 def main() -> None:

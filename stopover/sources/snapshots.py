@@ -19,6 +19,7 @@ DATE = r"\d{4}-\d{2}-\d{2}"
 
 CORRUPT = "_corrupt_record"
 JSON_FILES = "*.json"
+ACCEPTED = "accepted"
 
 #: Types of the lineage columns, ``fetch_date`` aside.
 LINEAGE = "search_date string, file_path string, landed_at timestamp"
@@ -69,24 +70,26 @@ def read_snapshots(
     return with_lineage(records)
 
 
-def _reject_reason() -> Column:
+def outcome() -> Column:
+    """What becomes of a record: accepted, or the reason why it is not."""
     return (
         F.when(F.col(CORRUPT).isNotNull(), "malformed record")
         .when(F.col("fetch_date").isNull(), "folder is not a date")
         .when(F.col("data").isNull(), "no result body")
+        .otherwise(ACCEPTED)
     )
 
 
 def accepted(snapshots: DataFrame) -> DataFrame:
     """Records that can be used. A failed search, with no itineraries, is one."""
-    return snapshots.where(_reject_reason().isNull()).drop(CORRUPT)
+    return snapshots.where(outcome() == ACCEPTED).drop(CORRUPT)
 
 
 def rejected(snapshots: DataFrame) -> DataFrame:
     """The other records, each with its file, the reason and, if malformed, the text."""
     return snapshots.select(
-        "file_path", _reject_reason().alias("reason"), F.col(CORRUPT).alias("record"),
-    ).where("reason is not null")
+        "file_path", outcome().alias("reason"), F.col(CORRUPT).alias("record"),
+    ).where(F.col("reason") != ACCEPTED)
 
 
 def discover_snapshots(spark: SparkSession, base: str, files: str = JSON_FILES) -> DataFrame:
@@ -135,7 +138,7 @@ def outcome_report(snapshots: DataFrame) -> DataFrame:
     """Records per day and outcome, in one scan: accepted, or the reason for the reject."""
     return snapshots.groupBy(
         F.coalesce("fetch_date", F.lit("none")).alias("fetch_date"),
-        F.coalesce(_reject_reason(), F.lit("accepted")).alias("outcome"),
+        outcome().alias("outcome"),
     ).agg(F.count("*").alias("records"))
 
 
@@ -146,10 +149,10 @@ def missing_snapshots(expected: DataFrame, snapshots: DataFrame) -> DataFrame:
 
 def merge_report(snapshots: DataFrame) -> DataFrame:
     """One row: records kept and rejected, and whether there is anything to merge."""
-    kept = F.count_if(_reject_reason().isNull())
+    kept = F.count_if(outcome() == ACCEPTED)
     return snapshots.agg(
         kept.alias("kept"),
-        F.count_if(_reject_reason().isNotNull()).alias("rejected"),
+        F.count_if(outcome() != ACCEPTED).alias("rejected"),
         (kept > 0).alias("has_data"),
     )
 
