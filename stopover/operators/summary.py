@@ -16,6 +16,9 @@ LEG_KEYS = ["fetch_date", "itinerary_id", "leg_id", "leg_pos"]
 #: itineraries of one day may fall together.
 PRICE_KEYS = ["fetch_date", "formattedPrice", "departure"]
 
+#: Order of all segments of a day, as they stand in its files.
+SEGMENT_ORDER = ["file_path", "itinerary_pos", "itinerary_id", "leg_pos", "seg_pos"]
+
 #: Segments of one group that may be gathered into one row.
 HOT_ROWS = 100_000
 
@@ -91,14 +94,14 @@ def _by_airport(
     seen = F.when(F.col("_code").isNotNull(), F.struct(first.alias("_first"), "_code"))
     grouped = airports.groupBy(*keys).agg(
         F.min("_head").alias("_head"),
-        F.max_by("_code", "_last").alias("destination"),
+        F.max(F.struct("_last", "_code")).alias("_end"),
         F.array_sort(F.collect_list(seen)).alias("_seen"),
     )
     return grouped.select(
         *keys,
         *[F.col(f"_head.{c}").alias(c) for c in carry],
         F.col("_head.originCode").alias("origin"),
-        "destination",
+        F.col("_end._code").alias("destination"),
         F.transform("_seen", lambda s: s["_code"]).alias("_visited"),
     )
 

@@ -22,13 +22,17 @@ from stopover.sources.snapshots import (
 )
 
 
-def merge_snapshots(spark: SparkSession, landing: str, store: str) -> DataFrame:
+def merge_snapshots(
+    spark: SparkSession, landing: str, store: str, schema: str = FULL_ENVELOPE
+) -> DataFrame:
     """Write all landed records as parquet, by outcome and day, and open the accepted ones.
 
     The JSON text is parsed once, here. A scan task holds files of one day, or
     of a few if they are small, so the records are written as they are scanned.
+    A field of the wrong type makes its record malformed; with the narrow
+    ``ENVELOPE`` for ``schema`` that holds for the needed fields only.
     """
-    records = read_snapshots(spark, landing, FULL_ENVELOPE).withColumn("outcome", outcome())
+    records = read_snapshots(spark, landing, schema).withColumn("outcome", outcome())
     records.write.mode("overwrite").partitionBy("outcome", "fetch_date").parquet(store)
     return open_store(spark, store)
 

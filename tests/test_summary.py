@@ -1,6 +1,8 @@
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stopover.functions.stops import stop_count, stop_count_from_text
@@ -10,7 +12,8 @@ from stopover.operators.flatten import (
     with_record_count,
 )
 from stopover.operators.summary import (
-    LEG_KEYS, PRICE_KEYS, distinct_segments, ordered_codes, summarise_legs, summarise_segments,
+    LEG_KEYS, PRICE_KEYS, SEGMENT_ORDER, distinct_segments, first_by_position, last_by_position,
+    ordered_codes, summarise_legs, summarise_segments,
 )
 from stopover.schema import SEGMENT_COLUMNS, SUMMARY_COLUMNS
 from stopover.sources.snapshots import accepted, read_snapshots
@@ -40,7 +43,7 @@ def test_golden_summary_from_nested_legs(spark, landing):
 def test_golden_summary_from_flat_segments(spark, landing):
     segments = flatten_segments(records(spark, landing))
     for keys, order in ((LEG_KEYS, ["seg_pos"]),
-                        (PRICE_KEYS, ["itinerary_pos", "leg_pos", "seg_pos"])):
+                        (PRICE_KEYS, SEGMENT_ORDER)):
         for rows in (segments, segments.repartition(7).orderBy(F.rand(1))):
             for hot_rows in (100_000, 1):
                 summary = summarise_segments(rows, keys, order, hot_rows)
@@ -111,7 +114,7 @@ def test_equal_price_and_departure(spark, tmp_path):
     segments = flatten_segments(records(spark, base))
     for hot_rows in (100_000, 1):
         merged = summarise_segments(
-            segments, PRICE_KEYS, ["itinerary_pos", "leg_pos", "seg_pos"], hot_rows)
+            segments, PRICE_KEYS, SEGMENT_ORDER, hot_rows)
         assert [(r.origin, r.destination, r.layover, r.numStops) for r in merged.collect()] == [
             ("A", "C", "B, X", 2)]
     apart = summarise_segments(segments, LEG_KEYS, ["seg_pos"]).select("itinerary_id", "layover")
@@ -192,3 +195,34 @@ def test_path_part(spark):
 def test_price_keeps_its_no_break_space(spark, landing):
     prices = explode_itineraries(records(spark, landing)).select("formattedPrice").collect()
     assert all(p[0].startswith(MARK) for p in prices)
+
+
+codes = st.lists(st.sampled_from(["A", "B", "C", "D", None]), min_size=2, max_size=7)
+
+
+@settings(max_examples=8, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(legs=st.lists(codes, min_size=1, max_size=8), parts=st.integers(1, 5))
+def test_nested_and_flat_agree_on_any_legs(spark, tmp_path_factory, legs, parts):
+    """Row order and partitions do not matter; no stops exactly where the text is empty."""
+    base = land_cases(tmp_path_factory.mktemp("any"), *[
+        itinerary(str(i), [leg(str(i), c)]) for i, c in enumerate(legs)])
+    nested = summarise_legs(
+        explode_legs(explode_itineraries(records(spark, base))), ["itinerary_id"])
+    segments = flatten_segments(records(spark, base)).repartition(parts)
+    expected = []
+    for i, c in enumerate(legs):
+        stops = list(dict.fromkeys(x for x in c[1:] if x is not None and x not in (c[0], c[-1])))
+        expected.append((str(i), c[0], c[-1], ", ".join(stops), len(stops)))
+    columns = ["itinerary_id", "origin", "destination", "layover", "numStops"]
+    for summary in (nested, summarise_segments(segments, LEG_KEYS, ["seg_pos"]),
+                    summarise_segments(segments, LEG_KEYS, ["seg_pos"], hot_rows=0)):
+        assert values(summary.select(*columns)) == sorted(expected, key=repr)
+        assert summary.where("(layover = '') != (numStops = 0) or numStops < 0").isEmpty()
+
+
+def test_first_and_last_by_position(spark):
+    df = spark.createDataFrame(
+        [("g", 2, "b"), ("g", 1, None), ("g", 3, "c"), ("h", 1, "x")], "k string, p int, v string")
+    assert values(first_by_position(df, ["k"], "v", ["p"], "first")) == [("g", None), ("h", "x")]
+    assert values(last_by_position(df, ["k"], "v", ["p"], "last")) == [("g", "c"), ("h", "x")]
