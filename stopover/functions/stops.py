@@ -10,8 +10,8 @@ SEPARATOR = ", "
 
 
 def intermediate_stops(visited: Column, origin: Column, destination: Column) -> Column:
-    """Airports visited on the way, end points excluded, each once, in order."""
-    return F.array_except(visited, F.array(origin, destination))
+    """Airports visited on the way, end points and nulls excluded, each once, in order."""
+    return F.array_except(visited, F.array(origin, destination, F.lit(None)))
 
 
 def layover_text(stops: Column) -> Column:

@@ -85,18 +85,18 @@ def leg_connections(legs: DataFrame) -> DataFrame:
     One row per segment that has a successor.
     """
     carried = [c for c in legs.columns if c in LEG_KEYS]
-    stops = F.transform(
-        F.filter("segments", lambda s, i: i < F.size("segments") - 1),
-        lambda s, i: F.struct(
-            i.alias("seg_pos"),
-            s["destination"]["displayCode"].alias("airport"),
-            minutes_between(
-                local_time(s["arrival"]),
-                local_time(F.get("segments", i + 1)["departure"]),
-            ).alias("minutes"),
-        ),
+    stops = F.size("segments") - 1
+    waits = F.arrays_zip(
+        F.slice(F.col("segments.destination.displayCode"), 1, stops).alias("airport"),
+        F.slice(F.col("segments.arrival"), 1, stops).alias("arrival"),
+        F.slice(F.col("segments.departure"), 2, stops).alias("departure"),
     )
-    return legs.select(*carried, F.inline(stops))
+    rows = legs.where(F.size("segments") > 1).select(
+        *carried, F.posexplode(waits).alias("seg_pos", "wait"))
+    minutes = minutes_between(
+        local_time(F.col("wait.arrival")), local_time(F.col("wait.departure")))
+    return rows.select(
+        *carried, "seg_pos", F.col("wait.airport").alias("airport"), minutes.alias("minutes"))
 
 
 def segment_connections(segments: DataFrame) -> DataFrame:

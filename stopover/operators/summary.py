@@ -31,17 +31,13 @@ def summarise_legs(legs: DataFrame, carry: list[str] | None = None) -> DataFrame
     """
     first = F.get("segments", F.lit(0))
     last = F.get("segments", F.size("segments") - 1)
-    visited = F.filter(
-        F.transform("segments", lambda s: s["destination"]["displayCode"]),
-        lambda code: code.isNotNull(),
-    )
     summary = legs.where(F.size("segments") > 0).withColumns({
         "flightNumber": first["flightNumber"],
         "marketingCarrier": first["marketingCarrier"]["name"],
         "operatingCarrier": first["operatingCarrier"]["name"],
         "origin": first["origin"]["displayCode"],
         "destination": last["destination"]["displayCode"],
-        "_visited": visited,
+        "_visited": F.col("segments.destination.displayCode"),
     })
     return _with_stops(summary).select(*(carry or []), *SUMMARY_COLUMNS)
 
@@ -71,15 +67,14 @@ def _gathered(
     stop = F.struct(*position, "destinationCode")
     grouped = segments.groupBy(*keys).agg(
         F.min(F.struct(*position, "originCode", *carry)).alias("_head"),
-        F.array_sort(F.collect_list(stop)).alias("_rows"),
+        F.sort_array(F.collect_list(stop)).alias("_rows"),
     )
-    codes = F.transform("_rows", lambda r: r["destinationCode"])
     return grouped.select(
         *keys,
         *[F.col(f"_head.{c}").alias(c) for c in carry],
         F.col("_head.originCode").alias("origin"),
         F.element_at("_rows", -1)["destinationCode"].alias("destination"),
-        F.filter(codes, lambda code: code.isNotNull()).alias("_visited"),
+        F.col("_rows.destinationCode").alias("_visited"),
     )
 
 
@@ -91,18 +86,17 @@ def _by_airport(
         F.max(F.struct(*position)).alias("_last"),
     )
     first = F.struct(*[F.col(f"_head.{p}") for p in position])
-    seen = F.when(F.col("_code").isNotNull(), F.struct(first.alias("_first"), "_code"))
     grouped = airports.groupBy(*keys).agg(
         F.min("_head").alias("_head"),
         F.max(F.struct("_last", "_code")).alias("_end"),
-        F.array_sort(F.collect_list(seen)).alias("_seen"),
+        F.sort_array(F.collect_list(F.struct(first.alias("_first"), "_code"))).alias("_seen"),
     )
     return grouped.select(
         *keys,
         *[F.col(f"_head.{c}").alias(c) for c in carry],
         F.col("_head.originCode").alias("origin"),
         F.col("_end._code").alias("destination"),
-        F.transform("_seen", lambda s: s["_code"]).alias("_visited"),
+        F.col("_seen._code").alias("_visited"),
     )
 
 
@@ -148,8 +142,7 @@ def ordered_codes(segments: DataFrame) -> DataFrame:
     """
     entry = F.when(F.col("destinationCode").isNotNull(), F.struct("seg_pos", "destinationCode"))
     return segments.groupBy(*LEG_KEYS).agg(
-        F.transform(F.array_sort(F.collect_list(entry)), lambda s: s["destinationCode"])
-        .alias("layovers"))
+        F.sort_array(F.collect_list(entry))["destinationCode"].alias("layovers"))
 
 
 def distinct_segments(segments: DataFrame, columns: list[str]) -> DataFrame:

@@ -218,7 +218,7 @@ def id_list_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         ids = table(spark, sf_dir, "documents").select("doc_id").distinct()
         lists = ids.groupBy(whole(F.col("doc_id"), IDS_PER_LIST).alias("list")).agg(
-            F.array_sort(F.collect_list("doc_id")).alias("ids"))
+            F.sort_array(F.collect_list("doc_id")).alias("ids"))
         lists.select(F.to_json("ids").alias("value")).write.text(path)
     return read_id_lists(spark, nested.once(spark, sf_dir, "ids", write))
 
@@ -493,7 +493,7 @@ def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- functions ----
 
 def _visited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = F.transform("segments", lambda s: s["destination"]["displayCode"])
+    codes = F.col("segments.destination.displayCode")
     return _legs(spark, sf_dir).select(
         "itinerary_id", "leg_id", codes.alias("visited"),
         F.get("segments", F.lit(0))["origin"]["displayCode"].alias("origin"),

@@ -103,8 +103,7 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
                  segment.alias("segment")))
     legs = placed.groupBy(*order, "leg_no").agg(
-        F.transform(F.array_sort(F.collect_list(placed_segment)), lambda s: s["segment"])
-        .alias("segments"))
+        F.sort_array(F.collect_list(placed_segment))["segment"].alias("segments"))
     leaves = F.col("o_orderdate") + F.make_dt_interval(days=F.col("leg_no").cast("int"))
     leg = F.struct(
         F.concat_ws("-", F.col("o_orderkey").cast("string"), F.col("leg_no").cast("string"))
@@ -117,7 +116,7 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     placed_leg = F.when(F.col("leg_no").isNotNull(), F.struct("leg_no", leg.alias("leg")))
     itineraries = legs.groupBy(*order).agg(
-        F.transform(F.array_sort(F.collect_list(placed_leg)), lambda s: s["leg"]).alias("legs"))
+        F.sort_array(F.collect_list(placed_leg))["leg"].alias("legs"))
     itinerary = F.struct(
         F.col("o_orderkey").cast("string").alias("id"),
         F.struct(F.col("o_totalprice").alias("raw"),
@@ -125,9 +124,8 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "legs",
     )
     pages = itineraries.groupBy(*record).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("o_orderkey", itinerary.alias("itinerary")))),
-            lambda s: s["itinerary"]).alias("itineraries"))
+        F.sort_array(F.collect_list(F.struct("o_orderkey", itinerary.alias("itinerary"))))
+        ["itinerary"].alias("itineraries"))
     context = F.struct(
         F.lit("complete").alias("status"),
         F.concat_ws("-", "block", "page").alias("sessionId"),

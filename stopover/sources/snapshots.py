@@ -116,7 +116,7 @@ def snapshot_report(snapshots: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("records"),
             F.sum(found.cast("bigint")).alias("itineraries"),
-            F.array_join(F.array_sort(F.collect_set("data.context.status")), ", ").alias("status"),
+            F.array_join(F.sort_array(F.collect_set("data.context.status")), ", ").alias("status"),
         )
         .withColumn("is_empty", F.col("itineraries") == 0)
     )
