@@ -58,7 +58,11 @@ def flatten_segments(envelopes: DataFrame) -> DataFrame:
     ``departure``, ``arrival`` and ``duration`` are the leg's; the segment's
     own times are ``seg_departure`` and ``seg_arrival``.
     """
-    segments = explode_segments(explode_legs(explode_itineraries(envelopes)))
+    return segment_columns(explode_segments(explode_legs(explode_itineraries(envelopes))))
+
+
+def segment_columns(segments: DataFrame) -> DataFrame:
+    """The needed fields of exploded segments, as columns."""
     return segments.select(
         *[c for c in segments.columns if c != "segment"],
         F.col("segment.flightNumber").alias("flightNumber"),

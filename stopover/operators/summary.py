@@ -64,8 +64,9 @@ def summarise_groups(
 def _gathered(
     segments: DataFrame, keys: list[str], position: list[str], carry: list[str]
 ) -> DataFrame:
+    # Gathering shrinks nothing, so the rows are shuffled as they are.
     stop = F.struct(*position, "destinationCode")
-    grouped = segments.groupBy(*keys).agg(
+    grouped = segments.repartition(*keys).groupBy(*keys).agg(
         F.min(F.struct(*position, "originCode", *carry)).alias("_head"),
         F.sort_array(F.collect_list(stop)).alias("_rows"),
     )

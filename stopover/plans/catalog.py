@@ -151,7 +151,7 @@ def _stray_records(spark: SparkSession, sf_dir: str) -> str:
     """Every record once more, in a folder that is not a date."""
     def write(path: str) -> None:
         nested.envelopes(spark, sf_dir).select("status", "message", "data").write.json(
-            f"{path}/pricedata")
+            f"{path}/undated")
     return nested.once(spark, sf_dir, "stray", write)
 
 

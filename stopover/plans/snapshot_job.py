@@ -11,14 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopover.functions.times import date_key
-from stopover.operators.flatten import explode_itineraries, explode_legs, flatten_segments
-from stopover.operators.summary import distinct_segments, summarise_legs
-from stopover.schema import ENVELOPE, FULL_ENVELOPE, SEGMENT_COLUMNS, SUMMARY_SCHEMA
+from stopover.operators.flatten import (
+    explode_itineraries, explode_legs, explode_segments, flatten_segments, segment_columns,
+)
+from stopover.operators.summary import (
+    PRICE_KEYS, SEGMENT_ORDER, distinct_segments, summarise_legs, summarise_segments,
+)
+from stopover.schema import (
+    ENVELOPE, FULL_ENVELOPE, SEGMENT_COLUMNS, SUMMARY_COLUMNS, SUMMARY_SCHEMA,
+)
 from stopover.sources.sinks import (
     read_csv, replace_snapshots, write_csv, write_json, write_parquet,
 )
 from stopover.sources.snapshots import (
-    ACCEPTED, CORRUPT, LINEAGE, latest_itineraries, outcome, read_snapshots, snapshot_report,
+    ACCEPTED, CORRUPT, LINEAGE, has_repeats, latest_itineraries, outcome, read_snapshots, snapshot_report,
 )
 
 
@@ -59,9 +65,24 @@ def _stored(spark: SparkSession, store: str, schema: str) -> DataFrame:
         "fetch_date", date_key(F.col("fetch_date")))
 
 
+def current_itineraries(envelopes: DataFrame) -> DataFrame:
+    """Itineraries, repeated landings of a day counted once; shuffled only if there are any."""
+    itineraries = explode_itineraries(envelopes)
+    return latest_itineraries(itineraries) if has_repeats(envelopes) else itineraries
+
+
 def itinerary_summary(envelopes: DataFrame) -> DataFrame:
-    """Eleven columns, one row per leg; repeated landings of a day count once."""
-    return summarise_legs(explode_legs(latest_itineraries(explode_itineraries(envelopes))))
+    """Eleven columns, one row per leg."""
+    return summarise_legs(explode_legs(current_itineraries(envelopes)))
+
+
+def summary_by_price(envelopes: DataFrame) -> DataFrame:
+    """The eleven columns by day, price text and departure, in order of the files.
+
+    Itineraries of one day with equal price and departure come out as one row.
+    """
+    segments = segment_columns(explode_segments(explode_legs(current_itineraries(envelopes))))
+    return summarise_segments(segments, PRICE_KEYS, SEGMENT_ORDER).select(*SUMMARY_COLUMNS)
 
 
 def empty_summary(spark: SparkSession) -> DataFrame:
@@ -69,16 +90,29 @@ def empty_summary(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], SUMMARY_SCHEMA)
 
 
-def run(spark: SparkSession, landing: str, out: str) -> DataFrame:
-    """Write all outputs below ``out`` and return the summary."""
+def run(
+    spark: SparkSession,
+    landing: str,
+    out: str,
+    by_price: bool = False,
+    merged_json: bool = False,
+) -> DataFrame:
+    """Write all outputs below ``out`` and return the summary.
+
+    ``by_price`` summarises by day, price text and departure instead of by leg;
+    ``merged_json`` writes the accepted records as JSON too, with every field.
+    """
     merged = merge_snapshots(spark, landing, f"{out}/merged")
     write_json(open_rejected(spark, f"{out}/merged"), f"{out}/rejected")
     write_parquet(snapshot_report(merged), f"{out}/report")
+    if merged_json:
+        write_json(open_store(spark, f"{out}/merged", FULL_ENVELOPE), f"{out}/merged_json")
     if merged.isEmpty():
         return empty_summary(spark)
     segments = distinct_segments(flatten_segments(merged), SEGMENT_COLUMNS)
     replace_snapshots(segments, f"{out}/segments")
-    write_csv(itinerary_summary(merged), f"{out}/summary_csv")
+    summary = summary_by_price(merged) if by_price else itinerary_summary(merged)
+    write_csv(summary, f"{out}/summary_csv")
     return read_csv(spark, f"{out}/summary_csv", SUMMARY_SCHEMA)
 
 
@@ -86,8 +120,11 @@ def main() -> None:
     options = argparse.ArgumentParser()
     options.add_argument("--landing", required=True)
     options.add_argument("--out", required=True)
+    options.add_argument("--by-price", action="store_true")
+    options.add_argument("--merged-json", action="store_true")
     chosen = options.parse_args()
-    run(SparkSession.builder.appName("snapshot job").getOrCreate(), chosen.landing, chosen.out)
+    spark = SparkSession.builder.appName("snapshot job").getOrCreate()
+    run(spark, chosen.landing, chosen.out, chosen.by_price, chosen.merged_json)
 
 
 if __name__ == "__main__":

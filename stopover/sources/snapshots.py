@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stopover.functions.text import path_part
+from stopover.operators.groups import largest_group
 from stopover.schema import ENVELOPE
 
 # Fixed value: form of a fetch date.
@@ -157,13 +158,21 @@ def merge_report(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def has_repeats(envelopes: DataFrame) -> bool:
+    """Whether a day holds an itinerary more than once; runs one job on the ids alone."""
+    ids = envelopes.select("fetch_date", F.explode("data.itineraries.id").alias("itinerary_id"))
+    return largest_group(ids, ["fetch_date", "itinerary_id"]) > 1
+
+
 def latest_itineraries(itineraries: DataFrame) -> DataFrame:
     """Keep one copy of an itinerary per day: that of the file landed last.
 
+    Itineraries without an id are copies only if they are alike in full.
     Spark cuts each group to its first row before the shuffle as well as after
     it, so a day landed many times over sends few rows per itinerary.
     """
-    copies = Window.partitionBy("fetch_date", "itinerary_id").orderBy(
+    content = F.when(F.col("itinerary_id").isNull(), F.struct("formattedPrice", "legs"))
+    copies = Window.partitionBy("fetch_date", "itinerary_id", content).orderBy(
         F.desc("landed_at"), F.desc("file_path"), "itinerary_pos")
     return (
         itineraries.withColumn("_copy", F.row_number().over(copies))

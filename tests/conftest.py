@@ -21,4 +21,4 @@ def landing(tmp_path):
     """Three landed days: a failed search, and ten itineraries on each of two days."""
     from tests.landed import write_golden
 
-    return write_golden(tmp_path / "flight_prices")
+    return write_golden(tmp_path / "landed")

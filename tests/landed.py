@@ -114,8 +114,8 @@ def golden_itinerary(row):
 def write_golden(base):
     days = {d: [golden_itinerary(r) for r in GOLDEN if r[0] == d]
             for d in ("2025-03-06", "2025-03-07")}
-    land(base, "2025-03-05", "flight_data.json", envelope([], "failure"))
-    land(base, "2025-03-06", "flight_data.json", envelope(days["2025-03-06"]))
+    land(base, "2025-03-05", "result.json", envelope([], "failure"))
+    land(base, "2025-03-06", "result.json", envelope(days["2025-03-06"]))
     land(base, "2025-03-07", "2025-03-28.json", envelope(days["2025-03-07"]))
     return str(base)
 

@@ -1,8 +1,8 @@
 """Whole runs: batch job, incremental ingest, refresh of days."""
 
 from stopover.operators.flatten import flatten_segments
-from stopover.plans.snapshot_job import merge_snapshots, run
-from stopover.schema import SUMMARY_COLUMNS
+from stopover.plans.snapshot_job import main, merge_snapshots, run
+from stopover.schema import FULL_ENVELOPE, SUMMARY_COLUMNS, SUMMARY_SCHEMA
 from stopover.sources import sinks
 from stopover.sources.snapshots import accepted, read_snapshots
 from stopover.streaming.ingest import ingest_new_files, refresh_days
@@ -14,7 +14,7 @@ def values(df):
 
 
 def test_job_writes_golden_summary(spark, landing, tmp_path):
-    base, out = tmp_path / "flight_prices", str(tmp_path / "out")
+    base, out = tmp_path / "landed", str(tmp_path / "out")
     (base / "2025-03-06" / "cut.json").write_text('{"status": tr')
     for _ in range(2):
         assert sorted(map(tuple, run(spark, landing, out).collect())) == golden_summary()
@@ -24,8 +24,31 @@ def test_job_writes_golden_summary(spark, landing, tmp_path):
     assert spark.read.parquet(f"{out}/report").count() == 3
 
 
+def test_job_counts_a_second_landing_once(spark, landing, tmp_path):
+    base = tmp_path / "landed"
+    land(base, "2025-03-06", "again.json", envelope(
+        [golden_itinerary(r) for r in GOLDEN if r[0] == "2025-03-06"]))
+    summary = run(spark, landing, str(tmp_path / "out"))
+    assert sorted(map(tuple, summary.collect())) == golden_summary()
+    assert spark.read.parquet(str(tmp_path / "out" / "segments")).count() == 41
+
+
+def test_command_line(spark, landing, tmp_path, monkeypatch):
+    base, out = tmp_path / "landed", str(tmp_path / "out")
+    first = golden_itinerary(GOLDEN[0])
+    land(base, "2025-03-06", "again.json", envelope([first]))
+    monkeypatch.setattr("sys.argv", [
+        "job", "--landing", landing, "--out", out, "--by-price", "--merged-json"])
+    main()
+    summary = sinks.read_csv(spark, f"{out}/summary_csv", SUMMARY_SCHEMA)
+    assert sorted(map(tuple, summary.collect())) == golden_summary()
+    back = sinks.read_json(spark, f"{out}/merged_json", f"{FULL_ENVELOPE}, fetch_date string")
+    assert flatten_segments(back).count() == 41 + 2
+    assert back.where("data.filterStats.duration.max = 2 and data.token = 't'").count() == 4
+
+
 def test_job_without_data(spark, tmp_path):
-    base = land(tmp_path / "n", "pricedata", "a.json", envelope([]))
+    base = land(tmp_path / "n", "undated", "a.json", envelope([]))
     summary = run(spark, base, str(tmp_path / "out"))
     assert summary.columns == SUMMARY_COLUMNS and summary.count() == 0
 

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from stopover.operators.flatten import explode_itineraries, flatten_segments
 from stopover.schema import FULL_ENVELOPE, align_to, describe_paths, has_path, schema_paths
 from stopover.sources.snapshots import (
-    accepted, discover_snapshots, latest_itineraries, merge_report, missing_snapshots,
+    accepted, discover_snapshots, has_repeats, latest_itineraries, merge_report, missing_snapshots,
     outcome_report, read_id_lists, read_snapshots, rejected, snapshot_report, snapshot_states,
     union_by_name,
 )
@@ -62,12 +62,12 @@ def test_missing_days(spark, landing):
 
 
 def test_faults_are_set_aside_with_their_reason(spark, landing, tmp_path):
-    base = tmp_path / "flight_prices"
+    base = tmp_path / "landed"
     (base / "2025-03-06" / "cut.json").write_text('{"status": true, "data": {"itin')
     wrong = envelope([itinerary("x", [leg("l", ["A", "B"])])])
     wrong["data"]["itineraries"][0]["legs"][0]["durationInMinutes"] = "long"
     land(base, "2025-03-07", "wrong_type.json", wrong)
-    land(base, "pricedata", "data.json", envelope([]))
+    land(base, "undated", "data.json", envelope([]))
     land(base, "2025-13-45", "no_such_day.json", envelope([]))
     (base / "2025-03-05" / "bare.json").write_text('{"message": "no body"}\n')
     snapshots = read_snapshots(spark, landing)
@@ -90,8 +90,8 @@ def test_faults_are_set_aside_with_their_reason(spark, landing, tmp_path):
 
 
 def test_discovery_lists_days_without_reading(spark, landing, tmp_path):
-    land(tmp_path / "flight_prices", "pricedata", "data.json", envelope([]))
-    land(tmp_path / "flight_prices", "2025-03-06", "second.json", envelope([]))
+    land(tmp_path / "landed", "undated", "data.json", envelope([]))
+    land(tmp_path / "landed", "2025-03-06", "second.json", envelope([]))
     found = discover_snapshots(spark, landing)
     assert sorted(map(tuple, found.collect()), key=str) == [
         ("2025-03-05", 1), ("2025-03-06", 2), ("2025-03-07", 1), (None, 1)]
@@ -116,6 +116,29 @@ def test_second_file_of_a_day_counts_once(spark, tmp_path):
     assert plan.count("WindowGroupLimit") == 2, "copies are cut before the shuffle too"
 
 
+def test_itineraries_without_id_are_copies_only_if_alike(spark, tmp_path):
+    base, two = tmp_path / "noid", [leg("a", ["X", "Y"])]
+    land(base, "2025-01-01", "1.json", envelope([itinerary(None, two, "1")]),
+         envelope([itinerary(None, two, "2"), itinerary(None, [], "2")]))
+    land(base, "2025-01-01", "2.json", envelope([itinerary(None, two, "2")]))
+    kept = latest_itineraries(explode_itineraries(accepted(read_snapshots(spark, str(base)))))
+    assert values(kept.select(F.regexp_extract("formattedPrice", r"\d+", 0), F.size("legs"))) == [
+        ("1", 1), ("2", 0), ("2", 1)]
+
+
+def test_has_repeats(spark, landing, tmp_path):
+    envelopes = accepted(read_snapshots(spark, landing))
+    assert not has_repeats(envelopes)
+    same_id_on_another_day = envelope([itinerary("x", [])])
+    land(tmp_path / "landed", "2025-04-01", "a.json", same_id_on_another_day)
+    land(tmp_path / "landed", "2025-04-02", "a.json", same_id_on_another_day)
+    assert not has_repeats(accepted(read_snapshots(spark, landing)))
+    land(tmp_path / "landed", "2025-04-02", "b.json", same_id_on_another_day)
+    assert has_repeats(accepted(read_snapshots(spark, landing)))
+    empty = accepted(read_snapshots(spark, landing)).where("false")
+    assert not has_repeats(empty)
+
+
 def test_filter_on_the_day_leaves_other_files_unread(spark, landing):
     day = read_snapshots(spark, landing).where("fetch_date = '2025-03-06'").select("data")
     assert len(day.collect()) == 1 and len(day.inputFiles()) == 3
@@ -134,7 +157,7 @@ def test_multi_line_files(spark, tmp_path):
 
 
 def test_nothing_valid(spark, tmp_path):
-    base = land(tmp_path / "none", "pricedata", "a.json", envelope([]))
+    base = land(tmp_path / "none", "undated", "a.json", envelope([]))
     assert tuple(merge_report(read_snapshots(spark, base)).first()) == (0, 1, False)
 
 
