@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stopover.functions.times import gap_minutes, local_time, minutes_between
 from stopover.operators.groups import largest_group
-from stopover.operators.summary import LEG_KEYS
+from stopover.operators.summary import COPY_KEYS, LEG_KEYS
 from stopover.session import staged
 
 #: Rows of one group that a single task may sort; larger groups are split.
@@ -101,7 +101,8 @@ def leg_connections(legs: DataFrame) -> DataFrame:
 
 def segment_connections(segments: DataFrame) -> DataFrame:
     """The same from flat segments: a window over each leg, a group of a few rows."""
-    leg = Window.partitionBy(*LEG_KEYS).orderBy("seg_pos")
+    copies = [c for c in COPY_KEYS if c in segments.columns]
+    leg = Window.partitionBy(*LEG_KEYS, *copies).orderBy("seg_pos")
     ahead = segments.select(
         *LEG_KEYS,
         "seg_pos",

@@ -12,6 +12,9 @@ from stopover.schema import SUMMARY_COLUMNS
 #: What tells one leg of one itinerary from another.
 LEG_KEYS = ["fetch_date", "itinerary_id", "leg_id", "leg_pos"]
 
+#: What tells the copies of an itinerary apart that lie in several files of a day.
+COPY_KEYS = ["file_path", "itinerary_pos"]
+
 #: The looser identity by price text and departure, under which unlike
 #: itineraries of one day may fall together.
 PRICE_KEYS = ["fetch_date", "formattedPrice", "departure"]
@@ -142,7 +145,8 @@ def ordered_codes(segments: DataFrame) -> DataFrame:
     collected list is never longer than what one row held before.
     """
     entry = F.when(F.col("destinationCode").isNotNull(), F.struct("seg_pos", "destinationCode"))
-    return segments.groupBy(*LEG_KEYS).agg(
+    copies = [c for c in COPY_KEYS if c in segments.columns]
+    return segments.groupBy(*LEG_KEYS, *copies).agg(
         F.sort_array(F.collect_list(entry))["destinationCode"].alias("layovers"))
 
 

@@ -43,16 +43,18 @@ def ingest_new_files(
     schema: str = ENVELOPE,
     shape: Callable[[DataFrame], DataFrame] = lambda s: flatten_segments(accepted(s)),
     max_files: int | None = None,
+    partition_by: tuple[str, ...] = ("fetch_date",),
 ) -> None:
     """Append what the files landed since the last run hold, each file once.
 
-    A file replaced under its old path is not seen again; that is what
+    With ``shape=rejected`` and no partition column, and a target and checkpoint
+    of its own, the same keeps the records set aside. A file replaced under its old path is not seen again; that is what
     ``refresh_days`` and ``replace_snapshots`` are for.
     """
     query = (
         shape(stream_snapshots(spark, base, schema, max_files))
         .writeStream.format("parquet")
-        .partitionBy("fetch_date")
+        .partitionBy(*partition_by)
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

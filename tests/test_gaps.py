@@ -8,6 +8,7 @@ from stopover.operators.flatten import explode_itineraries, explode_legs, flatte
 from stopover.operators.gaps import (
     flight_gaps, lead_in_order, leg_connections, segment_connections,
 )
+from stopover.operators.summary import ordered_codes
 from stopover.sources.snapshots import accepted, read_snapshots
 from tests.landed import golden_waits
 
@@ -26,6 +27,19 @@ def test_golden_connections(spark, landing):
     assert "Exchange" not in nested._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_second_landing_doubles_connections_but_does_not_mix_them(spark, landing, tmp_path):
+    (tmp_path / "landed" / "2025-03-07" / "again.json").write_text(
+        (tmp_path / "landed" / "2025-03-07" / "2025-03-28.json").read_text())
+    records = accepted(read_snapshots(spark, landing))
+    columns = ["fetch_date", "itinerary_id", "seg_pos", "airport", "minutes"]
+    expected = sorted(golden_waits() + [w for w in golden_waits() if w[0] == "2025-03-07"])
+    for found in (leg_connections(explode_legs(explode_itineraries(records))),
+                  segment_connections(flatten_segments(records))):
+        assert sorted(map(tuple, found.select(*columns).collect())) == expected
+    lists = ordered_codes(flatten_segments(records).where("fetch_date = '2025-03-07'"))
+    assert lists.count() == 20 and lists.where("size(layovers) != 2").isEmpty()
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
 def test_minutes_do_not_depend_on_the_session_zone(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")

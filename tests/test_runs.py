@@ -4,7 +4,7 @@ from stopover.operators.flatten import flatten_segments
 from stopover.plans.snapshot_job import main, merge_snapshots, run
 from stopover.schema import FULL_ENVELOPE, SUMMARY_COLUMNS, SUMMARY_SCHEMA
 from stopover.sources import sinks
-from stopover.sources.snapshots import accepted, read_snapshots
+from stopover.sources.snapshots import accepted, read_snapshots, rejected
 from stopover.streaming.ingest import ingest_new_files, refresh_days
 from tests.landed import GOLDEN, envelope, golden_itinerary, golden_summary, itinerary, land, leg
 
@@ -79,6 +79,12 @@ def test_ingest_takes_each_file_once_and_equals_batch(spark, tmp_path):
     go(max_files=1)
     go()
     assert counts == [2, 7, 7]
+    faulty = str(tmp_path / "faulty")
+    for _ in range(2):
+        ingest_new_files(spark, str(base), faulty, str(tmp_path / "p2"), shape=rejected,
+                         partition_by=())
+        assert values(spark.read.parquet(faulty).select("reason", "record")) == [
+            ("malformed record", "{")]
     batch = flatten_segments(accepted(read_snapshots(spark, str(base))))
     got = spark.read.parquet(target)
     columns = ["itinerary_id", "leg_id", "seg_pos", "flightNumber", "seg_departure", "duration"]
