@@ -53,11 +53,15 @@ def read_snapshots(
     schema: str = ENVELOPE,
     multi_line: bool = False,
     files: str = JSON_FILES,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """All records below ``base``, with lineage; malformed ones carry their text.
 
-    ``files`` is a pattern for the file names that count. With ``multi_line`` a file is parsed as a whole by one task, so files must
-    be small; the default splits files by line.
+    ``files`` is a pattern for the file names that count. With ``multi_line`` a
+    file is parsed as a whole by one task, so files must be small; the default
+    splits files by line. A file that cannot be read fails the job, since a
+    store that is down for a moment must not cost data; ``skip_unreadable``
+    passes over it, and ``unread_files`` tells which ones gave no record.
     """
     records = (
         spark.read.schema(f"{schema}, {CORRUPT} string")
@@ -66,6 +70,8 @@ def read_snapshots(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", files)
         .option("multiLine", multi_line)
+        .option("ignoreCorruptFiles", skip_unreadable)
+        .option("ignoreMissingFiles", skip_unreadable)
         .json(base)
     )
     return with_lineage(records)
@@ -93,11 +99,11 @@ def rejected(snapshots: DataFrame) -> DataFrame:
     ).where(F.col("reason") != ACCEPTED)
 
 
-def discover_snapshots(spark: SparkSession, base: str, files: str = JSON_FILES) -> DataFrame:
-    """Fetch dates below ``base``, with the number of files; no file is opened.
+def list_files(spark: SparkSession, base: str, files: str = JSON_FILES) -> DataFrame:
+    """``file_path, fetch_date`` of the files below ``base``; no file is opened.
 
     The binary-file source gives one row per file, and its content column is
-    not selected. Folders that are no dates come out as one null date.
+    not selected.
     """
     found = (
         spark.read.format("binaryFile")
@@ -105,8 +111,21 @@ def discover_snapshots(spark: SparkSession, base: str, files: str = JSON_FILES)
         .option("pathGlobFilter", files)
         .load(base)
     )
-    return found.groupBy(folder_date(F.col("path")).alias("fetch_date")).agg(
-        F.count("*").alias("files"))
+    path = F.col("_metadata.file_path")
+    return found.select(path.alias("file_path"), folder_date(path).alias("fetch_date"))
+
+
+def discover_snapshots(spark: SparkSession, base: str, files: str = JSON_FILES) -> DataFrame:
+    """Fetch dates below ``base``, with the number of files.
+
+    Folders that are no dates come out as one null date.
+    """
+    return list_files(spark, base, files).groupBy("fetch_date").agg(F.count("*").alias("files"))
+
+
+def unread_files(files: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """Listed files that gave no record, neither a good nor a malformed one."""
+    return files.join(snapshots.select("file_path").distinct(), "file_path", "left_anti")
 
 
 def snapshot_report(snapshots: DataFrame) -> DataFrame:

@@ -1,14 +1,16 @@
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stopover.operators.flatten import explode_itineraries, flatten_segments
 from stopover.schema import FULL_ENVELOPE, align_to, describe_paths, has_path, schema_paths
 from stopover.sources.snapshots import (
-    accepted, discover_snapshots, has_repeats, latest_itineraries, merge_report, missing_snapshots,
-    outcome_report, read_id_lists, read_snapshots, rejected, snapshot_report, snapshot_states,
-    union_by_name,
+    accepted, discover_snapshots, has_repeats, latest_itineraries, list_files, merge_report,
+    missing_snapshots, outcome_report, read_id_lists, read_snapshots, rejected, snapshot_report,
+    snapshot_states, union_by_name, unread_files,
 )
 from tests.landed import envelope, itinerary, land, leg
 
@@ -98,6 +100,19 @@ def test_discovery_lists_days_without_reading(spark, landing, tmp_path):
     assert "content" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_unreadable_file_fails_the_job_or_is_told(spark, landing, tmp_path):
+    broken = tmp_path / "landed" / "2025-03-06" / "no gzip.json.gz"
+    broken.write_bytes(b"this is not compressed")
+    pattern = "*.json*"
+    with pytest.raises(Exception, match="gzip"):
+        read_snapshots(spark, landing, files=pattern).select("data").collect()
+    read = read_snapshots(spark, landing, files=pattern, skip_unreadable=True)
+    assert flatten_segments(accepted(read)).count() == 41
+    unread = unread_files(list_files(spark, landing, pattern), read).collect()
+    assert [(r.fetch_date, r.file_path.rsplit("/", 1)[1]) for r in unread] == [
+        ("2025-03-06", "no%20gzip.json.gz")]
+
+
 def test_second_file_of_a_day_counts_once(spark, tmp_path):
     base = tmp_path / "twice"
     one = itinerary("a", [leg("a", ["X", "Y"])], "100")
@@ -105,7 +120,6 @@ def test_second_file_of_a_day_counts_once(spark, tmp_path):
     land(base, "2025-01-01", "1.json", envelope([one, itinerary("b", [])]))
     land(base, "2025-01-01", "2.json", envelope([again]))
     land(base, "2025-01-02", "1.json", envelope([one]))
-    import os
     for name, when in (("2025-01-01/1.json", 1000), ("2025-01-01/2.json", 2000)):
         os.utime(base / name, (when, when))
     kept = latest_itineraries(explode_itineraries(accepted(read_snapshots(spark, str(base)))))
