@@ -280,7 +280,8 @@ select itinerary_id, leg_id, leg_pos, seg_pos, {_TEN},
 from segs""",
     "explode_drops_empty": f"""with {_SEGMENTS}
 select o.itinerary_id, coalesce(leg_id, 'none') as leg_id, leg_id is null as dropped
-from orders_ o left join (select distinct l_orderkey, leg_id from segs) on l_orderkey = o_orderkey""",
+from orders_ o
+left join (select distinct l_orderkey, leg_id from segs) on l_orderkey = o_orderkey""",
     "format_message": """
 select c_name as name, n_name as craft,
        c_name || ' is currently in space flying on the ' || n_name || '! Hello! :)' as message

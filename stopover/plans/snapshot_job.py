@@ -21,10 +21,11 @@ from stopover.schema import (
     ENVELOPE, FULL_ENVELOPE, SEGMENT_COLUMNS, SUMMARY_COLUMNS, SUMMARY_SCHEMA,
 )
 from stopover.sources.sinks import (
-    read_csv, replace_snapshots, write_csv, write_json, write_parquet,
+    write_csv, write_json, write_parquet, write_partitioned,
 )
 from stopover.sources.snapshots import (
-    ACCEPTED, CORRUPT, LINEAGE, has_repeats, latest_itineraries, outcome, read_snapshots, snapshot_report,
+    ACCEPTED, CORRUPT, LINEAGE, has_repeats, latest_itineraries, outcome, read_snapshots,
+    snapshot_report,
 )
 
 
@@ -39,7 +40,7 @@ def merge_snapshots(
     ``ENVELOPE`` for ``schema`` that holds for the needed fields only.
     """
     records = read_snapshots(spark, landing, schema).withColumn("outcome", outcome())
-    records.write.mode("overwrite").partitionBy("outcome", "fetch_date").parquet(store)
+    write_partitioned(records, store, "outcome", "fetch_date", rebalance=False)
     return open_store(spark, store)
 
 
@@ -110,10 +111,12 @@ def run(
     if merged.isEmpty():
         return empty_summary(spark)
     segments = distinct_segments(flatten_segments(merged), SEGMENT_COLUMNS)
-    replace_snapshots(segments, f"{out}/segments")
+    write_partitioned(segments, f"{out}/segments", "fetch_date")
     summary = summary_by_price(merged) if by_price else itinerary_summary(merged)
+    write_parquet(summary, f"{out}/summary")
+    summary = spark.read.schema(SUMMARY_SCHEMA).parquet(f"{out}/summary")
     write_csv(summary, f"{out}/summary_csv")
-    return read_csv(spark, f"{out}/summary_csv", SUMMARY_SCHEMA)
+    return summary
 
 
 def main() -> None:

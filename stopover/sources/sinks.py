@@ -7,6 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Times are written to the microsecond; the default stops at the millisecond.
+_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 # An empty text and a null stay apart, and blanks at either end are kept.
 _CSV = {
     "header": True,
@@ -15,15 +21,16 @@ _CSV = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
+    **_TIMES,
 }
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**_TIMES).json(path)
 
 
 def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).options(**_TIMES).json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -39,27 +46,32 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, column: str, rebalance: bool = True) -> None:
-    """Parquet with one folder per value of ``column``, the whole table replaced.
+def write_partitioned(df: DataFrame, path: str, *columns: str, rebalance: bool = True) -> None:
+    """Parquet with a folder per value of ``columns``, the whole table replaced.
 
     The rebalance hint brings the rows of a day together, so a day gets few
     files, and splits a day that is much larger than the rest over more tasks.
     """
-    _rebalanced(df, column, rebalance).write.mode("overwrite").partitionBy(column).parquet(path)
+    _write_folders(df, path, columns, rebalance, "static")
 
 
 def replace_snapshots(
     df: DataFrame, path: str, column: str = "fetch_date", rebalance: bool = True
 ) -> None:
-    """Write the days that ``df`` holds in place of their old versions; other days stay."""
+    """Write the days that ``df`` holds in place of their old versions; other days stay.
+
+    A day of which ``df`` holds no row is another day.
+    """
+    _write_folders(df, path, (column,), rebalance, "dynamic")
+
+
+def _write_folders(
+    df: DataFrame, path: str, columns: tuple[str, ...], rebalance: bool, mode: str
+) -> None:
+    rows = df.hint("rebalance", *columns) if rebalance else df
     (
-        _rebalanced(df, column, rebalance)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", mode)
+        .partitionBy(*columns)
         .parquet(path)
     )
-
-
-def _rebalanced(df: DataFrame, column: str, rebalance: bool) -> DataFrame:
-    return df.hint("rebalance", column) if rebalance else df

@@ -19,6 +19,10 @@ from stopover.sources.snapshots import (
 )
 
 
+# By default a file whose time lies a week before the newest one is passed over.
+MAX_FILE_AGE = "36500d"
+
+
 def stream_snapshots(
     spark: SparkSession, base: str, schema: str = ENVELOPE, max_files: int | None = None
 ) -> DataFrame:
@@ -29,6 +33,7 @@ def stream_snapshots(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", JSON_FILES)
+        .option("maxFileAge", MAX_FILE_AGE)
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -48,8 +53,8 @@ def ingest_new_files(
     """Append what the files landed since the last run hold, each file once.
 
     With ``shape=rejected`` and no partition column, and a target and checkpoint
-    of its own, the same keeps the records set aside. A file replaced under its old path is not seen again; that is what
-    ``refresh_days`` and ``replace_snapshots`` are for.
+    of its own, the same keeps the records set aside. A file replaced under its
+    old path is not seen again; ``replace_snapshots`` is for that.
     """
     query = (
         shape(stream_snapshots(spark, base, schema, max_files))

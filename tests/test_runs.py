@@ -1,5 +1,7 @@
 """Whole runs: batch job, incremental ingest, refresh of days."""
 
+import os
+
 from stopover.operators.flatten import flatten_segments
 from stopover.plans.snapshot_job import main, merge_snapshots, run
 from stopover.schema import FULL_ENVELOPE, SUMMARY_COLUMNS, SUMMARY_SCHEMA
@@ -47,6 +49,20 @@ def test_command_line(spark, landing, tmp_path, monkeypatch):
     assert back.where("data.filterStats.duration.max = 2 and data.token = 't'").count() == 4
 
 
+def test_second_run_forgets_a_day_that_is_gone(spark, tmp_path):
+    base, out = tmp_path / "gone", str(tmp_path / "out")
+    for day in ("2025-01-01", "2025-01-02"):
+        land(base, day, "a.json", envelope([itinerary(day, [leg(day, ["A", "B"])])]))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        assert run(spark, str(base), out).count() == 2
+        (base / "2025-01-01" / "a.json").unlink()
+        assert run(spark, str(base), out).count() == 1
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert spark.read.parquet(f"{out}/segments").count() == 1
+
+
 def test_job_without_data(spark, tmp_path):
     base = land(tmp_path / "n", "undated", "a.json", envelope([]))
     summary = run(spark, base, str(tmp_path / "out"))
@@ -78,7 +94,11 @@ def test_ingest_takes_each_file_once_and_equals_batch(spark, tmp_path):
     (base / "2025-03-07" / "cut.json").write_text("{")
     go(max_files=1)
     go()
-    assert counts == [2, 7, 7]
+    # a file that lands late and carries an old time
+    land(base, "2025-01-01", "late.json", envelope([golden_itinerary(GOLDEN[1])]))
+    os.utime(base / "2025-01-01" / "late.json", (1_600_000_000, 1_600_000_000))
+    go()
+    assert counts == [2, 7, 7, 9]
     faulty = str(tmp_path / "faulty")
     for _ in range(2):
         ingest_new_files(spark, str(base), faulty, str(tmp_path / "p2"), shape=rejected,

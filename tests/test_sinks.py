@@ -33,6 +33,17 @@ def test_json_round_trip_keeps_null_fields(spark, tmp_path):
     assert values(sinks.read_json(spark, path, df.schema)) == values(df)
 
 
+def test_times_keep_their_microseconds(spark, tmp_path):
+    df = spark.sql("select 1 k, timestamp_ntz'2024-01-01 00:00:07.179575' a, "
+                   "timestamp'2024-01-01 00:00:07.000001' b, date'2024-02-29' c "
+                   "union all select 2, timestamp_ntz'2024-01-01 00:00:00', null, null")
+    for name, write, read in (("json", sinks.write_json, sinks.read_json),
+                              ("csv", sinks.write_csv, sinks.read_csv)):
+        path = str(tmp_path / name)
+        write(df, path)
+        assert values(read(spark, path, df.schema)) == values(df)
+
+
 def test_partitioned_table_prunes(spark, tmp_path):
     path = str(tmp_path / "parts")
     df = spark.range(100).select("id", F.when(F.col("id") < 40, "2025-03-28").otherwise(
