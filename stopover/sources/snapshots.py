@@ -201,8 +201,13 @@ def latest_itineraries(itineraries: DataFrame) -> DataFrame:
 
 
 def read_id_lists(spark: SparkSession, path: str) -> DataFrame:
-    """``rank, id`` of every entry of files whose lines are bare JSON arrays of ids."""
-    lists = spark.read.text(path).select(F.from_json("value", "array<bigint>").alias("ids"))
+    """``rank, id`` of every entry of files whose lines are bare JSON arrays of ids.
+
+    A line that is no such array fails the job; blank lines are passed over.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    ids = F.from_json("value", "array<bigint>", {"mode": "FAILFAST"})
+    lists = lines.select(ids.alias("ids"))
     return lists.select(F.posexplode("ids").alias("rank", "id"))
 
 

@@ -176,8 +176,12 @@ def test_nothing_valid(spark, tmp_path):
 
 
 def test_id_lists(spark, tmp_path):
-    (tmp_path / "ids.csv").write_text("[30, 10, 20]\n[]\n")
-    assert values(read_id_lists(spark, str(tmp_path / "ids.csv"))) == [(0, 30), (1, 10), (2, 20)]
+    path = tmp_path / "ids.csv"
+    path.write_text("[30, 10, 20]\n[]\n\n")
+    assert values(read_id_lists(spark, str(path))) == [(0, 30), (1, 10), (2, 20)]
+    path.write_text("[30, 10\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_id_lists(spark, str(path)).collect()
 
 
 def test_union_by_name_fills_missing_columns(spark):
