@@ -36,29 +36,34 @@ def lead_in_order(
     return _lead_over_ranges(df, keys, order, values)
 
 
+def _ranges(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows with the number of their range; a running number parts even equal rows.
+
+    Written out, so that all uses see the same cuts.
+    """
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(*keys, *order, "_row")
+    return staged(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+
+
 def _lead_over_ranges(
     df: DataFrame, keys: list[str], order: list[str], values: dict[str, str]
 ) -> DataFrame:
-    # The ranges are written out, so that both uses below see the same cuts.
-    ranged = staged(
-        df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()),
-        "ranges")
-    inside = Window.partitionBy("_range", *keys).orderBy(*order)
-    rows = ranged.withColumns({
-        "_next": F.lead(F.struct(*[F.col(c).alias(n) for n, c in values.items()])).over(inside),
-    })
+    ranged = _ranges(df, keys, order)
+    following = F.struct(*[F.col(c).alias(n) for n, c in values.items()])
+    inside = Window.partitionBy("_range", *keys).orderBy(*order, "_row")
+    rows = ranged.withColumn("_next", F.lead(following).over(inside))
     # One row per range, so never more rows than there are shuffle partitions.
     heads = ranged.groupBy("_range").agg(
-        F.min(F.struct(*keys, *order, F.struct(
-            *[F.col(c).alias(n) for n, c in values.items()]).alias("_values"))).alias("_head"))
-    following = heads.select(
+        F.min(F.struct(*keys, *order, "_row", following.alias("_values"))).alias("_head"))
+    heads = heads.select(
         F.lag("_range").over(Window.orderBy("_range")).alias("_before"), "_head",
     ).where("_before is not null")
     same_group = F.lit(True)
     for key in keys:
         same_group &= F.col(key).eqNullSafe(F.col(f"_head.{key}"))
     joined = rows.join(
-        F.broadcast(following),
+        F.broadcast(heads),
         (F.col("_range") == F.col("_before")) & F.col("_next").isNull() & same_group,
         "left",
     )
@@ -84,33 +89,41 @@ def leg_connections(legs: DataFrame) -> DataFrame:
 
     One row per segment that has a successor.
     """
-    carried = [c for c in legs.columns if c in LEG_KEYS]
-    stops = F.size("segments") - 1
-    waits = F.arrays_zip(
-        F.slice(F.col("segments.destination.displayCode"), 1, stops).alias("airport"),
-        F.slice(F.col("segments.arrival"), 1, stops).alias("arrival"),
-        F.slice(F.col("segments.departure"), 2, stops).alias("departure"),
-    )
-    rows = legs.where(F.size("segments") > 1).select(
-        *carried, F.posexplode(waits).alias("seg_pos", "wait"))
-    minutes = minutes_between(
-        local_time(F.col("wait.arrival")), local_time(F.col("wait.departure")))
-    return rows.select(
-        *carried, "seg_pos", F.col("wait.airport").alias("airport"), minutes.alias("minutes"))
+    return _connections(legs.select(
+        *LEG_KEYS,
+        F.col("segments.destination.displayCode").alias("_airports"),
+        F.col("segments.arrival").alias("_arrivals"),
+        F.col("segments.departure").alias("_departures"),
+    ))
 
 
 def segment_connections(segments: DataFrame) -> DataFrame:
-    """The same from flat segments: a window over each leg, a group of a few rows."""
+    """The same from flat segments, which are put back in order leg by leg.
+
+    A leg came out of the array of one record. Copies of it are gathered once.
+    """
     copies = [c for c in COPY_KEYS if c in segments.columns]
-    leg = Window.partitionBy(*LEG_KEYS, *copies).orderBy("seg_pos")
-    ahead = segments.select(
+    segment = F.struct("seg_pos", "destinationCode", "seg_arrival", "seg_departure")
+    legs = segments.groupBy(*LEG_KEYS, *copies).agg(
+        F.sort_array(F.collect_set(segment)).alias("_segments"))
+    return _connections(legs.select(
         *LEG_KEYS,
-        "seg_pos",
-        F.col("destinationCode").alias("airport"),
-        local_time(F.col("seg_arrival")).alias("_arrival"),
-        F.lead(local_time(F.col("seg_departure"))).over(leg).alias("_next"),
-        F.lead("seg_pos").over(leg).alias("_next_pos"),
+        F.col("_segments.destinationCode").alias("_airports"),
+        F.col("_segments.seg_arrival").alias("_arrivals"),
+        F.col("_segments.seg_departure").alias("_departures"),
+    ))
+
+
+def _connections(legs: DataFrame) -> DataFrame:
+    stops = F.size("_airports") - 1
+    waits = F.arrays_zip(
+        F.slice("_airports", 1, stops).alias("airport"),
+        F.slice("_arrivals", 1, stops).alias("arrival"),
+        F.slice("_departures", 2, stops).alias("departure"),
     )
-    return ahead.where("_next_pos is not null").select(
-        *LEG_KEYS, "seg_pos", "airport",
-        minutes_between(F.col("_arrival"), F.col("_next")).alias("minutes"))
+    rows = legs.where(F.size("_airports") > 1).select(
+        *LEG_KEYS, F.posexplode(waits).alias("seg_pos", "wait"))
+    minutes = minutes_between(
+        local_time(F.col("wait.arrival")), local_time(F.col("wait.departure")))
+    return rows.select(
+        *LEG_KEYS, "seg_pos", F.col("wait.airport").alias("airport"), minutes.alias("minutes"))

@@ -142,12 +142,13 @@ def ordered_codes(segments: DataFrame) -> DataFrame:
     """All destinations of a leg in order, nulls left out.
 
     The groups are legs, which came out of one array of one record each, so a
-    collected list is never longer than what one row held before.
+    list is never longer than what one row held before. Copies of a leg are
+    gathered once.
     """
     entry = F.when(F.col("destinationCode").isNotNull(), F.struct("seg_pos", "destinationCode"))
     copies = [c for c in COPY_KEYS if c in segments.columns]
     return segments.groupBy(*LEG_KEYS, *copies).agg(
-        F.sort_array(F.collect_list(entry))["destinationCode"].alias("layovers"))
+        F.sort_array(F.collect_set(entry))["destinationCode"].alias("layovers"))
 
 
 def distinct_segments(segments: DataFrame, columns: list[str]) -> DataFrame:

@@ -476,7 +476,7 @@ def connection_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leg_connections(_legs(spark, sf_dir)).drop("leg_pos")
 
 
-def connection_minutes_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def connection_minutes_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_connections(_segments(spark, sf_dir)).drop("leg_pos")
 
 
@@ -581,7 +581,7 @@ QUERIES = {
     "lead_next": lead_next,
     "gap_minutes_as_written": gap_minutes_as_written,
     "connection_minutes": connection_minutes,
-    "connection_minutes_windowed": connection_minutes_windowed,
+    "connection_minutes_flat": connection_minutes_flat,
     "order_by_snapshot": order_by_snapshot,
     "preview_limit": preview_limit,
     "array_except": array_except,

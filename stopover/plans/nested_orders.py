@@ -3,7 +3,7 @@
 An order is an itinerary, its year the snapshot, its line items are segments.
 Line items go to legs of about four, legs to pages of eight, and a record
 holds one page of a block of 64 order keys. So a record stays small however
-many line items one order has, and orders without any have no legs.
+many line items one order has, alike or not. Orders without any have no legs.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stopover.operators.groups import largest_group
 from stopover.session import fresh_path
 from stopover.sources.snapshots import accepted, read_snapshots
 
@@ -24,6 +25,10 @@ CODES = 25
 # Fixed value: what stands before a price, rupee sign and no-break space.
 PRICE_MARK = "\u20b9\u00a0"
 
+# Copies of one line item that may lie in one leg, and copies one task makes at a time.
+COPIES_PER_LEG = 1000
+COPIES_PER_TASK = 1_000_000
+
 _staged: dict[tuple[str, str, str], str] = {}
 
 
@@ -63,16 +68,39 @@ def fetch_date(day: Column) -> Column:
     return F.concat(F.year(day).cast("string"), F.lit("-01-01"))
 
 
+def with_copy_number(lines: DataFrame) -> DataFrame:
+    """Number the copies of a line item that occurs very often; for all others the number is 0.
+
+    Copies are counted before the shuffle and made again behind it, so that
+    they are numbered without a sort of all of them in one task.
+    """
+    if largest_group(lines, ["l_orderkey"]) <= COPIES_PER_LEG:
+        return lines.withColumn("copy", F.lit(0).cast("bigint"))
+    columns = lines.columns
+    counted = lines.groupBy(*columns).agg(F.count("*").alias("copies"))
+    last_run = whole(F.col("copies") - 1, COPIES_PER_TASK)
+    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
+    first = F.col("run") * COPIES_PER_TASK
+    last = F.least(F.col("copies"), first + COPIES_PER_TASK) - 1
+    made = runs.repartition("l_orderkey", "l_partkey", "run").withColumn(
+        "copy", F.explode(F.sequence(first, last)))
+    number = F.when(F.col("copies") > COPIES_PER_LEG, F.col("copy")).otherwise(0)
+    return made.select(*columns, number.alias("copy"))
+
+
 def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fetch_date, block, page`` and the envelope's three columns."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+        "l_linestatus", "l_shipdate")
     orders = table(spark, sf_dir, "orders")
     sizes = lines.groupBy("l_orderkey").agg(F.count("*").alias("lines"))
     heads = orders.join(sizes, orders.o_orderkey == sizes.l_orderkey, "left").select(
         "o_orderkey", "o_totalprice", "o_orderdate",
         whole(F.col("lines") + SEGMENTS_PER_LEG - 1, SEGMENTS_PER_LEG).alias("legs"))
-    filled = lines.join(heads, lines.l_orderkey == heads.o_orderkey).withColumn(
-        "leg_no", (F.col("l_partkey") + F.col("l_suppkey")) % F.col("legs"))
+    numbered = with_copy_number(lines)
+    filled = numbered.join(heads, numbered.l_orderkey == heads.o_orderkey).withColumn(
+        "leg_no", (F.col("l_partkey") + F.col("l_suppkey") + F.col("copy")) % F.col("legs"))
     bare = heads.where("legs is null")
     placed = (
         filled.unionByName(bare, allowMissingColumns=True)

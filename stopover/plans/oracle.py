@@ -15,9 +15,17 @@ _SEGMENTS = _ORDERS + """,
 sizes as (
   select l_orderkey, (count(*) + 3) // 4 as n_legs from lineitem group by l_orderkey
 ),
+numbered_lines as (
+  select *, count(*) over same as copies, row_number() over same - 1 as copy_row
+  from lineitem
+  window same as (partition by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+                  l_quantity, l_linestatus, l_shipdate)
+),
 placed as (
-  select l.*, (l_partkey + l_suppkey) % n_legs as leg_no
-  from lineitem l join sizes using (l_orderkey)
+  select l.*,
+         (l_partkey + l_suppkey + case when copies > 1000 then copy_row else 0 end) % n_legs
+           as leg_no
+  from numbered_lines l join sizes using (l_orderkey)
 ),
 segs as (
   select fetch_date, itinerary_id, "formattedPrice", o_totalprice, l_orderkey, leg_no,
@@ -326,7 +334,7 @@ select "flightNumber", itinerary_id, leg_id, seg_pos, next_departure, next_arriv
              6) as layover_duration
 from ahead""",
     "connection_minutes": _CONNECTIONS,
-    "connection_minutes_windowed": _CONNECTIONS,
+    "connection_minutes_flat": _CONNECTIONS,
     "order_by_snapshot": f"{_LEG_SUMMARY} order by fetch_date, itinerary_id, leg_id",
     "preview_limit": f"{_LEG_SUMMARY} order by fetch_date, itinerary_id, leg_id limit 1000",
     "array_except": f"""{_BY_LEG}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from stopover.functions.times import date_key, local_time, minutes_between
 from stopover.operators.flatten import explode_itineraries, explode_legs, flatten_segments
 from stopover.operators.gaps import (
-    flight_gaps, lead_in_order, leg_connections, segment_connections,
+    _ranges, flight_gaps, lead_in_order, leg_connections, segment_connections,
 )
 from stopover.operators.summary import ordered_codes
 from stopover.sources.snapshots import accepted, read_snapshots
@@ -61,6 +61,14 @@ def test_text_that_is_no_time_is_null(spark):
     assert got == ["2025-03-06", None, None]
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """Small partitions stay as they are, so that there is more than one range."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def brute_lead(rows):
     """Rows are (key, time, id, value); gives id -> next (time, value)."""
     ahead, groups = {}, {}
@@ -74,7 +82,7 @@ def brute_lead(rows):
 
 
 @pytest.mark.parametrize("hot_rows", [10_000_000, 50])
-def test_lead_with_a_third_of_all_rows_in_one_group(spark, hot_rows):
+def test_lead_with_a_third_of_all_rows_in_one_group(spark, many_ranges, hot_rows):
     """The plain window and the ranges give what a sort in Python gives."""
     rng = random.Random(3)
     rows = []
@@ -90,7 +98,31 @@ def test_lead_with_a_third_of_all_rows_in_one_group(spark, hot_rows):
     assert {r.id: (r.next_t, r.next_v) for r in collected} == brute_lead(rows)
 
 
-def test_lead_over_ranges_with_two_keys(spark):
+def test_copies_are_spread_over_ranges(spark, many_ranges):
+    """A third of all rows is one row over and over; no range holds much of it."""
+    rows = [("k", 5, 1)] * 2000 + [("k", t, t + 10) for t in range(2000)] + [
+        (str(i % 7), i, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, t int, v int").repartition(6)
+    sizes = [r["count"] for r in _ranges(df, ["k"], ["t"]).groupBy("_range").count().collect()]
+    assert len(sizes) > 3 and max(sizes) < 2000
+    plain = lead_in_order(df, ["k"], ["t", "v"], {"n": "v"})
+    ranged = lead_in_order(df, ["k"], ["t", "v"], {"n": "v"}, hot_rows=10)
+    assert values(plain) == values(ranged)
+
+
+def test_copies_in_one_file_give_a_connection_once(spark, landing, tmp_path):
+    day = tmp_path / "landed" / "2025-03-07" / "2025-03-28.json"
+    day.write_text(day.read_text() * 3)
+    segments = flatten_segments(accepted(read_snapshots(spark, landing)))
+    assert segments.count() == 21 + 3 * 20
+    columns = ["fetch_date", "itinerary_id", "seg_pos", "airport", "minutes"]
+    found = segment_connections(segments).select(*columns).collect()
+    assert sorted(map(tuple, found)) == golden_waits()
+    lists = ordered_codes(segments.where("fetch_date = '2025-03-07'"))
+    assert lists.count() == 10 and lists.where("size(layovers) != 2").isEmpty()
+
+
+def test_lead_over_ranges_with_two_keys(spark, many_ranges):
     rows = [(a, b, t, t) for a in "xy" for b in (1, None) for t in range(60)]
     df = spark.createDataFrame(rows, "a string, b int, t int, v int")
     plain = lead_in_order(df, ["a", "b"], ["t"], {"n": "v"})
