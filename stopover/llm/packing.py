@@ -218,6 +218,7 @@ def pack(pieces: DataFrame, size: int) -> DataFrame:
 def best_fit_packing(docs: DataFrame, path: str, size: int = 2048, end: int = 0) -> DataFrame:
     """Encode whole texts and pack them; see ``token_pieces`` and ``pack``.
 
-    The pieces (not the texts) are shuffled and staged.
+    The pieces (not the texts) are staged and shuffled; they are staged first,
+    since cutting them into ranges reads them twice.
     """
-    return pack(token_pieces(docs, path, size, end), size)
+    return pack(staged(token_pieces(docs, path, size, end), "tokens"), size)
