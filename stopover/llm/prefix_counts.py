@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from stopover.llm.common import on_workers, rows_of, texts
-from stopover.llm.tokens import KEPT, LONGEST, _SPACED, _loaded, separation, tokenizer
+from stopover.llm.tokens import (
+    KEPT, LONGEST, _SPACED, _loaded, byte_letters, separation, tokenizer)
 
 # Pairs of tokens whose answer is kept.
 KEPT_PAIRS = 400_000
@@ -50,13 +51,6 @@ class Kinds(dict):
         return kind
 
 
-def byte_letters() -> dict[int, str]:
-    """The letter by which byte-level tokenizers write each byte."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
-
-
 class Run:
     """Prefix tables of one piece: grows by letters, and can be cut back."""
 
@@ -121,6 +115,7 @@ class Counter:
         self.ending: dict[tuple[str, str], bool] = {}
         self.pieces: dict[str, list[int]] = {}
         self.kept: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def asked(self, known: dict, model, one: str, two: str, suffix: str) -> bool:
         got = [t.value for t in model.tokenize(one + two)]
@@ -263,10 +258,13 @@ class Counter:
         tables = [kept.get(part) for part in parts]
         if None in tables:
             if len(kept) > KEPT:
-                kept.clear()
+                self.old, self.kept = kept, {}
+                kept = self.kept
             for i, part in enumerate(parts):
                 if tables[i] is None:
                     tables[i] = kept.get(part)
+                if tables[i] is None and part in self.old:
+                    tables[i] = kept[part] = self.old[part]
                 if tables[i] is None:
                     made = self.table(part)
                     if len(part) <= LONGEST:

@@ -13,17 +13,26 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
-# Parts kept, and bytes of the longest part that is kept.
-KEPT, LONGEST = 600_000, 64
+# Parts kept (as many of the generation before), and bytes of the longest part that is kept.
+KEPT, LONGEST = 500_000, 64
 
 # Characters that some definitions count as white space, ASCII ones left out.
 _ODD_SPACE = re.compile(
     "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
+# Latin letters that no normal form changes, and how the two kinds of tokenizers cut.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148"
+_SAFE = re.compile(f"[ \t-\r!-~{_LATIN}]*")
+_SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+DROPPED = re.compile(rf"{_SHORT}|[{_LATIN}]+|[0-9]|[^\s0-9{_LATIN}]+")
+LED = re.compile(rf"{_SHORT}| ?[{_LATIN}]+| ?[0-9]+| ?[^\s0-9{_LATIN}]+|\s+(?!\S)|\s+")
 _SPACED = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 
+assert array("I").itemsize == 4 and sys.byteorder == "little"
 _loaded: dict[tuple[str, str], object] = {}
 
 
@@ -63,13 +72,28 @@ def separation(path: str) -> str:
     return "whole"
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter by which byte-level tokenizers write each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers."""
+    """Ids of texts as little-endian unsigned 32-bit integers.
+
+    Parts of Latin letters and ASCII characters only, which all definitions of
+    letters agree on, are cut into pieces here and given to the library's model
+    piece by piece; others go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
         self.separation = separation(path)
+        self.pieces = {"drop": DROPPED, "lead": LED}.get(self.separation)
+        self.letters = byte_letters()
         self.kept: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         raw = text.encode()
@@ -80,23 +104,49 @@ class Encoder:
             parts = _SPACED.findall(raw)
         else:
             return self.plain([raw])[0]
-        kept = self.kept
-        try:
-            return b"".join([kept[part] for part in parts])
-        except KeyError:
-            return self.missed(parts)
+        found = list(map(self.kept.get, parts))
+        if None in found:
+            self.fill(parts, found)
+        return b"".join(found)
 
-    def missed(self, parts: list[bytes]) -> bytes:
+    def fill(self, parts: list[bytes], found: list[bytes | None]) -> None:
+        """Put the ids of parts that aren't kept in their places."""
         if len(self.kept) > KEPT:
-            self.kept.clear()
-        new = list({part for part in parts if part not in self.kept})
-        found = dict(zip(new, self.plain(new)))
-        out = b"".join([found[p] if p in found else self.kept[p] for p in parts])
-        self.kept.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST)
-        return out
+            self.old, self.kept = self.kept, {}
+        kept, old, hard = self.kept, self.old, []
+        for i, ids in enumerate(found):
+            if ids is None:
+                part = parts[i]
+                ids = kept.get(part) or old.get(part) or self.quick(part)
+                if ids is None:
+                    hard.append(i)
+                    continue
+                found[i] = ids
+                if len(part) <= LONGEST:
+                    kept[part] = ids
+        new = list({parts[i] for i in hard})
+        made = dict(zip(new, self.plain(new)))
+        for i in hard:
+            found[i] = made[parts[i]]
+        kept.update((p, ids) for p, ids in made.items() if len(p) <= LONGEST)
+
+    def quick(self, part: bytes) -> bytes | None:
+        """Ids by the library's model alone; None if the part isn't known to be safe."""
+        text = part.decode()
+        if not _SAFE.fullmatch(text) or b"<|" in part:
+            return None
+        out = []
+        for piece in self.pieces.findall(text.lower() if self.separation == "drop" else text):
+            raw = piece.encode()
+            ids = (self.kept.get(raw) or self.old.get(raw)) if raw != part else None
+            if ids is None:
+                word = raw.decode("latin-1").translate(self.letters)
+                ids = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+            out.append(ids)
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def plain(self, parts: list[bytes]) -> list[bytes]:
-        """By the library alone."""
+        """By the library's whole tokenizer."""
         encoded = self.tokenizer.encode_batch_fast(
-            [p.decode() for p in parts], add_special_tokens=False)
+            [p.decode() for p in parts], add_special_tokens=False) if parts else []
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
