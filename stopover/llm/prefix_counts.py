@@ -21,7 +21,8 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import partial
-from itertools import groupby
+from itertools import accumulate, groupby
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 
 from stopover.llm.common import on_workers, rows_of, texts
 from stopover.llm.tokens import (
-    KEPT, LONGEST, _SPACED, _loaded, byte_letters, separation, tokenizer)
+    _SAFE, _SPACED, DROPPED, KEPT, LONGEST, _loaded, byte_letters, separation, tokenizer)
 
 # Pairs of tokens whose answer is kept.
 KEPT_PAIRS = 400_000
@@ -59,20 +60,26 @@ class Run:
 
     def push(self, letters: str) -> None:
         """Append letters: the last token of each prefix, its tokens, and those if it ends there."""
-        inner, finals, go, ends = (
-            self.rules.inner, self.rules.finals, self.rules.go, self.rules.ends)
-        last, count, longest, at = self.last, self.count, self.rules.longest, len(self.letters)
+        rules = self.rules
+        inner, finals, longest = rules.inner, rules.finals, rules.longest
+        pairs, ending, asked = rules.pairs, rules.ending, rules.asked
+        last, count, at = self.last, self.count, len(self.letters)
         self.letters = text = self.letters + letters
         for end in range(at + 1, len(text) + 1):
             token = whole = None
             for start in range(max(0, end - longest), end):
-                found, before = text[start:end], last[start]
+                before = last[start]
                 if before is None:
                     continue
-                if token is None and found in inner and go(before, found):
-                    token, size = found, count[start] + 1
-                if whole is None and found in finals and ends(before, found):
-                    whole = count[start] + 1
+                found = text[start:end]
+                if token is None and found in inner:
+                    fits = pairs.get((before, found))
+                    if asked(pairs, before, found) if fits is None else fits:
+                        token, size = found, count[start] + 1
+                if whole is None and found in finals:
+                    fits = ending.get((before, found))
+                    if asked(ending, before, found) if fits is None else fits:
+                        whole = count[start] + 1
                 if token is not None and whole is not None:
                     break
             last.append(token)
@@ -113,28 +120,23 @@ class Counter:
         self.kinds = Kinds(self.tokenizer.pre_tokenizer.pre_tokenize_str)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.ending: dict[tuple[str, str], bool] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
         self.kept: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def asked(self, known: dict, model, one: str, two: str, suffix: str) -> bool:
+    def asked(self, known: dict, one: str, two: str) -> bool:
+        """Whether token ``two`` may follow ``one`` (empty: stand first), by the library's model.
+
+        ``known`` is ``ending`` if the piece ends behind ``two``, else ``pairs``.
+        """
+        model, suffix = (self.closed, self.suffix) if known is self.ending else (self.plain, "")
         got = [t.value for t in model.tokenize(one + two)]
         if len(known) > KEPT_PAIRS:
             known.clear()
         known[one, two] = answer = got == [*([one] if one else []), two + suffix]
         return answer
 
-    def go(self, one: str, two: str) -> bool:
-        """Whether token ``two`` may follow token ``one`` (empty: stand first)."""
-        answer = self.pairs.get((one, two))
-        return self.asked(self.pairs, self.plain, one, two, "") if answer is None else answer
-
-    def ends(self, one: str, two: str) -> bool:
-        """The same for the last token of a piece."""
-        answer = self.ending.get((one, two))
-        return (self.asked(self.ending, self.closed, one, two, self.suffix)
-                if answer is None else answer)
-
     def piece(self, text: str) -> Run:
         run = Run(self)
         run.push("".join([self.letters[b] for b in text.encode()]))
@@ -194,22 +196,36 @@ class Counter:
             state = after
         return state
 
-    def prefixes(self, piece: str) -> list[int]:
+    def learn(self, pieces: set[str]) -> None:
+        """Make the tables of pieces; in sorted order, so that shared beginnings are kept."""
+        if len(self.pieces) > KEPT:
+            self.old_pieces, self.pieces = self.pieces, {}
+        run, held = Run(self), ""
+        for piece in sorted(pieces):
+            old = self.old_pieces.get(piece)
+            if old is not None:
+                self.pieces[piece] = old
+                continue
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+            same = len(commonprefix((letters, held)))
+            run.cut(same)
+            run.push(letters[same:])
+            held = letters
+            if len(letters) == len(piece):
+                counts = run.whole[1:]
+            else:
+                ends = accumulate(len(char.encode()) for char in piece)
+                counts = [run.whole[end] for end in ends]
+            self.pieces[piece] = bytes(counts) if len(piece) <= LONGEST else counts
+
+    def prefixes(self, piece: str) -> bytes | list[int]:
         """Tokens of every prefix of one piece, by character."""
         found = self.pieces.get(piece)
         if found is None:
-            run, found = Run(self), []
-            if piece.isascii():
-                run.push("".join([self.letters[b] for b in piece.encode()]))
-                found = run.whole[1:]
-            else:
-                for char in piece:
-                    run.push("".join([self.letters[b] for b in char.encode()]))
-                    found.append(run.total())
-            if len(self.pieces) > KEPT:
-                self.pieces.clear()
-            if len(piece) <= LONGEST:
-                self.pieces[piece] = found
+            self.learn({piece})
+            found = self.pieces[piece]
+        if len(piece) > LONGEST:
+            del self.pieces[piece]
         return found
 
     def simple(self, text: str) -> str | None:
@@ -251,37 +267,56 @@ class Counter:
         self.grown(state, text[at:], out)
         return np.array(out, np.int64)
 
+    def prepare(self, rows: list[list[bytes]]) -> None:
+        """Make the tables of all parts that aren't kept, and keep those of short ones."""
+        if len(self.kept) > KEPT:
+            self.old, self.kept = self.kept, {}
+        kept, old = self.kept, self.old
+        new = set().union(*rows).difference(kept)
+        cut: dict[bytes, list[str]] = {}
+        for part in new:
+            if part in old:
+                kept[part] = old[part]
+            elif len(part) <= LONGEST:
+                text = part.decode()
+                safe = _SAFE.fullmatch(text) and "'" not in text and b"<|" not in part
+                cut[part] = DROPPED.findall(text.lower()) if safe else []
+        known = self.pieces
+        self.learn({p for pieces in cut.values() for p in pieces if p not in known})
+        for part, pieces in cut.items():
+            if not pieces:
+                kept[part] = bytes(self.table(part).tolist())
+                continue
+            done = len(part.decode()) - sum(map(len, pieces))
+            out = [bytes(done)]
+            total = 0
+            for piece in pieces:
+                counts = self.prefixes(piece)
+                out.append(bytes([total + x for x in counts]) if total else counts)
+                total = out[-1][-1]
+            kept[part] = b"".join(out)
+
+    def all_counts(self, rows: list[str]) -> Iterator[np.ndarray]:
+        """Tokens of every prefix of each text, see ``counts``."""
+        parts = [_SPACED.findall(text.encode()) for text in rows]
+        self.prepare(parts)
+        for row in parts:
+            tables = list(map(self.kept.get, row))
+            if None in tables:
+                tables = [self.table(part) if t is None else np.frombuffer(t, np.uint8)
+                          for t, part in zip(tables, row)]
+                flat = np.concatenate(tables).astype(np.int64)
+            else:
+                flat = np.frombuffer(b"".join(tables), np.uint8).astype(np.int64)
+            sizes = np.fromiter(map(len, tables), np.int64, len(tables))
+            if len(sizes):
+                word = flat[np.cumsum(sizes) - 1]
+                flat += np.repeat(np.cumsum(word) - word, sizes)
+            yield flat
+
     def counts(self, text: str) -> np.ndarray:
         """Tokens of every prefix of a text; entry ``i`` is that of the first ``i + 1`` code points."""
-        parts = _SPACED.findall(text.encode())
-        kept = self.kept
-        tables = [kept.get(part) for part in parts]
-        if None in tables:
-            if len(kept) > KEPT:
-                self.old, self.kept = kept, {}
-                kept = self.kept
-            for i, part in enumerate(parts):
-                if tables[i] is None:
-                    tables[i] = kept.get(part)
-                if tables[i] is None and part in self.old:
-                    tables[i] = kept[part] = self.old[part]
-                if tables[i] is None:
-                    made = self.table(part)
-                    if len(part) <= LONGEST:
-                        kept[part] = tables[i] = made.astype(np.uint8).tobytes()
-                    else:
-                        tables[i] = made
-        if any(not isinstance(t, bytes) for t in tables):
-            tables = [np.frombuffer(t, np.uint8) if isinstance(t, bytes) else t for t in tables]
-            flat = np.concatenate(tables).astype(np.int64)
-        else:
-            flat = np.frombuffer(b"".join(tables), np.uint8).astype(np.int64)
-        sizes = np.fromiter(map(len, tables), np.int64, len(tables))
-        ends = np.cumsum(sizes)
-        if len(ends):
-            word = flat[ends - 1]
-            flat += np.repeat(np.cumsum(word) - word, sizes)
-        return flat
+        return next(self.all_counts([text]))
 
 
 def counter(path: str) -> Counter:
@@ -302,12 +337,12 @@ def fits(counts: np.ndarray, budget: int) -> int:
 
 def _count(batches: Iterator[pa.RecordBatch], path: str, budget: int,
            tables: bool) -> Iterator[pa.RecordBatch]:
-    count = counter(path).counts
+    rules = counter(path)
     for batch in batches:
         for part in rows_of(batch):
             columns: list[list] = [[], [], [], []]
-            for text in texts(part.column("text")):
-                counts = count(text)
+            rows = texts(part.column("text"))
+            for text, counts in zip(rows, rules.all_counts(rows)):
                 total = int(counts[-1]) if len(counts) else 0
                 values = (len(text.encode()), total, fits(counts, budget),
                           counts.astype("<u4").tobytes() if tables else None)
