@@ -55,3 +55,17 @@ def crc32(id_column: Column) -> Column:
 
 def crc32_of(doc_id: int | None) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+
+
+def sampled(rows: DataFrame, size: int) -> DataFrame:
+    """Distinct rows with ``text``, about ``size`` of them: those with a low hash of the text.
+
+    All if there are no more than that. The same rows in every run; copies of
+    a row count once, so that a large group of them is no more than one. What is
+    shuffled is the sample alone.
+    """
+    n = rows.count()
+    if n > size:
+        share = F.xxhash64("text").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+        rows = rows.where(share < size / n)
+    return rows.distinct()

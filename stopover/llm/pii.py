@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopover.llm.common import on_workers, rows_of, texts
+from stopover.llm.common import on_workers, rows_of, sampled, texts
 
 # Kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -43,6 +43,7 @@ DIGIT = re.compile(r"[0-9]")
 # Most texts with candidates to learn from, and the precision asked for.
 SAMPLE, PRECISION = 3000, 0.99
 TREES, DEPTH, RATE = 40, 3, 0.2
+FEATURES = 28
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -157,6 +158,7 @@ def features(text: str, span: Span) -> list[float]:
         float(right.isspace() or not right), float(left in "=\"'_#" and bool(left)),
         len(digits(before)), len(digits(after)), float(bool(WORDS[kind].search(before))),
         float(re.search(r"\.[A-Za-z]{2,}\Z", own) is not None),
+        float(re.search(r"(?:at[)\]} ]|@)\s?[\w-]+\.", own) is not None),
     ]
 
 
@@ -253,6 +255,7 @@ def rewritten(text: str, span: Span, rng) -> Iterator[tuple[str, Span, int]]:
                         ("(at)", "."), ("{at}", "{dot}")):
             yield put(name + at + host.replace(".", dot), 1)
         yield put(f"{name} at {host}", 0)
+        yield put(f"{name} at {host} dot by", 0)
         yield put(f"{name} at {host.replace('.', ' ')}", 0)
     elif kind == 1:
         for dot in ("[.]", "(.)", "[dot]", " dot "):
@@ -308,22 +311,20 @@ def examples(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
             for made, at, label in rewritten(near, moved, rng):
                 x.append(features(made, at))
                 y.append(label)
-    return np.array(x, float).reshape(-1, 27), np.array(y, float)
+    return np.array(x, float).reshape(-1, FEATURES), np.array(y, float)
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Learn from texts with a digit or an at sign, ``sample`` of them at most.
+    """Learn from texts with a digit or an at sign, about ``sample`` of them at most.
 
-    Those with the smallest hashes are taken, the same ones in every run. Only
-    their candidates' surroundings (the text itself if it is short) come to the driver.
+    The sample is hashed, so it is the same in every run. Only the features of
+    its candidates come to the driver.
     """
     on_workers(docs.sparkSession)
-    rows = docs.select(F.col("text").cast("string").alias("text")).where(
-        "text rlike '[0-9@]'").distinct().orderBy(F.xxhash64("text"), "text").limit(sample)
-    got = rows.repartition(
-        int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(
+    rows = docs.select(F.col("text").cast("string").alias("text")).where("text rlike '[0-9@]'")
+    got = sampled(rows, sample).mapInArrow(
         _examples, "x array<double>, y double").toArrow()
-    x = np.array(got.column("x").to_pylist(), float).reshape(-1, 27)
+    x = np.array(got.column("x").to_pylist(), float).reshape(-1, FEATURES)
     y = got.column("y").to_numpy()
     order = np.lexsort((*x.T, y))
     order = np.random.default_rng(4).permutation(order)[:20_000]
