@@ -139,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMPLE
     ids = docs.sparkSession.createDataFrame(
         [tuple(r) for c in chosen for r in c.select("doc_id", "quality").collect()],
         "id long, quality int")
-    rows = docs.where("text is not null").join(
+    rows = docs.select("doc_id", "text").where("text is not null").join(
         F.broadcast(ids), F.col("doc_id") == F.col("id")).select("id", "quality", "text")
     one = rows.groupBy("id", "quality").agg(F.min("text").alias("text"))
     got = sorted(one.toArrow().to_pylist(), key=lambda r: r["id"])
