@@ -1,0 +1,220 @@
+"""Fingerprints, mixing, near copies and rules against plain versions."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
+
+from stopover.llm import adaptive_rules, mixing, simhash, winnowing
+from tests.llm.conftest import ROWS, SCHEMA
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def test_window_minima_are_the_rightmost():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 3, 16, 17, 200):
+        hashes = rng.integers(0, 6, n).astype(np.uint64)
+        want = []
+        for start in range(max(0, n - 16 + 1) if n >= 16 else min(n, 1)):
+            window = hashes[start:start + 16]
+            at = start + max(i for i in range(len(window)) if window[i] == window.min())
+            if not want or want[-1] != at:
+                want.append(at)
+        assert winnowing.winnow(hashes, 16).tolist() == want
+
+
+def test_rolling_hash_depends_on_the_run_alone():
+    codes = np.array([ord(c) for c in "abcabcabc"], np.uint64)
+    hashes = winnowing.run_hashes(codes, 3)
+    assert len(hashes) == 7 and hashes[0] == hashes[3] == hashes[6] and hashes[0] != hashes[1]
+
+
+def test_shared_passage_is_always_found():
+    rng = random.Random(1)
+    for _ in range(50):
+        def noise():
+            return "".join(rng.choices("abcdefgh ", k=rng.randint(0, 90)))
+        shared = "".join(rng.choices("ijklmnop ", k=winnowing.K + winnowing.WINDOW - 1))
+        a, b = (winnowing.Fingerprint(noise() + shared + noise()) for _ in range(2))
+        assert a.matches(b) and a.likeness(b) > 0
+
+
+def test_compared_with_edited(spark, odd, empty):
+    got = winnowing.compared_with_edited(odd).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, *_ in ROWS)
+    texts = {i: t or "" for i, t, *_ in ROWS}
+    ids = sorted([i for i, *_ in ROWS if i is not None], reverse=True) + [None]
+    following = {}
+    for i, doc_id in enumerate(ids):
+        following.setdefault(doc_id, set()).add(ids[(i + 1) % len(ids)])
+    for row in got:
+        text = texts[row.doc_id]
+        wanted = {hashlib.sha256(winnowing.edited(text, texts[n]).encode()).hexdigest()
+                  for n in following[row.doc_id]}
+        assert row.edited_sha256 in wanted and row.n_chars == len(text)
+        assert 0 <= row.near_edited <= 1 and 0 <= row.near_next <= 1
+    alike = {r.fingerprint for r in got if r.doc_id in (3, 7)}
+    assert len(alike) == 1
+    assert winnowing.compared_with_edited(empty).count() == 0
+    one = spark.createDataFrame([(1, "only one text " * 9, "en", "a")], SCHEMA)
+    assert winnowing.compared_with_edited(one).first().near_next == 1.0
+
+
+def plain_targets(sizes, share, weights, most):
+    names = sorted([s for s in sizes if s is not None]) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, free, out = share * sum(sizes.values()), set(names), {}
+    while free:
+        level = left / sum(weight[s] for s in free)
+        held = {s for s in free if weight[s] * level >= most * sizes[s]}
+        if not held:
+            return out | {s: weight[s] * level for s in free}
+        for s in held:
+            out[s] = most * sizes[s]
+            left -= out[s]
+        free -= held
+    return out
+
+
+def test_targets_equal_plain_filling(spark):
+    rng = random.Random(2)
+    for _ in range(8):
+        sizes = {f"s{i}": rng.choice([0, 3, 50, 900, 20_000]) for i in range(rng.randint(1, 9))}
+        sizes[None] = 70
+        table = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        got = {r.source: r.target for r in mixing.targets(table, 1.5, [5, 2, 1]).collect()}
+        want = plain_targets(sizes, 1.5, [5, 2, 1], 2.0)
+        assert got.keys() == want.keys()
+        assert all(abs(got[s] - want[s]) < 1e-6 * (1 + want[s]) for s in want)
+
+
+def test_mixing_of_odd_rows(odd, empty):
+    got = mixing.repetitions(odd, keep=["doc_id", "size"]).collect()
+    assert len(got) == len(ROWS) and {r.doc.size for r in got} == {"size"}
+    sizes = {(i, len(WORD.findall(t or ""))) for i, t, *_ in ROWS}
+    assert {(r.doc.doc_id, r["size"]) for r in got} == sizes
+    assert all(0 <= r.copies <= 2 for r in got)
+    again = mixing.repetitions(odd.repartition(5)).collect()
+    assert {(r.doc.doc_id, r.copies) for r in got} == {(r.doc.doc_id, r.copies) for r in again}
+    mix = mixing.mixed(odd)
+    assert mix.columns == odd.columns and mix.count() == sum(r.copies for r in got)
+    assert mixing.repetitions(empty).count() == 0
+
+
+def test_taken_words_come_near_their_targets(spark):
+    rows = [(i, "w " * (1 + i % 50), "en", f"s{i % 4}") for i in range(8000)]
+    got = mixing.repetitions(spark.createDataFrame(rows, SCHEMA), keep=["source"]).groupBy(
+        "doc.source", "target").agg(F.sum(F.col("size") * F.col("copies")).alias("taken")).collect()
+    assert len(got) == 4 and all(abs(r.taken / r.target - 1) < 0.06 for r in got)
+
+
+def plain_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints, bits):
+    parent = {p: p for p in prints}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    values = list(parent)
+    for i, a in enumerate(values):
+        for b in values[:i]:
+            if (a ^ b).bit_count() <= bits:
+                parent[root(a)] = root(b)
+    return {p: root(p) for p in parent}
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def test_near_duplicates_of_odd_rows(odd, empty):
+    got = simhash.near_duplicates(odd).collect()
+    prints = {i: plain_fingerprint(t) for i, t, *_ in ROWS}
+    roots = plain_components(set(prints.values()), 4)
+    least = {}
+    for i, p in prints.items():
+        if i is not None:
+            least[roots[p]] = min(i, least.get(roots[p], i))
+    want = Counter((i, signed(prints[i]), least.get(roots[prints[i]])) for i, *_ in ROWS)
+    assert Counter((r.doc_id, r.fp, r.component_id) for r in got) == want
+    kept = simhash.one_of_each(odd)
+    assert kept.columns == odd.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(
+        {least.get(r): 1 for r in set(roots.values())})
+    assert simhash.near_duplicates(empty).count() == 0
+
+
+def test_links_of_dense_groups_and_chains(spark):
+    """Clusters, long chains, and groups dealt to several tasks keep every link."""
+    rng = random.Random(3)
+    prints = {rng.getrandbits(64) for _ in range(300)}
+    chain = rng.getrandbits(64)
+    for _ in range(40):
+        for bit in rng.sample(range(64), 4):
+            chain ^= 1 << bit
+        prints.add(chain)
+    centre = rng.getrandbits(64)
+    for _ in range(300):
+        near = centre
+        for bit in rng.sample(range(64), rng.randint(0, 5)):
+            near ^= 1 << bit
+        prints.add(near)
+    want = plain_components(prints, 4)
+    least = {}
+    for p in prints:
+        least[want[p]] = min(signed(p), least.get(want[p], signed(p)))
+    table = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
+    for part in (4096, 20):
+        edges = simhash.links(table, 4, part=part)
+        got = {r.fp: r.root for r in simhash.components(edges).collect()}
+        assert all(got.get(signed(p), signed(p)) == least[want[p]] for p in prints)
+        assert edges.count() < 15 * len(prints)
+
+
+def plain_counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    places = {x for i, w in enumerate(windows) if often[w] > 1 for x in (i, i + 1, i + 2)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+            len(lines) - len(set(lines)), len(places))
+
+
+def test_rules_of_odd_rows(odd, empty):
+    got = adaptive_rules.judged(odd).collect()
+    want = Counter((i, *plain_counts(t)) for i, t, *_ in ROWS)
+    assert Counter((r.doc.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines,
+                    r.n_repeat_words) for r in got) == want
+    for r in got:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.kept and r.base_failed)
+    assert adaptive_rules.good_documents(odd).columns == odd.columns
+    assert adaptive_rules.judged(empty).count() == 0
+
+
+def test_thresholds_follow_the_group(spark):
+    """Symbols that are usual in one source are no reason there, but are in another."""
+    rng = random.Random(4)
+
+    def text(symbols):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+        return " ".join(w + ("#" if rng.random() < symbols else "") for w in words)
+    rows = [(i, text(0.9), "en", "code") for i in range(300)]
+    rows += [(1000 + i, text(0.02), "en", "prose") for i in range(300)]
+    rows += [(5000, text(0.9), "en", "prose")]
+    got = adaptive_rules.judged(spark.createDataFrame(rows, SCHEMA)).where("not kept").collect()
+    assert [r.doc.doc_id for r in got] == [5000]
