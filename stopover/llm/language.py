@@ -27,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopover.llm.common import on_workers, rows_of, texts
+from stopover.llm.common import on_workers, rows_of, sampled, texts
 
 LETTERS = re.compile(r"[^\W\d_]+")
 ROWS, WIDTH, GRAMS = 1 << 14, 12, (2, 3, 4)
 # Most training texts.
 SAMPLE = 3000
-# Words a worker keeps.
-KEPT = 400_000
+# Words a worker keeps, and as many of the generation before.
+KEPT = 100_000
 UNKNOWN = "und"
 
 
@@ -52,31 +52,32 @@ class Model:
     temperature: float = 1.0
     threshold: float = 0.0
     kept: dict = field(default_factory=dict, repr=False)
+    old: dict = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "kept": {}}
+        return {**self.__dict__, "kept": {}, "old": {}}
 
-    def word(self, word: str) -> tuple[float, ...]:
-        """What a word adds to each language, and its subwords."""
+    def word(self, word: str) -> bytes:
+        """What a word adds to each language, and the number of its subwords, as doubles."""
         rows = subwords(word)
-        return (*self.vectors[rows].sum(axis=0).tolist(), float(len(rows)))
+        return np.append(self.vectors[rows].sum(axis=0), len(rows)).tobytes()
 
     def scores(self, text: str) -> np.ndarray | None:
         """Probability of each language; None if the text has no letter."""
         words = LETTERS.findall(text.lower())
         if not words:
             return None
-        kept = self.kept
-        if len(kept) > KEPT:
-            kept.clear()
-        rows = [kept.get(w) for w in words]
+        if len(self.kept) > KEPT:
+            self.old, self.kept = self.kept, {}
+        kept, old = self.kept, self.old
+        rows = list(map(kept.get, words))
         if None in rows:
             for i, word in enumerate(words):
                 if rows[i] is None:
-                    rows[i] = kept.get(word) or self.word(word)
+                    rows[i] = kept.get(word) or old.get(word) or self.word(word)
                     if len(word) < 64:
                         kept[word] = rows[i]
-        total = np.array(rows).sum(axis=0)
+        total = np.frombuffer(b"".join(rows)).reshape(len(rows), -1).sum(axis=0)
         return softmax((total[:-1] / total[-1] + self.bias) / self.temperature)
 
     def predict(self, text: str) -> tuple[str, float]:
@@ -156,17 +157,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, usable: Column, sample: int = SAMPLE, **options) -> Model:
-    """Train on texts and non-null languages of ``usable`` rows, ``sample`` of them at most.
+    """Train on texts and non-null languages of ``usable`` rows, about ``sample`` of them at most.
 
-    The sample is the rows with the smallest hashes of id and text, so it is the
-    same in every run; only its subword counts come to the driver.
+    The sample is hashed, so it is the same in every run; only its subword
+    counts come to the driver.
     """
     on_workers(docs.sparkSession)
     rows = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    chosen = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("turn")).orderBy(
-        "turn").limit(sample)
-    got = chosen.select("lang", "text").repartition(
-        int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(
+    got = sampled(rows.select("lang", "text"), sample).mapInArrow(
         _counted, "lang string, rows array<long>, shares array<double>").toArrow()
     names, rows, shares = (got.column(c) for c in ("lang", "rows", "shares"))
     samples = sorted(
