@@ -104,7 +104,7 @@ def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(samples: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 6, rate: float = 1.0,
-          wrongly: float = 0.001, limit: float = 0.5) -> Model:
+          wrongly: float = 0.001, limit: float = 0.4) -> Model:
     """Model of ``(language, subwords, shares)``; every fifth one fits temperature and threshold."""
     languages = sorted({s[0] for s in samples})
     if not languages:
