@@ -20,9 +20,9 @@ def layover_text(stops: Column) -> Column:
 
 def stop_count(stops: Column) -> Column:
     """Number of stops; null for a null list, 0 exactly where the text is empty."""
-    return F.when(layover_text(stops) == "", F.lit(0)).otherwise(F.size(stops))
+    return F.when(layover_text(stops) == "", F.lit(0)).otherwise(F.array_size(stops))
 
 
 def stop_count_from_text(layover: Column) -> Column:
     """The same number, from the layover text alone."""
-    return F.when(layover == "", F.lit(0)).otherwise(F.size(F.split(layover, SEPARATOR)))
+    return F.when(layover == "", F.lit(0)).otherwise(F.array_size(F.split(layover, SEPARATOR)))

@@ -1,7 +1,8 @@
 """From envelopes to itineraries, legs and segments.
 
 Each level keeps the position of the element in its array, so that order needs
-no guessing later, and the ids that tell an itinerary and a leg apart. No step
+no guessing later, and the ids that tell an itinerary and a leg apart; a hash of
+its content tells versions of an itinerary apart. No step
 shuffles. A record without elements gives no row, as an explode does; with
 ``outer`` it gives one row of nulls.
 """
@@ -27,6 +28,8 @@ def explode_itineraries(envelopes: DataFrame, outer: bool = False) -> DataFrame:
         *_kept(envelopes, _LINEAGE),
         F.col("itinerary.id").alias("itinerary_id"),
         "itinerary_pos",
+        F.xxhash64("itinerary.id", "itinerary.price.formatted", "itinerary.legs")
+        .alias("itinerary_hash"),
         F.col("itinerary.price.formatted").alias("formattedPrice"),
         F.col("itinerary.legs").alias("legs"),
     )
@@ -83,4 +86,4 @@ def explode_records(responses: DataFrame, records: str = "people") -> DataFrame:
 
 def with_record_count(responses: DataFrame, records: str = "people") -> DataFrame:
     """Add the number of entries the list really has, next to the declared one."""
-    return responses.withColumn("listed", F.size(records))
+    return responses.withColumn("listed", F.array_size(records))

@@ -6,34 +6,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopover.functions.times import gap_minutes, local_time, minutes_between
-from stopover.operators.groups import largest_group
 from stopover.operators.summary import COPY_KEYS, LEG_KEYS
 from stopover.session import staged
 
-#: Rows of one group that a single task may sort; larger groups are split.
-HOT_ROWS = 5_000_000
-
-
 def lead_in_order(
     df: DataFrame,
     keys: list[str],
     order: list[str],
     values: dict[str, str],
-    hot_rows: int = HOT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Add, per group of ``keys``, values of the next row in ``order``.
 
     ``values`` maps new column names to the columns they are read from. The
     ``order`` columns should be unique within a group; ties come in any order.
 
-    A group is usually small and a plain window does. Where a count finds a
-    group beyond ``hot_rows``, the rows are cut into ranges instead, and the
-    last row of a range takes its values from the first row of the next one.
+    Rows are cut into ranges, whatever the size of a group, and the last row of
+    a range takes its values from the first row of the next one. A caller who
+    knows that no group is large may ask for a plain window with ``spread=False``.
     """
-    if largest_group(df, keys) <= hot_rows:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({n: F.lead(c).over(window) for n, c in values.items()})
-    return _lead_over_ranges(df, keys, order, values)
+    if spread:
+        return _lead_over_ranges(df, keys, order, values)
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumns({n: F.lead(c).over(window) for n, c in values.items()})
 
 
 def _ranges(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -71,7 +66,7 @@ def _lead_over_ranges(
     return joined.select(*df.columns, *[chosen[n].alias(n) for n in values])
 
 
-def flight_gaps(segments: DataFrame, order: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def flight_gaps(segments: DataFrame, order: list[str], spread: bool = True) -> DataFrame:
     """Minutes from a segment's arrival to the next departure under its flight number.
 
     Runs over all itineraries and days; ``order`` starts with the departure
@@ -79,7 +74,7 @@ def flight_gaps(segments: DataFrame, order: list[str], hot_rows: int = HOT_ROWS)
     """
     ahead = lead_in_order(
         segments, ["flightNumber"], order,
-        {"next_departure": "departure", "next_arrival": "arrival"}, hot_rows)
+        {"next_departure": "departure", "next_arrival": "arrival"}, spread)
     gap = gap_minutes(local_time(F.col("arrival")), local_time(F.col("next_departure")))
     return ahead.withColumn("layover_duration", gap)
 

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopover.functions.stops import intermediate_stops, layover_text, stop_count
-from stopover.operators.groups import largest_group
 from stopover.schema import SUMMARY_COLUMNS
 
 #: What tells one leg of one itinerary from another.
 LEG_KEYS = ["fetch_date", "itinerary_id", "leg_id", "leg_pos"]
 
-#: What tells the copies of an itinerary apart that lie in several files of a day.
-COPY_KEYS = ["file_path", "itinerary_pos"]
+#: What tells the versions of an itinerary apart that lie in several files or records of a day.
+#: Positions begin anew in every record, so the content counts as well.
+COPY_KEYS = ["file_path", "itinerary_pos", "itinerary_hash"]
 
 #: The looser identity by price text and departure, under which unlike
 #: itineraries of one day may fall together.
@@ -22,10 +22,6 @@ PRICE_KEYS = ["fetch_date", "formattedPrice", "departure"]
 #: Order of all segments of a day, as they stand in its files.
 SEGMENT_ORDER = ["file_path", "itinerary_pos", "itinerary_id", "leg_pos", "seg_pos"]
 
-#: Segments of one group that may be gathered into one row.
-HOT_ROWS = 100_000
-
-
 def summarise_legs(legs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Summary of each row's ``segments`` array; a narrow job without a shuffle.
 
@@ -46,42 +42,17 @@ def summarise_legs(legs: DataFrame, carry: list[str] | None = None) -> DataFrame
 
 
 def summarise_groups(
-    segments: DataFrame,
-    keys: list[str],
-    position: list[str],
-    carry: list[str],
-    hot_rows: int = HOT_ROWS,
+    segments: DataFrame, keys: list[str], position: list[str], carry: list[str]
 ) -> DataFrame:
     """End points and stops per group of ``keys``, and ``carry`` of its first segment.
 
-    A group usually has a few rows, which are gathered and put in order. Where
-    a count finds a group beyond ``hot_rows``, no group is gathered: a first
-    aggregation leaves one row per group and airport, with the places where
-    that airport comes first and last, before anything is shuffled.
+    No group is gathered: a first aggregation leaves one row per group and
+    airport, with the places where that airport comes first and last, and
+    begins before anything is shuffled.
     """
-    if largest_group(segments, keys) <= hot_rows:
-        return _with_stops(_gathered(segments, keys, position, carry))
     return _with_stops(_by_airport(segments, keys, position, carry))
 
 
-def _gathered(
-    segments: DataFrame, keys: list[str], position: list[str], carry: list[str]
-) -> DataFrame:
-    # Gathering shrinks nothing, so the rows are shuffled as they are.
-    stop = F.struct(*position, "destinationCode")
-    grouped = segments.repartition(*keys).groupBy(*keys).agg(
-        F.min(F.struct(*position, "originCode", *carry)).alias("_head"),
-        F.sort_array(F.collect_list(stop)).alias("_rows"),
-    )
-    return grouped.select(
-        *keys,
-        *[F.col(f"_head.{c}").alias(c) for c in carry],
-        F.col("_head.originCode").alias("origin"),
-        F.element_at("_rows", -1)["destinationCode"].alias("destination"),
-        F.col("_rows.destinationCode").alias("_visited"),
-    )
-
-
 def _by_airport(
     segments: DataFrame, keys: list[str], position: list[str], carry: list[str]
 ) -> DataFrame:
@@ -104,13 +75,11 @@ def _by_airport(
     )
 
 
-def summarise_segments(
-    segments: DataFrame, keys: list[str], position: list[str], hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def summarise_segments(segments: DataFrame, keys: list[str], position: list[str]) -> DataFrame:
     """The summary from flat segments, grouped by ``keys``, in order of ``position``."""
     of_first = [c for c in SUMMARY_COLUMNS if c in segments.columns and c not in keys]
     further = [k for k in keys if k not in SUMMARY_COLUMNS]
-    groups = summarise_groups(segments, keys, position, of_first, hot_rows)
+    groups = summarise_groups(segments, keys, position, of_first)
     return groups.select(*further, *SUMMARY_COLUMNS)
 
 

@@ -28,11 +28,11 @@ from stopover.plans.snapshot_job import itinerary_summary as summary_of_envelope
 from stopover.schema import (
     SEGMENT_COLUMNS, SUMMARY_COLUMNS, align_to, describe_paths, has_path,
 )
-from stopover.session import fresh_path
+from stopover.session import fresh_path, staged
 from stopover.sources import sinks
 from stopover.sources.snapshots import (
-    accepted, discover_snapshots, merge_report, outcome_report, read_id_lists, read_snapshots,
-    snapshot_states, union_by_name,
+    accepted, discover_snapshots, folder_date, merge_report, outcome_report, passing_over,
+    read_id_lists, read_snapshots, snapshot_states, union_by_name, unreadable_files,
 )
 from stopover.streaming.ingest import ingest_new_files
 
@@ -111,7 +111,7 @@ def _record_rows(snapshots: DataFrame) -> DataFrame:
         F.col("message").alias("record_id"),
         "status",
         F.col("data.context.totalResults").alias("total_results"),
-        F.size("data.itineraries").alias("itineraries"),
+        F.array_size("data.itineraries").alias("itineraries"),
     )
 
 
@@ -155,11 +155,33 @@ def _stray_records(spark: SparkSession, sf_dir: str) -> str:
     return nested.once(spark, sf_dir, "stray", write)
 
 
+def _unreadable_file(spark: SparkSession, sf_dir: str) -> str:
+    """A file that says it is compressed and is not."""
+    def write(path: str) -> None:
+        spark.range(1).select(nested.envelope_line()).coalesce(1).write.text(f"{path}/plain")
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        source = hadoop.Path(f"{path}/plain")
+        system = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        folder = hadoop.Path(f"{path}/1990-01-01")
+        system.mkdirs(folder)
+        for status in system.globStatus(hadoop.Path(f"{path}/plain/*.txt")):
+            system.rename(status.getPath(), hadoop.Path(folder, "broken.json.gz"))
+        system.delete(source, True)
+    return nested.once(spark, sf_dir, "unreadable", write)
+
+
 def fault_isolated_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = [f(spark, sf_dir) for f in (nested.landing, _stray_records)]
-    snapshots = read_snapshots(
-        spark, [*paths, _cut_records(spark, sf_dir)], files="*.{json,txt}")
-    return outcome_report(snapshots)
+    """Records by day and outcome, and the files that could not be read, whole, as one each."""
+    paths = [f(spark, sf_dir) for f in (
+        nested.landing, _stray_records, _cut_records, _unreadable_file)]
+    report, lost = passing_over(
+        lambda bad: staged(outcome_report(
+            read_snapshots(spark, paths, files="*.{json,txt,gz}", exclude=bad)), "outcomes"),
+        most=1)
+    files = unreadable_files(spark, lost).groupBy(
+        folder_date(F.col("file_path")).alias("fetch_date"), F.col("reason").alias("outcome"),
+    ).agg(F.count("*").alias("records"))
+    return report.unionByName(files)
 
 
 _OPERATING = (
@@ -200,7 +222,8 @@ def union_by_name_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def empty_input_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All records lie in a folder that is no date: nothing to merge, no summary rows."""
-    snapshots = read_snapshots(spark, _stray_records(spark, sf_dir))
+    # parsed once; the report and the summary read the table
+    snapshots = staged(read_snapshots(spark, _stray_records(spark, sf_dir)), "records")
     report = merge_report(snapshots).select(F.inline(F.array(
         F.struct(F.lit("kept").alias("measure"), F.col("kept").alias("value")),
         F.struct(F.lit("rejected").alias("measure"), F.col("rejected").alias("value")),
@@ -235,6 +258,15 @@ def json_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_json(spark, path, summary.schema)
 
 
+def merged_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged nested records as JSON, read back and flattened."""
+    store, path = nested.merged(spark, sf_dir), fresh_path(spark, "merged_json")
+    sinks.write_json(store, path)
+    return flatten_segments(sinks.read_json(spark, path, store.schema)).select(
+        "itinerary_id", "leg_id", "leg_pos", "seg_pos", *SEGMENT_COLUMNS,
+        "seg_departure", "seg_arrival")
+
+
 def csv_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary, path = _leg_summary(spark, sf_dir), fresh_path(spark, "csv")
     sinks.write_csv(summary, path)
@@ -261,7 +293,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landings with a run after each, and a last run that finds nothing new."""
     base, target, checkpoint = (fresh_path(spark, n) for n in ("land", "stored", "progress"))
     events = _event_lines(spark, sf_dir)
-    early = F.dayofmonth(F.col("fetch_date").cast("date")) <= 15
+    early = F.coalesce(F.dayofmonth(F.col("fetch_date").cast("date")) <= 15, F.lit(False))
 
     def run() -> None:
         ingest_new_files(spark, base, target, checkpoint, _EVENT,
@@ -552,6 +584,7 @@ QUERIES = {
     "schema_introspection": schema_introspection,
     "id_list_scan": id_list_scan,
     "json_sink_roundtrip": json_sink_roundtrip,
+    "merged_json_roundtrip": merged_json_roundtrip,
     "csv_sink_roundtrip": csv_sink_roundtrip,
     "parquet_sink_roundtrip": parquet_sink_roundtrip,
     "partitioned_parquet_sink": partitioned_parquet_sink,

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopover.operators.groups import largest_group
 from stopover.session import fresh_path
 from stopover.sources.snapshots import accepted, read_snapshots
 
@@ -25,9 +24,8 @@ CODES = 25
 # Fixed value: what stands before a price, rupee sign and no-break space.
 PRICE_MARK = "\u20b9\u00a0"
 
-# Copies of one line item that may lie in one leg, and copies one task makes at a time.
-COPIES_PER_LEG = 1000
-COPIES_PER_TASK = 1_000_000
+# Copies of one line item that are made at a time.
+COPIES_AT_ONCE = 1_000_000
 
 _staged: dict[tuple[str, str, str], str] = {}
 
@@ -68,24 +66,20 @@ def fetch_date(day: Column) -> Column:
     return F.concat(F.year(day).cast("string"), F.lit("-01-01"))
 
 
-def with_copy_number(lines: DataFrame) -> DataFrame:
-    """Number the copies of a line item that occurs very often; for all others the number is 0.
+def spread_number() -> Column:
+    """Sum of all that tells the line items of an order apart, and the number of the copy."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return (F.col("l_linenumber") + F.col("l_partkey") + F.col("l_suppkey")
+            + F.coalesce(cents, F.lit(0)) + F.col("copy"))
 
-    Copies are counted before the shuffle and made again behind it, so that
-    they are numbered without a sort of all of them in one task.
-    """
-    if largest_group(lines, ["l_orderkey"]) <= COPIES_PER_LEG:
-        return lines.withColumn("copy", F.lit(0).cast("bigint"))
-    columns = lines.columns
-    counted = lines.groupBy(*columns).agg(F.count("*").alias("copies"))
-    last_run = whole(F.col("copies") - 1, COPIES_PER_TASK)
+
+def with_copies(counted: DataFrame) -> DataFrame:
+    """A row for each of ``copies``, numbered; made in runs, and never sorted."""
+    last_run = whole(F.col("copies") - 1, COPIES_AT_ONCE)
     runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
-    first = F.col("run") * COPIES_PER_TASK
-    last = F.least(F.col("copies"), first + COPIES_PER_TASK) - 1
-    made = runs.repartition("l_orderkey", "l_partkey", "run").withColumn(
-        "copy", F.explode(F.sequence(first, last)))
-    number = F.when(F.col("copies") > COPIES_PER_LEG, F.col("copy")).otherwise(0)
-    return made.select(*columns, number.alias("copy"))
+    first = F.col("run") * COPIES_AT_ONCE
+    last = F.least(F.col("copies"), first + COPIES_AT_ONCE) - 1
+    return runs.withColumn("copy", F.explode(F.sequence(first, last))).drop("run", "copies")
 
 
 def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,9 +92,10 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     heads = orders.join(sizes, orders.o_orderkey == sizes.l_orderkey, "left").select(
         "o_orderkey", "o_totalprice", "o_orderdate",
         whole(F.col("lines") + SEGMENTS_PER_LEG - 1, SEGMENTS_PER_LEG).alias("legs"))
-    numbered = with_copy_number(lines)
-    filled = numbered.join(heads, numbered.l_orderkey == heads.o_orderkey).withColumn(
-        "leg_no", (F.col("l_partkey") + F.col("l_suppkey") + F.col("copy")) % F.col("legs"))
+    # Copies are counted before they are shuffled, and made again behind the join.
+    counted = lines.groupBy(*lines.columns).agg(F.count("*").alias("copies"))
+    filled = with_copies(counted.join(heads, counted.l_orderkey == heads.o_orderkey)).withColumn(
+        "leg_no", spread_number() % F.col("legs"))
     bare = heads.where("legs is null")
     placed = (
         filled.unionByName(bare, allowMissingColumns=True)
@@ -176,10 +171,16 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing(spark: SparkSession, sf_dir: str) -> str:
     """Landing folder of JSON lines, one folder per snapshot."""
     def write(path: str) -> None:
-        envelopes(spark, sf_dir).drop("block", "page").write.partitionBy("fetch_date").json(path)
+        records = envelopes(spark, sf_dir).drop("block", "page").hint("rebalance", "fetch_date")
+        records.write.partitionBy("fetch_date").json(path)
     return once(spark, sf_dir, "landing", write)
 
 
+def envelope_line() -> Column:
+    """Text of a record without itineraries."""
+    return F.lit('{"status": true, "message": "none", "data": {"itineraries": []}}').alias("value")
+
+
 def envelope_text(pretty: bool = False) -> Column:
     fields = F.struct("status", "message", "data")
     return F.to_json(fields, {"pretty": "true"} if pretty else {})

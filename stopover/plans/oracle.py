@@ -16,14 +16,15 @@ sizes as (
   select l_orderkey, (count(*) + 3) // 4 as n_legs from lineitem group by l_orderkey
 ),
 numbered_lines as (
-  select *, count(*) over same as copies, row_number() over same - 1 as copy_row
+  select *, row_number() over same - 1 as copy_row
   from lineitem
   window same as (partition by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
                   l_quantity, l_linestatus, l_shipdate)
 ),
 placed as (
   select l.*,
-         (l_partkey + l_suppkey + case when copies > 1000 then copy_row else 0 end) % n_legs
+         (l_linenumber + l_partkey + l_suppkey
+          + coalesce(cast(round(l_extendedprice * 100) as bigint), 0) + copy_row) % n_legs
            as leg_no
   from numbered_lines l join sizes using (l_orderkey)
 ),
@@ -216,7 +217,9 @@ select fetch_date, 'accepted' as outcome, count(*) as records from records group
 union all
 select fetch_date, 'malformed record', count(*) from records group by fetch_date
 union all
-select 'none', 'folder is not a date', count(*) from records""",
+select 'none', 'folder is not a date', count(*) from records
+union all
+select '1990-01-01', 'file cannot be read', 1""",
     "schema_align": f"""with {_SEGMENTS}
 select fetch_date, itinerary_id, leg_id, count(*) - 1 as stop_count, true as operating_is_null,
        false as path_before, true as path_after
@@ -354,3 +357,5 @@ select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as fetch_date,
        cast(o_orderkey as varchar) || '.json' as file
 from orders""",
 }
+
+ORACLE["merged_json_roundtrip"] = ORACLE["flatten_segments"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stopover.functions.times import date_key
 from stopover.operators.flatten import (
-    explode_itineraries, explode_legs, explode_segments, flatten_segments, segment_columns,
+    explode_itineraries, explode_legs, explode_segments, segment_columns,
 )
 from stopover.operators.summary import (
     PRICE_KEYS, SEGMENT_ORDER, distinct_segments, summarise_legs, summarise_segments,
@@ -24,13 +24,19 @@ from stopover.sources.sinks import (
     write_csv, write_json, write_parquet, write_partitioned,
 )
 from stopover.sources.snapshots import (
-    ACCEPTED, CORRUPT, LINEAGE, has_repeats, latest_itineraries, outcome, read_snapshots,
-    snapshot_report,
+    ACCEPTED, CORRUPT, JSON_FILES, LINEAGE, latest_itineraries, outcome, passing_over,
+    read_snapshots, snapshot_report, unreadable_files,
 )
 
 
 def merge_snapshots(
-    spark: SparkSession, landing: str, store: str, schema: str = FULL_ENVELOPE
+    spark: SparkSession,
+    landing: str,
+    store: str,
+    schema: str = FULL_ENVELOPE,
+    multi_line: bool = False,
+    files: str = JSON_FILES,
+    exclude: list[str] | None = None,
 ) -> DataFrame:
     """Write all landed records as parquet, by outcome and day, and open the accepted ones.
 
@@ -39,7 +45,8 @@ def merge_snapshots(
     A field of the wrong type makes its record malformed; with the narrow
     ``ENVELOPE`` for ``schema`` that holds for the needed fields only.
     """
-    records = read_snapshots(spark, landing, schema).withColumn("outcome", outcome())
+    records = read_snapshots(spark, landing, schema, multi_line, files, exclude).withColumn(
+        "outcome", outcome())
     write_partitioned(records, store, "outcome", "fetch_date", rebalance=False)
     return open_store(spark, store)
 
@@ -67,9 +74,8 @@ def _stored(spark: SparkSession, store: str, schema: str) -> DataFrame:
 
 
 def current_itineraries(envelopes: DataFrame) -> DataFrame:
-    """Itineraries, repeated landings of a day counted once; shuffled only if there are any."""
-    itineraries = explode_itineraries(envelopes)
-    return latest_itineraries(itineraries) if has_repeats(envelopes) else itineraries
+    """Itineraries, repeated landings of a day counted once."""
+    return latest_itineraries(explode_itineraries(envelopes))
 
 
 def itinerary_summary(envelopes: DataFrame) -> DataFrame:
@@ -77,12 +83,15 @@ def itinerary_summary(envelopes: DataFrame) -> DataFrame:
     return summarise_legs(explode_legs(current_itineraries(envelopes)))
 
 
-def summary_by_price(envelopes: DataFrame) -> DataFrame:
+def itinerary_segments(itineraries: DataFrame) -> DataFrame:
+    return segment_columns(explode_segments(explode_legs(itineraries)))
+
+
+def summary_by_price(segments: DataFrame) -> DataFrame:
     """The eleven columns by day, price text and departure, in order of the files.
 
     Itineraries of one day with equal price and departure come out as one row.
     """
-    segments = segment_columns(explode_segments(explode_legs(current_itineraries(envelopes))))
     return summarise_segments(segments, PRICE_KEYS, SEGMENT_ORDER).select(*SUMMARY_COLUMNS)
 
 
@@ -97,23 +106,43 @@ def run(
     out: str,
     by_price: bool = False,
     merged_json: bool = False,
+    by_search_date: bool = False,
+    multi_line: bool = False,
+    files: str = JSON_FILES,
+    unreadable: int = 0,
 ) -> DataFrame:
     """Write all outputs below ``out`` and return the summary.
 
     ``by_price`` summarises by day, price text and departure instead of by leg;
-    ``merged_json`` writes the accepted records as JSON too, with every field.
+    ``merged_json`` writes the accepted records as JSON too, with every field;
+    ``by_search_date`` the summary by leg with a folder for each search date.
+    ``multi_line`` and ``files`` are those of ``read_snapshots``. Up to
+    ``unreadable`` files that cannot be read are left out and listed with the rejects.
+
+    Segments and summary come from one set of itineraries, kept below ``out``
+    as ``itineraries``: the latest version of each on its day.
     """
-    merged = merge_snapshots(spark, landing, f"{out}/merged")
-    write_json(open_rejected(spark, f"{out}/merged"), f"{out}/rejected")
+    merged, lost = passing_over(
+        lambda bad: merge_snapshots(
+            spark, landing, f"{out}/merged", FULL_ENVELOPE, multi_line, files, bad), unreadable)
+    rejects = open_rejected(spark, f"{out}/merged").unionByName(unreadable_files(spark, lost))
+    write_json(rejects, f"{out}/rejected")
     write_parquet(snapshot_report(merged), f"{out}/report")
     if merged_json:
         write_json(open_store(spark, f"{out}/merged", FULL_ENVELOPE), f"{out}/merged_json")
     if merged.isEmpty():
         return empty_summary(spark)
-    segments = distinct_segments(flatten_segments(merged), SEGMENT_COLUMNS)
-    write_partitioned(segments, f"{out}/segments", "fetch_date")
-    summary = summary_by_price(merged) if by_price else itinerary_summary(merged)
-    write_parquet(summary, f"{out}/summary")
+    write_parquet(current_itineraries(merged), f"{out}/itineraries")
+    itineraries = spark.read.parquet(f"{out}/itineraries")
+    segments = itinerary_segments(itineraries)
+    write_partitioned(
+        distinct_segments(segments, SEGMENT_COLUMNS), f"{out}/segments", "fetch_date")
+    legs = explode_legs(itineraries)
+    write_parquet(
+        summary_by_price(segments) if by_price else summarise_legs(legs), f"{out}/summary")
+    if by_search_date:
+        write_partitioned(summarise_legs(legs, ["search_date"]),
+                          f"{out}/summary_by_search_date", "search_date")
     summary = spark.read.schema(SUMMARY_SCHEMA).parquet(f"{out}/summary")
     write_csv(summary, f"{out}/summary_csv")
     return summary
@@ -125,9 +154,14 @@ def main() -> None:
     options.add_argument("--out", required=True)
     options.add_argument("--by-price", action="store_true")
     options.add_argument("--merged-json", action="store_true")
+    options.add_argument("--by-search-date", action="store_true")
+    options.add_argument("--multi-line", action="store_true")
+    options.add_argument("--files", default=JSON_FILES)
+    options.add_argument("--unreadable", type=int, default=0)
     chosen = options.parse_args()
     spark = SparkSession.builder.appName("snapshot job").getOrCreate()
-    run(spark, chosen.landing, chosen.out, chosen.by_price, chosen.merged_json)
+    run(spark, chosen.landing, chosen.out, chosen.by_price, chosen.merged_json,
+        chosen.by_search_date, chosen.multi_line, chosen.files, chosen.unreadable)
 
 
 if __name__ == "__main__":

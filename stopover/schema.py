@@ -120,43 +120,33 @@ def has_path(df: DataFrame, path: str) -> bool:
 def describe_paths(df: DataFrame) -> DataFrame:
     """One row per field: its path, its type, and how many values are present.
 
-    Fields of array elements are counted after an explode, so there is one
-    aggregation per array, and no record is blown up in memory.
+    Values are counted inside each record, those in arrays by array functions,
+    and summed in one aggregation over one scan.
     """
-    counted = None
-    for part in _described(df.select(F.struct("*").alias("_at")), df.schema, ""):
-        counted = part if counted is None else counted.unionByName(part)
-    return counted
-
-
-def _described(rows: DataFrame, struct: T.StructType, prefix: str) -> list[DataFrame]:
-    """Counts for the structs in column ``_at``, then for those inside its arrays."""
-    here: list[tuple[str, str, Column]] = []
-    arrays: list[tuple[str, T.DataType, Column]] = []
-
-    def walk(value: Column, inside: T.StructType, start: str) -> None:
-        for field in inside.fields:
-            path, at = f"{start}{field.name}", value[field.name]
-            here.append((path, field.dataType.simpleString(), at))
-            if isinstance(field.dataType, T.StructType):
-                walk(at, field.dataType, f"{path}.")
-            elif isinstance(field.dataType, T.ArrayType):
-                arrays.append((path, field.dataType.elementType, at))
-
-    walk(F.col("_at"), struct, prefix)
-    totals = rows.agg(*[F.count(at).alias(str(i)) for i, (_, _, at) in enumerate(here)])
-    parts = [totals.select(F.inline(F.array(*[
+    counts: list[tuple[str, str, Column]] = []
+    # One column for the elements of each array, so that none is taken apart twice.
+    rows = df.select(F.array(F.struct("*")).alias("_0"))
+    levels = [(F.col("_0"), df.schema, "")]
+    while levels:
+        values, struct, prefix = levels.pop()
+        for field in struct.fields:
+            path, kind, found = f"{prefix}{field.name}", field.dataType, values[field.name]
+            counts.append((path, kind.simpleString(), F.array_size(F.array_compact(found))))
+            if isinstance(kind, T.StructType):
+                levels.append((found, kind, f"{path}."))
+            elif isinstance(kind, T.ArrayType):
+                while isinstance(kind, T.ArrayType):
+                    found, kind = F.flatten(F.array_compact(found)), kind.elementType
+                if isinstance(kind, T.StructType):
+                    name = f"_{len(rows.columns)}"
+                    rows = rows.withColumn(name, found)
+                    levels.append((F.col(name), kind, f"{path}."))
+    totals = rows.agg(*[
+        F.coalesce(F.sum(count), F.lit(0)).alias(str(i)) for i, (_, _, count) in enumerate(counts)])
+    return totals.select(F.inline(F.array(*[
         F.struct(F.lit(path).alias("path"), F.lit(kind).alias("type"),
                  F.col(str(i)).alias("present"))
-        for i, (path, kind, _) in enumerate(here)
-    ])))]
-    for path, element, at in arrays:
-        inner = rows.select(F.explode(at).alias("_at"))
-        while isinstance(element, T.ArrayType):
-            inner, element = inner.select(F.explode("_at").alias("_at")), element.elementType
-        if isinstance(element, T.StructType):
-            parts += _described(inner, element, f"{path}.")
-    return parts
+        for i, (path, kind, _) in enumerate(counts)])))
 
 
 def _aligned(value: Column, have: T.DataType | None, want: T.DataType) -> Column:

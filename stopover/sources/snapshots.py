@@ -2,17 +2,22 @@
 
 Layout: ``<base>/<fetch date>/<file>.json``; a folder named
 ``fetch_date=<fetch date>`` is taken as well. The day comes from the path, so
-no listing on the driver, no read per day and no union is needed, and a filter
-on ``fetch_date`` still leaves the other days' files unread.
+no read per day and no union is needed. Spark lists the files of the whole
+landing folder before a scan; a filter on ``fetch_date`` leaves other days'
+files unread, and a list of days leaves their folders unlisted.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from typing import TypeVar
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stopover.functions.text import path_part
-from stopover.operators.groups import largest_group
 from stopover.schema import ENVELOPE
 
 # Fixed value: form of a fetch date.
@@ -47,22 +52,32 @@ def with_lineage(records: DataFrame) -> DataFrame:
     )
 
 
+def plain_path(encoded: Column) -> Column:
+    """A file path as readers take it, from the encoded one of the file metadata."""
+    decoded = F.url_decode(F.regexp_replace(encoded, r"\+", "%2B"))
+    return F.regexp_replace(decoded, r"([\[\]{}*?\\])", r"\\$1")
+
+
 def read_snapshots(
     spark: SparkSession,
     base: str | list[str],
     schema: str = ENVELOPE,
     multi_line: bool = False,
     files: str = JSON_FILES,
-    skip_unreadable: bool = False,
+    exclude: list[str] | None = None,
+    days: list[str] | None = None,
 ) -> DataFrame:
     """All records below ``base``, with lineage; malformed ones carry their text.
 
     ``files`` is a pattern for the file names that count. With ``multi_line`` a
     file is parsed as a whole by one task, so files must be small; the default
-    splits files by line. A file that cannot be read fails the job, since a
-    store that is down for a moment must not cost data; ``skip_unreadable``
-    passes over it, and ``unread_files`` tells which ones gave no record.
+    splits files by line. With ``days`` only the folders of those days, which
+    must exist, are listed and read. A file that cannot be read fails the
+    job; ``exclude`` names such files (as in ``file_path``), see ``passing_over``.
     """
+    folders = [base] if isinstance(base, str) else base
+    if days is not None:
+        folders = [f"{folder}/{{{day},fetch_date={day}}}" for folder in folders for day in days]
     records = (
         spark.read.schema(f"{schema}, {CORRUPT} string")
         .option("mode", "PERMISSIVE")
@@ -70,13 +85,47 @@ def read_snapshots(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", files)
         .option("multiLine", multi_line)
-        .option("ignoreCorruptFiles", skip_unreadable)
-        .option("ignoreMissingFiles", skip_unreadable)
-        .json(base)
+        .json(folders)
     )
+    if exclude:
+        # the file source looks at such a filter before it opens a file
+        named = {form for path in exclude for form in (path, unquote(path))}
+        records = records.where(~F.col("_metadata.file_path").isin(*sorted(named)))
     return with_lineage(records)
 
 
+Result = TypeVar("Result")
+
+
+def passing_over(
+    action: Callable[[list[str]], Result], most: int
+) -> tuple[Result, list[str]]:
+    """Run ``action``, leaving out files that cannot be read; returns them too.
+
+    ``action`` gets the files to leave out and reads strictly. If it fails on a
+    file, that file is left out as a whole and the action is run again, so no
+    file counts half. Beyond ``most`` such files the failure stands, and so does
+    any other failure: a store that is down must not cost data.
+    """
+    unreadable: list[str] = []
+    while True:
+        try:
+            return action(unreadable), unreadable
+        except Exception as error:
+            found = re.search(r"reading file (.+?)\.\s+SQLSTATE", str(error))
+            # Told with an empty host, which the path of a record has not.
+            path = re.sub("^([a-z0-9+]+:)///", r"\1/", found[1]) if found else None
+            if path is None or path in unreadable or len(unreadable) >= most:
+                raise
+            unreadable.append(path)
+
+
+def unreadable_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files left out, in the form of ``rejected``."""
+    rows = [(path, "file cannot be read", None) for path in paths]
+    return spark.createDataFrame(rows, "file_path string, reason string, record string")
+
+
 def outcome() -> Column:
     """What becomes of a record: accepted, or the reason why it is not."""
     return (
@@ -123,14 +172,9 @@ def discover_snapshots(spark: SparkSession, base: str, files: str = JSON_FILES)
     return list_files(spark, base, files).groupBy("fetch_date").agg(F.count("*").alias("files"))
 
 
-def unread_files(files: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Listed files that gave no record, neither a good nor a malformed one."""
-    return files.join(snapshots.select("file_path").distinct(), "file_path", "left_anti")
-
-
 def snapshot_report(snapshots: DataFrame) -> DataFrame:
     """Per day: records, itineraries, statuses told by the search, and whether it is empty."""
-    found = F.coalesce(F.size("data.itineraries"), F.lit(0))
+    found = F.coalesce(F.array_size("data.itineraries"), F.lit(0))
     return (
         snapshots.groupBy("fetch_date")
         .agg(
@@ -177,22 +221,18 @@ def merge_report(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def has_repeats(envelopes: DataFrame) -> bool:
-    """Whether a day holds an itinerary more than once; runs one job on the ids alone."""
-    ids = envelopes.select("fetch_date", F.explode("data.itineraries.id").alias("itinerary_id"))
-    return largest_group(ids, ["fetch_date", "itinerary_id"]) > 1
-
-
 def latest_itineraries(itineraries: DataFrame) -> DataFrame:
     """Keep one copy of an itinerary per day: that of the file landed last.
 
-    Itineraries without an id are copies only if they are alike in full.
-    Spark cuts each group to its first row before the shuffle as well as after
-    it, so a day landed many times over sends few rows per itinerary.
+    Within a file the earlier position counts, then the smaller hash of the
+    content, so that the choice is the same in every run. Itineraries without
+    an id are copies only if they are alike in full. Spark cuts each group to
+    its first row before the shuffle as well as after it, so a day landed many
+    times over sends few rows per itinerary.
     """
-    content = F.when(F.col("itinerary_id").isNull(), F.struct("formattedPrice", "legs"))
+    content = F.when(F.col("itinerary_id").isNull(), F.col("itinerary_hash"))
     copies = Window.partitionBy("fetch_date", "itinerary_id", content).orderBy(
-        F.desc("landed_at"), F.desc("file_path"), "itinerary_pos")
+        F.desc("landed_at"), F.desc("file_path"), "itinerary_pos", "itinerary_hash")
     return (
         itineraries.withColumn("_copy", F.row_number().over(copies))
         .where("_copy = 1")

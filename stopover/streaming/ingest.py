@@ -15,7 +15,7 @@ from stopover.operators.summary import LEG_KEYS, summarise_legs
 from stopover.schema import ENVELOPE
 from stopover.sources.sinks import replace_snapshots
 from stopover.sources.snapshots import (
-    CORRUPT, JSON_FILES, accepted, latest_itineraries, read_snapshots, with_lineage,
+    CORRUPT, JSON_FILES, accepted, latest_itineraries, plain_path, read_snapshots, with_lineage,
 )
 
 
@@ -82,7 +82,7 @@ def refresh_days(
     """
 
     def rewrite(batch: DataFrame, _: int) -> None:
-        folder = F.regexp_replace("file_path", "/[^/]+$", "")
+        folder = F.regexp_replace(plain_path(F.col("file_path")), "/[^/]+$", "")
         # Folders of days: as many as days have new files, not as many as rows.
         days = [row[0] for row in
                 batch.where("fetch_date is not null").select(folder).distinct().collect()]

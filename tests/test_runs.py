@@ -17,7 +17,7 @@ def values(df):
 
 def test_job_writes_golden_summary(spark, landing, tmp_path):
     base, out = tmp_path / "landed", str(tmp_path / "out")
-    (base / "2025-03-06" / "cut.json").write_text('{"status": tr')
+    (base / "2031-07-02" / "cut.json").write_text('{"status": tr')
     for _ in range(2):
         assert sorted(map(tuple, run(spark, landing, out).collect())) == golden_summary()
     assert spark.read.parquet(f"{out}/segments").count() == 41
@@ -28,8 +28,8 @@ def test_job_writes_golden_summary(spark, landing, tmp_path):
 
 def test_job_counts_a_second_landing_once(spark, landing, tmp_path):
     base = tmp_path / "landed"
-    land(base, "2025-03-06", "again.json", envelope(
-        [golden_itinerary(r) for r in GOLDEN if r[0] == "2025-03-06"]))
+    land(base, "2031-07-02", "again.json", envelope(
+        [golden_itinerary(r) for r in GOLDEN if r[0] == "2031-07-02"]))
     summary = run(spark, landing, str(tmp_path / "out"))
     assert sorted(map(tuple, summary.collect())) == golden_summary()
     assert spark.read.parquet(str(tmp_path / "out" / "segments")).count() == 41
@@ -38,7 +38,7 @@ def test_job_counts_a_second_landing_once(spark, landing, tmp_path):
 def test_command_line(spark, landing, tmp_path, monkeypatch):
     base, out = tmp_path / "landed", str(tmp_path / "out")
     first = golden_itinerary(GOLDEN[0])
-    land(base, "2025-03-06", "again.json", envelope([first]))
+    land(base, "2031-07-02", "again.json", envelope([first]))
     monkeypatch.setattr("sys.argv", [
         "job", "--landing", landing, "--out", out, "--by-price", "--merged-json"])
     main()
@@ -87,11 +87,11 @@ def test_ingest_takes_each_file_once_and_equals_batch(spark, tmp_path):
         ingest_new_files(spark, str(base), target, progress, **options)
         counts.append(spark.read.parquet(target).count())
 
-    land(base, "2025-03-06", "a.json", envelope([golden_itinerary(GOLDEN[0])]))
+    land(base, "2031-07-02", "a.json", envelope([golden_itinerary(GOLDEN[0])]))
     go()
-    land(base, "2025-03-06", "b.json", envelope([golden_itinerary(GOLDEN[2])]))
-    land(base, "2025-03-07", "c.json", envelope([golden_itinerary(GOLDEN[10])]))
-    (base / "2025-03-07" / "cut.json").write_text("{")
+    land(base, "2031-07-02", "b.json", envelope([golden_itinerary(GOLDEN[2])]))
+    land(base, "2031-07-03", "c.json", envelope([golden_itinerary(GOLDEN[10])]))
+    (base / "2031-07-03" / "cut.json").write_text("{")
     go(max_files=1)
     go()
     # a file that lands late and carries an old time
@@ -148,3 +148,43 @@ def test_refresh_rewrites_touched_days_only(spark, tmp_path):
     # a second file of the day repeats one itinerary and brings another
     land(base, "2025-01-01", "b.json", envelope([one, two]))
     assert summary() == sorted([*first, ("2025-01-01", "2", "")])
+
+
+def test_refresh_in_a_folder_with_odd_names(spark, tmp_path):
+    base, target = tmp_path / "with blank, 50% + [x]", str(tmp_path / "t")
+    land(base, "2031-01-01", "a file.json", envelope([itinerary("1", [leg("1", ["A", "X", "B"])])]))
+    refresh_days(spark, f"{tmp_path}/with blank, 50% + \\[x\\]", target, str(tmp_path / "p"))
+    assert values(spark.read.parquet(target).select("itinerary_id", "layover")) == [("1", "X")]
+
+
+def test_segments_and_summary_are_of_the_same_version(spark, tmp_path):
+    base, out = tmp_path / "prices", str(tmp_path / "out")
+    for name, price in (("a", "100"), ("b", "200")):
+        land(base, "2031-01-01", f"{name}.json", envelope(
+            [itinerary("1", [leg("1", ["A", "B"])], price)]))
+        os.utime(base / "2031-01-01" / f"{name}.json", (1_900_000_000 + ord(name),) * 2)
+    summary = run(spark, str(base), out, by_search_date=True)
+    segments = spark.read.parquet(f"{out}/segments")
+    for table in (summary, segments):
+        assert [r.formattedPrice[-3:] for r in table.collect()] == ["200"]
+    assert spark.read.parquet(f"{out}/summary_by_search_date").count() == 1
+
+
+def test_job_lists_unreadable_files(spark, landing, tmp_path):
+    (tmp_path / "landed" / "2031-07-02" / "bad.json.gz").write_bytes(b"not compressed")
+    out = str(tmp_path / "out")
+    summary = run(spark, landing, out, files="*.json*", unreadable=1)
+    assert sorted(map(tuple, summary.collect())) == golden_summary()
+    assert values(spark.read.json(f"{out}/rejected").select("reason")) == [
+        ("file cannot be read",)]
+
+
+def test_job_with_multi_line_files(spark, tmp_path):
+    import json
+
+    folder = tmp_path / "multi" / "2031-01-01"
+    folder.mkdir(parents=True)
+    made = envelope([itinerary("1", [leg("1", ["A", "X", "B"])])])
+    (folder / "a.json").write_text(json.dumps([made, envelope([])], indent=2))
+    summary = run(spark, str(tmp_path / "multi"), str(tmp_path / "out"), multi_line=True)
+    assert [r.layover for r in summary.collect()] == ["X"]

@@ -1,5 +1,7 @@
 import json
+import gzip
 import os
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,9 +10,9 @@ from pyspark.sql import types as T
 from stopover.operators.flatten import explode_itineraries, flatten_segments
 from stopover.schema import FULL_ENVELOPE, align_to, describe_paths, has_path, schema_paths
 from stopover.sources.snapshots import (
-    accepted, discover_snapshots, has_repeats, latest_itineraries, list_files, merge_report,
+    accepted, discover_snapshots, latest_itineraries, merge_report,
     missing_snapshots, outcome_report, read_id_lists, read_snapshots, rejected, snapshot_report,
-    snapshot_states, union_by_name, unread_files,
+    passing_over, snapshot_states, union_by_name, unreadable_files,
 )
 from tests.landed import envelope, itinerary, land, leg
 
@@ -22,7 +24,7 @@ def values(df):
 def test_one_scan_tags_day_and_search_date(spark, landing):
     rows = read_snapshots(spark, landing).select("fetch_date", "search_date").collect()
     assert sorted(rows, key=str) == [
-        ("2025-03-05", None), ("2025-03-06", None), ("2025-03-07", "2025-03-28")]
+        ("2031-07-01", None), ("2031-07-02", None), ("2031-07-03", "2031-07-24")]
 
 
 def test_folder_named_like_a_partition_is_a_day_too(spark, tmp_path):
@@ -34,7 +36,7 @@ def test_empty_day_neither_breaks_the_merge_nor_adds_rows(spark, landing):
     records = accepted(read_snapshots(spark, landing))
     assert records.count() == 3
     assert flatten_segments(records).count() == 41
-    assert flatten_segments(records).where("fetch_date = '2025-03-05'").count() == 0
+    assert flatten_segments(records).where("fetch_date = '2031-07-01'").count() == 0
 
 
 def test_full_schema_reads_drifting_fields(spark, landing):
@@ -43,35 +45,35 @@ def test_full_schema_reads_drifting_fields(spark, landing):
         "fetch_date", F.explode(F.flatten("data.itineraries.legs")).alias("leg"))
     operated = legs.where("leg.carriers.operating is not null").select(
         "fetch_date", F.col("leg.carriers.operating")[0]["name"])
-    assert values(operated) == [("2025-03-07", "IndiGo")]
+    assert values(operated) == [("2031-07-03", "Carrier X")]
 
 
 def test_report_tells_the_failed_search(spark, landing):
     report = snapshot_report(accepted(read_snapshots(spark, landing)))
     assert values(report) == [
-        ("2025-03-05", 1, 0, "failure", True),
-        ("2025-03-06", 1, 10, "incomplete", False),
-        ("2025-03-07", 1, 10, "incomplete", False)]
+        ("2031-07-01", 1, 0, "failure", True),
+        ("2031-07-02", 1, 10, "incomplete", False),
+        ("2031-07-03", 1, 10, "incomplete", False)]
 
 
 def test_missing_days(spark, landing):
-    expected = spark.createDataFrame([("2025-03-06",), ("2025-03-08",)], "fetch_date string")
+    expected = spark.createDataFrame([("2031-07-02",), ("2031-07-04",)], "fetch_date string")
     found = accepted(read_snapshots(spark, landing))
-    assert values(missing_snapshots(expected, found)) == [("2025-03-08",)]
+    assert values(missing_snapshots(expected, found)) == [("2031-07-04",)]
     assert values(snapshot_states(expected, found)) == [
-        ("2025-03-05", 0, "failure", "empty"), ("2025-03-06", 10, "incomplete", "full"),
-        ("2025-03-07", 10, "incomplete", "full"), ("2025-03-08", 0, "", "missing")]
+        ("2031-07-01", 0, "failure", "empty"), ("2031-07-02", 10, "incomplete", "full"),
+        ("2031-07-03", 10, "incomplete", "full"), ("2031-07-04", 0, "", "missing")]
 
 
 def test_faults_are_set_aside_with_their_reason(spark, landing, tmp_path):
     base = tmp_path / "landed"
-    (base / "2025-03-06" / "cut.json").write_text('{"status": true, "data": {"itin')
+    (base / "2031-07-02" / "cut.json").write_text('{"status": true, "data": {"itin')
     wrong = envelope([itinerary("x", [leg("l", ["A", "B"])])])
     wrong["data"]["itineraries"][0]["legs"][0]["durationInMinutes"] = "long"
-    land(base, "2025-03-07", "wrong_type.json", wrong)
+    land(base, "2031-07-03", "wrong_type.json", wrong)
     land(base, "undated", "data.json", envelope([]))
     land(base, "2025-13-45", "no_such_day.json", envelope([]))
-    (base / "2025-03-05" / "bare.json").write_text('{"message": "no body"}\n')
+    (base / "2031-07-01" / "bare.json").write_text('{"message": "no body"}\n')
     snapshots = read_snapshots(spark, landing)
     assert flatten_segments(accepted(snapshots)).count() == 41
     found = rejected(snapshots).select(
@@ -85,32 +87,52 @@ def test_faults_are_set_aside_with_their_reason(spark, landing, tmp_path):
     assert tuple(merge_report(snapshots).first()) == (3, 5, True)
     assert rejected(snapshots).count() == 5
     assert values(outcome_report(snapshots)) == [
-        ("2025-03-05", "accepted", 1), ("2025-03-05", "no result body", 1),
-        ("2025-03-06", "accepted", 1), ("2025-03-06", "malformed record", 1),
-        ("2025-03-07", "accepted", 1), ("2025-03-07", "malformed record", 1),
+        ("2031-07-01", "accepted", 1), ("2031-07-01", "no result body", 1),
+        ("2031-07-02", "accepted", 1), ("2031-07-02", "malformed record", 1),
+        ("2031-07-03", "accepted", 1), ("2031-07-03", "malformed record", 1),
         ("none", "folder is not a date", 2)]
 
 
 def test_discovery_lists_days_without_reading(spark, landing, tmp_path):
     land(tmp_path / "landed", "undated", "data.json", envelope([]))
-    land(tmp_path / "landed", "2025-03-06", "second.json", envelope([]))
+    land(tmp_path / "landed", "2031-07-02", "second.json", envelope([]))
     found = discover_snapshots(spark, landing)
     assert sorted(map(tuple, found.collect()), key=str) == [
-        ("2025-03-05", 1), ("2025-03-06", 2), ("2025-03-07", 1), (None, 1)]
+        ("2031-07-01", 1), ("2031-07-02", 2), ("2031-07-03", 1), (None, 1)]
     assert "content" not in found._jdf.queryExecution().executedPlan().toString()
 
 
-def test_unreadable_file_fails_the_job_or_is_told(spark, landing, tmp_path):
-    broken = tmp_path / "landed" / "2025-03-06" / "no gzip.json.gz"
-    broken.write_bytes(b"this is not compressed")
-    pattern = "*.json*"
-    with pytest.raises(Exception, match="gzip"):
-        read_snapshots(spark, landing, files=pattern).select("data").collect()
-    read = read_snapshots(spark, landing, files=pattern, skip_unreadable=True)
-    assert flatten_segments(accepted(read)).count() == 41
-    unread = unread_files(list_files(spark, landing, pattern), read).collect()
-    assert [(r.fetch_date, r.file_path.rsplit("/", 1)[1]) for r in unread] == [
-        ("2025-03-06", "no%20gzip.json.gz")]
+def test_unreadable_file_fails_the_job_or_is_left_out_whole(spark, landing, tmp_path):
+    """A file cut off in the middle gives no half result."""
+    lines = (tmp_path / "landed" / "2031-07-02" / "result.json").read_bytes()
+    packed = gzip.compress(os.urandom(64).hex().encode().join([lines] * 300), 1)
+    broken = tmp_path / "landed" / "2031-07-02" / "cut off.json.gz"
+    broken.write_bytes(packed[:len(packed) // 2])
+    (tmp_path / "landed" / "2031-07-03" / "none.json.gz").write_bytes(b"this is not compressed")
+
+    def rows(exclude):
+        read = read_snapshots(spark, landing, files="*.json*", exclude=exclude)
+        return flatten_segments(accepted(read)).count()
+
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        rows([])
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        passing_over(rows, most=1)
+    found, lost = passing_over(rows, most=2)
+    assert found == 41
+    told = unreadable_files(spark, lost).collect()
+    assert sorted(unquote(r.file_path).rsplit("/", 1)[1] for r in told) == [
+        "cut off.json.gz", "none.json.gz"]
+    assert {r.reason for r in told} == {"file cannot be read"}
+    with pytest.raises(ZeroDivisionError):
+        passing_over(lambda bad: 1 // 0, most=5)
+
+
+def test_days_are_read_without_the_others(spark, landing, tmp_path):
+    land(tmp_path / "landed", "fetch_date=2031-08-01", "a.json", envelope([]))
+    some = read_snapshots(spark, landing, days=["2031-07-02", "2031-08-01"])
+    assert len(some.inputFiles()) == 2
+    assert {r.fetch_date for r in some.collect()} == {"2031-07-02", "2031-08-01"}
 
 
 def test_second_file_of_a_day_counts_once(spark, tmp_path):
@@ -140,21 +162,8 @@ def test_itineraries_without_id_are_copies_only_if_alike(spark, tmp_path):
         ("1", 1), ("2", 0), ("2", 1)]
 
 
-def test_has_repeats(spark, landing, tmp_path):
-    envelopes = accepted(read_snapshots(spark, landing))
-    assert not has_repeats(envelopes)
-    same_id_on_another_day = envelope([itinerary("x", [])])
-    land(tmp_path / "landed", "2025-04-01", "a.json", same_id_on_another_day)
-    land(tmp_path / "landed", "2025-04-02", "a.json", same_id_on_another_day)
-    assert not has_repeats(accepted(read_snapshots(spark, landing)))
-    land(tmp_path / "landed", "2025-04-02", "b.json", same_id_on_another_day)
-    assert has_repeats(accepted(read_snapshots(spark, landing)))
-    empty = accepted(read_snapshots(spark, landing)).where("false")
-    assert not has_repeats(empty)
-
-
 def test_filter_on_the_day_leaves_other_files_unread(spark, landing):
-    day = read_snapshots(spark, landing).where("fetch_date = '2025-03-06'").select("data")
+    day = read_snapshots(spark, landing).where("fetch_date = '2031-07-02'").select("data")
     assert len(day.collect()) == 1 and len(day.inputFiles()) == 3
     scan = day._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
     assert scan.metrics().apply("numFiles").value() == 1
