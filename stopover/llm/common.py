@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 # Rows of a batch that become Python objects at a time.
 ROWS_AT_ONCE = 256
-# What separates words, as a character class and as SQL text.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# A word: what no ASCII white space interrupts.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -21,11 +22,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package, and take texts in smaller batches.
 
-    A cluster whose machines do not hold the same path gets the package with
-    ``--py-files`` as usual.
+    The package is taken from where the driver has it; a cluster whose machines
+    do not hold the same path gets it with ``--py-files`` as usual. Batches of
+    Spark's default number of rows are large when rows are whole texts; a
+    number that the session sets itself stays.
     """
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "2000")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     have = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in have.split(os.pathsep):

@@ -19,7 +19,7 @@ from array import array
 import numpy as np
 
 # Parts kept (as many of the generation before), and bytes of the longest part that is kept.
-KEPT, LONGEST = 300_000, 64
+KEPT, LONGEST = 400_000, 64
 
 # Characters that some definitions count as white space, ASCII ones left out.
 _ODD_SPACE = re.compile(
