@@ -8,8 +8,8 @@ batch's buffer, so that a mapped file gives it without a copy. Only the last
 sequence of a file is filled up; there the mask is false. Beside it lies an
 Arrow file that says where each document starts.
 
-Files are written under a name of the attempt and renamed when whole, so a
-task that runs twice, or dies, leaves no half file under a final name. The
+A file's name holds its attempt, and nothing is renamed or replaced, so a task
+that runs twice, or dies, never meets another's file, on any file system. The
 files that count are those in the rows that the write returns.
 """
 
@@ -118,9 +118,9 @@ def id_type(path: str) -> pa.DataType:
 def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, length: int,
            end: int) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get()
-    part, name = task.partitionId(), f"{folder}/part-{task.partitionId():06d}.arrow"
-    system, final = opened(name)
-    own = f"{final}.attempt-{task.taskAttemptId()}"
+    part = task.partitionId()
+    name = f"{folder}/part-{part:06d}-{task.taskAttemptId()}.arrow"
+    system, own = opened(name)
     system.create_dir(opened(folder)[1], recursive=True)
     encode, last = encoder(path).encode, np.array([end], "<u4").tobytes()
     index = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -141,8 +141,6 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, length: in
                 start, n_docs = int(starts[-1]), n_docs + rows.num_rows
         writer.close()
         places.close()
-    system.move(own + ".docs", final + ".docs")
-    system.move(own, final)
     yield pa.RecordBatch.from_arrays(
         [pa.array([part], pa.int32()), pa.array([name]), pa.array([n_docs], pa.int64()),
          pa.array([start], pa.int64())], names=["part", "path", "n_docs", "n_tokens"])

@@ -115,6 +115,16 @@ def test_token_files_round_trip(spark, odd, empty):
     assert token_files.read_token_files(spark, none).count() == 0
 
 
+def test_files_of_another_attempt_stay(spark, odd):
+    """A second write into a folder meets no file of the first; each manifest reads its own."""
+    folder = fresh_path(spark, "tokens")
+    first = token_files.write_token_files(odd, folder, BYTES, length=16)
+    again = token_files.write_token_files(odd.limit(0), folder, BYTES, length=16)
+    assert not {r["path"] for r in first} & {r["path"] for r in again}
+    assert token_files.read_token_files(spark, first).count() == len(ROWS)
+    assert token_files.read_token_files(spark, again).count() == 0
+
+
 def checked(rows, size):
     by = {}
     for r in rows:
