@@ -21,9 +21,10 @@ def test_the_named_folder_is_used():
     assert fresh_path(named, "x") != fresh_path(named, "x")
 
 
-def test_a_cluster_without_one_is_refused():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[3,2,3000]"])
+def test_a_cluster_without_one_is_refused(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Settings(spark_master="yarn"))
+        shared_folder(Settings(spark_master=master))
 
 
 def test_a_local_session_may_go_without():
