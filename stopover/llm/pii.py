@@ -11,17 +11,19 @@ taken, the best first, if they overlap nothing taken before.
 There are no labels, so the trees learn from what can be checked: base spans of
 a bounded sample, also rewritten in the forms the patterns miss, are examples;
 candidates that fail the checks, and examples broken on purpose, are counter-examples.
-The threshold is the lowest with the stated precision on a part of them that
-the trees haven't seen.
+Each kind has its own threshold: the lowest with the stated precision on a part
+of them that the trees haven't seen.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,11 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 
-# Most texts with candidates to learn from, and the precision asked for.
-SAMPLE, PRECISION = 3000, 0.99
+# Most texts with candidates to learn from, most base spans and most other candidates of one
+# of them, most examples in all, and the precision asked for.
+SAMPLE, PER_TEXT, EXAMPLES, PRECISION = 3000, 200, 20_000, 0.99
+# Candidates that are scored at a time.
+SCORED = 4096
 TREES, DEPTH, RATE = 40, 3, 0.2
 FEATURES = 28
 
@@ -168,7 +173,8 @@ class Trees:
 
     offset: float = 0.0
     trees: list[list[tuple]] = field(default_factory=list)
-    threshold: float = 2.0
+    # by kind; above 1 nothing is taken
+    thresholds: list[float] = field(default_factory=lambda: [2.0] * len(KINDS))
 
     def __post_init__(self):
         self.key = uuid.uuid4().hex
@@ -215,7 +221,7 @@ def grow(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, cuts: list[np.ndarra
 
 
 def boost(x: np.ndarray, y: np.ndarray) -> Trees:
-    """Trees and threshold; every fourth row only serves the threshold."""
+    """Trees and thresholds; every fourth row only serves the thresholds."""
     model = Trees()
     if len(x) < 20 or y.min() == y.max():
         return model
@@ -231,15 +237,30 @@ def boost(x: np.ndarray, y: np.ndarray) -> Trees:
         model.trees.append(nodes)
         one = Trees(0.0, [nodes]).score(a)
         total += np.log(one / (1 - one))
-    scores, truth = model.score(x[held]), y[held]
-    for cut in np.unique(scores)[::-1]:
-        taken = scores >= cut
-        if truth[taken].mean() < PRECISION:
-            break
-        model.threshold = float(max(cut, 0.5))
+    scores, truth, kinds = model.score(x[held]), y[held], x[held, 0]
+    for kind in range(len(KINDS)):
+        own = kinds == kind
+        model.thresholds[kind] = lowest(scores[own], truth[own])
     return model
 
 
+def lowest(scores: np.ndarray, truth: np.ndarray) -> float:
+    """The lowest cut from 0.5 on above which the stated share is true; 2 if there is none.
+
+    It lies half-way between the last score taken and the next one below.
+    """
+    order = np.argsort(-scores, kind="stable")
+    ranked = scores[order]
+    share = np.cumsum(truth[order]) / np.arange(1, len(order) + 1)
+    # equal scores are taken together, so only the last of them is a cut
+    last = np.append(ranked[1:] != ranked[:-1], True)[:len(ranked)]
+    fine = np.flatnonzero(last & (share >= PRECISION))
+    if not len(fine):
+        return 2.0
+    below = ranked[fine[-1] + 1] if fine[-1] + 1 < len(ranked) else 0.0
+    return max(0.5, float(ranked[fine[-1]] + below) / 2)
+
+
 def rewritten(text: str, span: Span, rng) -> Iterator[tuple[str, Span, int]]:
     """A base span in forms that the patterns miss (1), or broken on purpose (0)."""
     start, kind, end = span
@@ -289,14 +310,25 @@ def marked(text: str, taken: list[Span]) -> bytearray:
     return out
 
 
+def some(spans: Iterable[Span], most: int, rng) -> list[Span]:
+    """All spans, or ``most`` of them picked evenly at random."""
+    kept: list[Span] = []
+    for n, span in enumerate(spans):
+        if n < most:
+            kept.append(span)
+        elif (at := int(rng.integers(0, n + 1))) < most:
+            kept[at] = span
+    return kept
+
+
 def examples(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels from texts, see the module's text."""
-    rng = np.random.default_rng(3)
+    """Features and labels from texts, see the module's text; a bounded number of each text."""
     x, y = [], []
     for text in rows:
+        rng = np.random.default_rng(zlib.crc32(text.encode()))
         base = base_spans(text)
         held, covered = set(base), marked(text, base)
-        for span in dict.fromkeys(candidates(text)):
+        for span in some(candidates(text), PER_TEXT, rng):
             start, kind, end = span
             if span in held:
                 x.append(features(text, span))
@@ -304,7 +336,7 @@ def examples(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
             elif not any(covered[start:end]):
                 x.append(features(text, span))
                 y.append(0)
-        for span in base:
+        for span in some(base, PER_TEXT, rng):
             start, kind, end = span
             low = max(0, start - 64)
             near, moved = text[low:end + 64], (start - low, kind, end - low)
@@ -318,7 +350,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Trees:
     """Learn from texts with a digit or an at sign, about ``sample`` of them at most.
 
     The sample is hashed, so it is the same in every run. Only the features of
-    its candidates come to the driver.
+    a bounded number of candidates of each text come to the driver.
     """
     on_workers(docs.sparkSession)
     rows = docs.select(F.col("text").cast("string").alias("text")).where("text rlike '[0-9@]'")
@@ -327,7 +359,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Trees:
     x = np.array(got.column("x").to_pylist(), float).reshape(-1, FEATURES)
     y = got.column("y").to_numpy()
     order = np.lexsort((*x.T, y))
-    order = np.random.default_rng(4).permutation(order)[:20_000]
+    order = np.random.default_rng(4).permutation(order)[:EXAMPLES]
     return boost(x[order], y[order])
 
 
@@ -339,19 +371,25 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def spans(text: str, model: Trees) -> list[Span]:
-    """Base spans and added ones, by start, then kind."""
+    """Base spans and added ones, by start, then kind.
+
+    Candidates are scored in blocks, so that a long text full of digits holds
+    no more than those above their thresholds.
+    """
     base = base_spans(text)
-    if model.threshold > 1:
+    if min(model.thresholds) > 1:
         return base
     covered = marked(text, base)
-    free = [c for c in dict.fromkeys(candidates(text)) if not any(covered[c[0]:c[2]])]
-    if not free:
-        return base
-    scores = model.score(np.array([features(text, c) for c in free]))
+    cuts = np.array(model.thresholds)
+    free = (c for c in candidates(text) if not any(covered[c[0]:c[2]]))
+    good: list[tuple[float, Span]] = []
+    while block := list(islice(free, SCORED)):
+        scores = model.score(np.array([features(text, c) for c in block]))
+        above = np.flatnonzero(scores >= cuts[[c[1] for c in block]])
+        good += [(-float(scores[i]), block[i]) for i in above]
     taken = list(base)
-    for i in np.lexsort((np.arange(len(free)), -scores)):
-        c = free[i]
-        if scores[i] >= model.threshold and not any(covered[c[0]:c[2]]):
+    for _, c in sorted(good, key=lambda g: g[0]):
+        if not any(covered[c[0]:c[2]]):
             taken.append(c)
             covered[c[0]:c[2]] = b"\1" * (c[2] - c[0])
     return sorted(taken)

@@ -96,6 +96,33 @@ def test_long_words_take_no_longer():
         pii.spans(text, pii.Trees())
 
 
+def test_threshold_is_the_lowest_with_the_precision():
+    scores, truth = np.array([0.9, 0.8, 0.8, 0.7, 0.6, 0.55]), np.array([1, 1, 1, 1, 1, 0.0])
+    assert np.isclose(pii.lowest(scores, truth), 0.575)
+    assert np.isclose(pii.lowest(np.array([0.9, 0.7, 0.7]), np.array([1, 1, 0.0])), 0.8)
+    assert pii.lowest(np.array([0.9, 0.9]), np.array([1, 0.0])) == 2.0
+    assert pii.lowest(np.array([0.9, 0.2]), np.array([1, 1.0])) == 0.5
+    assert pii.lowest(np.empty(0), np.empty(0)) == 2.0
+
+
+def test_blocks_of_candidates_change_nothing(monkeypatch):
+    text = " ".join(str(7919 * i % 10_007) for i in range(400)) + " 4111/1111/1111/1111 x"
+    rows = [f"call +1 605 555 {n:04d} or {n} now, a{n}@b{n}.com 4111 1111 1111 1111"
+            for n in range(1000, 1200)]
+    model = pii.boost(*pii.examples(rows + [text]))
+    whole = pii.spans(text, model)
+    monkeypatch.setattr(pii, "SCORED", 7)
+    assert min(model.thresholds) <= 1 and pii.spans(text, model) == whole
+
+
+def test_examples_of_a_text_are_bounded():
+    text = "1 2 3 4 5 6 7 8 9 " * 2000 + "a@b.com " * 1000
+    x, y = pii.examples([text])
+    assert len(x) == len(y) <= 12 * pii.PER_TEXT
+    again, _ = pii.examples(["other 12345678901234567", text])
+    assert np.array_equal(again[-len(x):], x)
+
+
 def test_luhn():
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
 
@@ -108,7 +135,7 @@ def test_masking_joins_overlaps():
 @needs_data
 def test_added_spans_keep_base_ones_and_leave_clean_texts(spark, docs):
     model = pii.fit(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
-    assert model.threshold <= 1
+    assert max(model.thresholds) <= 1
     caught = "joe (at) example (dot) com and then +1 (605) 555-9305 4078918989542222 here"
     kinds = {pii.KINDS[k] for _, k, _ in pii.spans(caught, model)}
     assert {"email", "card", "phone"} <= kinds
