@@ -93,12 +93,15 @@ class SequenceFile:
         lists = self.reader.get_batch(number).column(column)
         return lists.values.slice(lists.offset * self.length, len(lists) * self.length)
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (a view of the file, if it is mapped) and mask of sequence ``i``."""
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of sequence ``i``, both views of the file if it is mapped.
+
+        The mask has a bit for each id, so its view is Arrow's.
+        """
         number, row = divmod(i, SEQUENCES)
         at = slice(row * self.length, (row + 1) * self.length)
         return (self.batch(number, "ids").to_numpy(zero_copy_only=True)[at],
-                self.batch(number, "mask").slice(at.start, self.length).to_numpy(zero_copy_only=False))
+                self.batch(number, "mask").slice(at.start, self.length))
 
     def tokens(self, start: int, count: int) -> np.ndarray:
         """``count`` ids of the file's stream from ``start`` on, across sequences."""
