@@ -3,7 +3,8 @@
 Texts become fingerprints, equal fingerprints one row. Two fingerprints that
 differ in at most ``d`` bits agree on all but ``d`` of the ``d + 2`` blocks of
 bits, so on two whole blocks at least: every pair of blocks is a key, and rows
-of one key meet. Which of them link is settled by a pivot table: the distances
+of one key meet. (A caller with very many rows may ask for keys of three or more
+of as many more blocks: more keys, each shared by fewer rows.) Which of them link is settled by a pivot table: the distances
 of each fingerprint to a number of fixed reference fingerprints, computed once
 per key group. By the triangle inequality two rows are no link if any of these
 coordinates differs by more than ``d``; rows sorted by the first coordinate
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from stopover.llm.common import on_workers, rows_of, utf8
 from stopover.session import staged
 
-# Reference fingerprints, and rows that one task takes of a key group at a time.
-PIVOTS, PART = 24, 4096
+# Reference fingerprints, rows that one task takes of a key group at a time, and blocks of a key.
+PIVOTS, PART, AGREE = 24, 4096, 2
 _PIVOTS = np.random.default_rng(6).integers(0, 1 << 63, PIVOTS, dtype=np.uint64) << np.uint64(1)
 
 
@@ -68,15 +69,22 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int,
                 names=["doc_id", "hash", "fp"])
 
 
-def block_keys(fp: Column, bits: int) -> Column:
-    """Every pair of the ``bits + 2`` blocks of a fingerprint, as array of structs."""
-    blocks = bits + 2
+def block_keys(fp: Column, bits: int, agree: int = AGREE) -> Column:
+    """Every choice of ``agree`` of the ``bits + agree`` blocks of a fingerprint, as array of structs.
+
+    The blocks of a choice stay where they are, the other bits are zero.
+    """
+    blocks = bits + agree
     edges = [64 * i // blocks for i in range(blocks + 1)]
-    values = [F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
-              for low, high in zip(edges, edges[1:])]
+    masks = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:])]
     return F.array(*[
-        F.struct(F.lit(n).alias("which"), values[i].alias("one"), values[j].alias("two"))
-        for n, (i, j) in enumerate(combinations(range(blocks), 2))])
+        F.struct(F.lit(n).alias("which"),
+                 fp.bitwiseAND(F.lit(signed(sum(chosen))).cast("long")).alias("value"))
+        for n, chosen in enumerate(combinations(masks, agree))])
+
+
+def signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >> 63 else bits
 
 
 def close_pairs(left: np.ndarray, right: np.ndarray | None, bits: int) -> np.ndarray:
@@ -151,7 +159,7 @@ def _links(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBa
         return pa.RecordBatch.from_arrays(
             [pa.array(c, pa.int64()) for c in zip(*found)], names=["u", "v"])
 
-    names = ("which", "one", "two", "tile_a", "tile_b")
+    names = ("which", "value", "tile_a", "tile_b")
     for batch in batches:
         columns = [batch.column(n).to_pylist() for n in (*names, "fp", "side")]
         for *new, fp, side in zip(*columns):
@@ -164,7 +172,7 @@ def _links(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBa
         yield out
 
 
-def links(distinct: DataFrame, bits: int = 4, part: int = PART) -> DataFrame:
+def links(distinct: DataFrame, bits: int = 4, part: int = PART, agree: int = AGREE) -> DataFrame:
     """Links ``u, v`` (``v`` the smaller) that join all distinct ``fp`` within ``bits`` bits.
 
     Their components are those of all close pairs; a chain of close
@@ -172,8 +180,8 @@ def links(distinct: DataFrame, bits: int = 4, part: int = PART) -> DataFrame:
     """
     spark = distinct.sparkSession
     on_workers(spark)
-    keys = ["which", "one", "two"]
-    keyed = distinct.select("fp", F.explode(block_keys(F.col("fp"), bits)).alias("k")).select(
+    keys = ["which", "value"]
+    keyed = distinct.select("fp", F.explode(block_keys(F.col("fp"), bits, agree)).alias("k")).select(
         "fp", "k.*")
     # Groups that are too large for one task, and the number of their parts; as a
     # table, so that the join is planned by its true size.

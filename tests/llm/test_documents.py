@@ -176,11 +176,11 @@ def test_links_of_dense_groups_and_chains(spark):
     for p in prints:
         least[want[p]] = min(signed(p), least.get(want[p], signed(p)))
     table = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
-    for part in (4096, 20):
-        edges = simhash.links(table, 4, part=part)
+    for part, agree, keys in ((4096, 2, 15), (20, 2, 15), (4096, 3, 35)):
+        edges = simhash.links(table, 4, part, agree)
         got = {r.fp: r.root for r in simhash.components(edges).collect()}
         assert all(got.get(signed(p), signed(p)) == least[want[p]] for p in prints)
-        assert edges.count() < 15 * len(prints)
+        assert edges.count() < keys * len(prints)
 
 
 def plain_counts(text):
