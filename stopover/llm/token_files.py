@@ -16,6 +16,7 @@ files that count are those in the rows that the write returns.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -36,10 +37,16 @@ WRITTEN = "part int, path string, n_docs long, n_tokens long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+def uri(path: str) -> str:
+    """A path or URI as Spark names it, as ``pyarrow`` does."""
+    if "://" not in path and not path.startswith("file:"):
+        return f"file://{path}"
+    return re.sub("^s3[an]:", "s3:", path)
+
+
 def opened(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a URI or a local path."""
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:")
-                                  else f"file://{path}")
+    return fs.FileSystem.from_uri(uri(path))
 
 
 class SequenceWriter:

@@ -120,6 +120,12 @@ def test_token_files_round_trip(spark, odd, empty):
     assert token_files.read_token_files(spark, none).count() == 0
 
 
+def test_paths_as_spark_names_them():
+    assert token_files.uri("/a/b c") == "file:///a/b c"
+    assert token_files.uri("file:/a") == "file:/a" and token_files.uri("hdfs://h/a") == "hdfs://h/a"
+    assert token_files.uri("s3a://bucket/a") == token_files.uri("s3n://bucket/a") == "s3://bucket/a"
+
+
 def test_files_of_another_attempt_stay(spark, odd):
     """A second write into a folder meets no file of the first; each manifest reads its own."""
     folder = fresh_path(spark, "tokens")
