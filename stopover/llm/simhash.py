@@ -3,14 +3,15 @@
 Texts become fingerprints, equal fingerprints one row. Two fingerprints that
 differ in at most ``d`` bits agree on all but ``d`` of the ``d + 2`` blocks of
 bits, so on two whole blocks at least: every pair of blocks is a key, and rows
-of one key meet. (A caller with very many rows may ask for keys of three or more
-of as many more blocks: more keys, each shared by fewer rows.) Which of them link is settled by a pivot table: the distances
-of each fingerprint to a number of fixed reference fingerprints, computed once
-per key group. By the triangle inequality two rows are no link if any of these
-coordinates differs by more than ``d``; rows sorted by the first coordinate
-leave a narrow band to look at, the others discard most of that, and what is
-left is verified bit by bit. Links come out as a forest (a link to the smallest
-fingerprint reached in the key group), never as all pairs.
+of one key meet. (A caller with very many rows may let them meet on ``agree`` of
+``d + agree`` blocks instead: more keys, each shared by fewer rows.) Which of
+them link is settled by a pivot table: the distances of each fingerprint to a
+number of fixed reference fingerprints, computed once per key group. By the
+triangle inequality two rows are no link if any of these coordinates differs by
+more than ``d``; rows sorted by the first coordinate leave a narrow band to look
+at, the others discard most of that, and what is left is verified bit by bit.
+Links come out as a forest (a link to the smallest fingerprint reached in the
+key group), never as all pairs.
 
 A key group too large for one task is dealt to several, each with two of its
 parts, so that every two rows meet somewhere. Components are found by rounds
@@ -69,22 +70,19 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int,
                 names=["doc_id", "hash", "fp"])
 
 
-def block_keys(fp: Column, bits: int, agree: int = AGREE) -> Column:
-    """Every choice of ``agree`` of the ``bits + agree`` blocks of a fingerprint, as array of structs.
+def key_names(agree: int) -> list[str]:
+    return ["which", *[f"block{n}" for n in range(agree)]]
 
-    The blocks of a choice stay where they are, the other bits are zero.
-    """
+
+def block_keys(fp: Column, bits: int, agree: int = AGREE) -> Column:
+    """Every choice of ``agree`` of the ``bits + agree`` blocks of a fingerprint, as array of structs."""
     blocks = bits + agree
     edges = [64 * i // blocks for i in range(blocks + 1)]
-    masks = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:])]
+    values = [F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
+              for low, high in zip(edges, edges[1:])]
     return F.array(*[
-        F.struct(F.lit(n).alias("which"),
-                 fp.bitwiseAND(F.lit(signed(sum(chosen))).cast("long")).alias("value"))
-        for n, chosen in enumerate(combinations(masks, agree))])
-
-
-def signed(bits: int) -> int:
-    return bits - (1 << 64) if bits >> 63 else bits
+        F.struct(*[v.alias(name) for v, name in zip([F.lit(n), *chosen], key_names(agree))])
+        for n, chosen in enumerate(combinations(values, agree))])
 
 
 def close_pairs(left: np.ndarray, right: np.ndarray | None, bits: int) -> np.ndarray:
@@ -137,7 +135,8 @@ def forest(values: np.ndarray, pairs: np.ndarray) -> list[tuple[int, int]]:
     return [(int(values[i]), int(values[root(i)])) for i in np.unique(pairs) if root(i) != i]
 
 
-def _links(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+def _links(batches: Iterator[pa.RecordBatch], bits: int,
+           names: list[str]) -> Iterator[pa.RecordBatch]:
     """Links of rows sorted by key and tile; ``side`` says which part of the tile a row is of."""
     key, held = None, []
 
@@ -159,7 +158,6 @@ def _links(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBa
         return pa.RecordBatch.from_arrays(
             [pa.array(c, pa.int64()) for c in zip(*found)], names=["u", "v"])
 
-    names = ("which", "value", "tile_a", "tile_b")
     for batch in batches:
         columns = [batch.column(n).to_pylist() for n in (*names, "fp", "side")]
         for *new, fp, side in zip(*columns):
@@ -180,7 +178,7 @@ def links(distinct: DataFrame, bits: int = 4, part: int = PART, agree: int = AGR
     """
     spark = distinct.sparkSession
     on_workers(spark)
-    keys = ["which", "value"]
+    keys = key_names(agree)
     keyed = distinct.select("fp", F.explode(block_keys(F.col("fp"), bits, agree)).alias("k")).select(
         "fp", "k.*")
     # Groups that are too large for one task, and the number of their parts; as a
@@ -199,7 +197,7 @@ def links(distinct: DataFrame, bits: int = 4, part: int = PART, agree: int = AGR
         "fp", *keys, "t.*")
     group = [*keys, "tile_a", "tile_b"]
     met = tiled.repartition(*group).sortWithinPartitions(*group)
-    return met.mapInArrow(partial(_links, bits=bits), "u long, v long").distinct()
+    return met.mapInArrow(partial(_links, bits=bits, names=group), "u long, v long").distinct()
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
