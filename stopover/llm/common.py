@@ -66,10 +66,11 @@ def sampled(rows: DataFrame, size: int) -> DataFrame:
     """Distinct rows with ``text``, about ``size`` of them: those with a low hash of the text.
 
     All if there are no more than that. The same rows in every run; copies of
-    a row count once, so that a large group of them is no more than one. What is
-    shuffled is the sample alone.
+    a row count once, both in the sample and in the number that its share is
+    of, so that a table gives the same sample however often its rows are there.
+    What is shuffled are hashes of distinct rows, and the sample.
     """
-    n = rows.count()
+    n = rows.select(F.xxhash64(*rows.columns)).distinct().count()
     if n > size:
         share = F.xxhash64("text").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
         rows = rows.where(share < size / n)

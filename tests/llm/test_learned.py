@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stopover.llm import language, pii, quality
-from stopover.llm.common import crc32
+from stopover.llm.common import crc32, sampled
 from tests.llm.conftest import ROWS
 
 SF = "/root/testdata/sf0.01"
@@ -32,6 +32,22 @@ def test_language_of_held_out_rows(docs):
     assert np.array_equal(model.vectors, again.vectors) and model.threshold == again.threshold
 
 
+def test_copies_leave_the_sample_alone(spark):
+    """A few hundred texts, thousands of copies of each."""
+    words = {"en": "the cat and the dog sat on a mat", "fr": "le chat et le chien sont sur un tapis"}
+    once = spark.createDataFrame(
+        [(lang, f"{text} {n}") for n in range(200) for lang, text in words.items()],
+        "lang string, text string")
+    often = once.crossJoin(spark.range(2000)).drop("id")
+    for size in (100, 400):
+        want = sorted(map(tuple, sampled(once, size).collect()))
+        assert 0.6 * size < len(want) <= 1.4 * size
+        assert sorted(map(tuple, sampled(often, size).collect())) == want
+    few, many = (language.fit(d, F.lit(True), 100) for d in (once, often))
+    assert many.languages == ["en", "fr"] and many.threshold > 0
+    assert np.array_equal(few.vectors, many.vectors) and few.threshold == many.threshold
+
+
 def test_language_of_odd_rows(odd, empty):
     model = language.fit(odd, F.lit(True))
     got = {r.doc.doc_id: r for r in language.predicted(odd, model).collect()}
