@@ -11,8 +11,8 @@ taken, the best first, if they overlap nothing taken before.
 There are no labels, so the trees learn from what can be checked: base spans of
 a bounded sample, also rewritten in the forms the patterns miss, are examples;
 candidates that fail the checks, and examples broken on purpose, are counter-examples.
-Each kind has its own threshold: the lowest with the stated precision on a part
-of them that the trees haven't seen.
+Each kind has its own threshold: the lowest with the stated precision when each
+fold of them is scored by trees that haven't seen it.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ DIGIT = re.compile(r"[0-9]")
 SAMPLE, PER_TEXT, EXAMPLES, PRECISION = 3000, 200, 20_000, 0.99
 # Candidates that are scored at a time.
 SCORED = 4096
-TREES, DEPTH, RATE = 40, 3, 0.2
+TREES, DEPTH, RATE, FOLDS = 40, 3, 0.2, 4
 FEATURES = 28
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -100,7 +100,6 @@ def base_spans(text: str) -> list[Span]:
 
 
 AT = re.compile(r"\s?(?:\(at\)|\[at\]|\{at\}|@)\s?| at ", re.IGNORECASE)
-LEFT = re.compile(r"[\w.%+-]+\Z")
 RIGHT = re.compile(r"[\w-]+(?:(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\[\.\])\s?| dot |\.)[\w-]+)+",
                    re.IGNORECASE)
 BROKEN_IP = re.compile(r"[0-9]{1,3}(?:(?:\[\.\]|\(\.\)| ?\[dot\] ?| dot |\. )[0-9]{1,3}){3}",
@@ -109,15 +108,21 @@ RUN = re.compile(r"\(?\+?[0-9](?:[\x20().\xa0/-]{0,3}[0-9])+")
 GROUP = re.compile(r"[0-9]+")
 
 
+def name_start(text: str, end: int) -> int:
+    """Where the name that ends at ``end`` begins, however long; no mark lies in a name."""
+    start = end
+    while start and (text[start - 1].isalnum() or text[start - 1] in "_.%+-"):
+        start -= 1
+    return start
+
+
 def candidates(text: str) -> Iterator[Span]:
     """Spans that may be personal data, many of them not."""
-    lower = text.lower()
-    if "@" in text or "at)" in lower or "at]" in lower or "at}" in lower or " dot " in lower:
-        for m in AT.finditer(text):
-            right = RIGHT.match(text, m.end())
-            left = LEFT.search(text[max(0, m.start() - 64):m.start()])
-            if right and left:
-                yield m.start() - len(left.group()), 0, right.end()
+    for m in AT.finditer(text):
+        right = RIGHT.match(text, m.end())
+        start = name_start(text, m.start()) if right else m.start()
+        if start < m.start():
+            yield start, 0, right.end()
     if not DIGIT.search(text):
         return
     for m in BROKEN_IP.finditer(text):
@@ -220,27 +225,36 @@ def grow(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, cuts: list[np.ndarra
     return nodes
 
 
-def boost(x: np.ndarray, y: np.ndarray) -> Trees:
-    """Trees and thresholds; every fourth row only serves the thresholds."""
+def grown(x: np.ndarray, y: np.ndarray) -> Trees:
     model = Trees()
-    if len(x) < 20 or y.min() == y.max():
-        return model
-    held = np.arange(len(x)) % 4 == 3
-    a, b = x[~held], y[~held]
-    rate = b.mean()
+    rate = np.clip(y.mean(), 0.5 / len(y), 1 - 0.5 / len(y))
     model.offset = float(np.log(rate / (1 - rate)))
-    cuts = [np.unique(np.quantile(c, np.linspace(0.05, 0.95, 12), method="nearest")) for c in a.T]
-    total = np.full(len(a), model.offset)
+    cuts = [np.unique(np.quantile(c, np.linspace(0.05, 0.95, 12), method="nearest")) for c in x.T]
+    total = np.full(len(x), model.offset)
     for _ in range(TREES):
         p = 1 / (1 + np.exp(-total))
-        nodes = grow(a, p - b, p * (1 - p), cuts)
+        nodes = grow(x, p - y, p * (1 - p), cuts)
         model.trees.append(nodes)
-        one = Trees(0.0, [nodes]).score(a)
+        one = Trees(0.0, [nodes]).score(x)
         total += np.log(one / (1 - one))
-    scores, truth, kinds = model.score(x[held]), y[held], x[held, 0]
+    return model
+
+
+def boost(x: np.ndarray, y: np.ndarray) -> Trees:
+    """Trees of all rows; thresholds from folds, each scored by trees that haven't seen it.
+
+    So every row counts for the threshold of its kind: a few rows of a quarter
+    held out would switch a kind off or on by chance.
+    """
+    if len(x) < 20 or y.min() == y.max():
+        return Trees()
+    turn, scores = np.arange(len(x)) % FOLDS, np.zeros(len(x))
+    for fold in range(FOLDS):
+        scores[turn == fold] = grown(x[turn != fold], y[turn != fold]).score(x[turn == fold])
+    model, kinds = grown(x, y), x[:, 0]
     for kind in range(len(KINDS)):
         own = kinds == kind
-        model.thresholds[kind] = lowest(scores[own], truth[own])
+        model.thresholds[kind] = lowest(scores[own], y[own])
     return model
 
 
@@ -275,6 +289,9 @@ def rewritten(text: str, span: Span, rng) -> Iterator[tuple[str, Span, int]]:
         for at, dot in ((" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" @ ", "."),
                         ("(at)", "."), ("{at}", "{dot}")):
             yield put(name + at + host.replace(".", dot), 1)
+        turn = zlib.crc32(own.encode()) % 3
+        for at, dots in ((" at ", ("[dot]", " (dot) ", "{dot}")), (" AT ", ("[.]", "(dot)", " [dot] "))):
+            yield put(name + at + host.replace(".", dots[turn]), 1)
         yield put(f"{name} at {host}", 0)
         yield put(f"{name} at {host} dot by", 0)
         yield put(f"{name} at {host.replace('.', ' ')}", 0)

@@ -112,6 +112,39 @@ def test_long_words_take_no_longer():
         pii.spans(text, pii.Trees())
 
 
+MIXED = ("john at example[dot]com", "john at example (dot) com", "john AT example[.]com",
+         "john at mail.example{dot}com", "john (at) example.com", "john at example dot com")
+
+
+def test_mixed_forms_are_candidates():
+    for own in MIXED:
+        for text in (own, f"write to {own} now", f"x@ y {own}"):
+            start = text.index("john")
+            assert (start, 0, start + len(own)) in list(pii.candidates(text)), text
+
+
+def test_names_are_taken_whole():
+    name = "a.b" * 100
+    text = f"mail x, {name} (at) b.c or {name}@b (dot) c"
+    found = [text[s:e] for s, k, e in pii.candidates(text) if k == 0]
+    assert found == [f"{name} (at) b.c", f"{name}@b (dot) c"]
+    for long in ("a" * 200_000, "a" * 200_000 + " (at) b.c", "a@b " * 50_000, " at a" * 40_000,
+                 " at dot" * 40_000, "a (at) " * 30_000):
+        for _ in pii.candidates(long):
+            pass
+
+
+def test_mixed_forms_are_taken_and_plain_sentences_left():
+    rows = [f"write to jo{n}.x@mail{n % 9}.example.com or {n} of it, we look at site{n}.com a@b{n}.org"
+            for n in range(400)]
+    model = pii.boost(*pii.examples(rows))
+    for own in MIXED:
+        text = f"write to {own} now"
+        assert pii.masked(text, pii.spans(text, model)) == "write to [EMAIL] now", own
+    for clean in ("we look at example.com dot by dot", "meet me at noon. then at home", "a at b dot"):
+        assert pii.spans(clean, model) == []
+
+
 def test_threshold_is_the_lowest_with_the_precision():
     scores, truth = np.array([0.9, 0.8, 0.8, 0.7, 0.6, 0.55]), np.array([1, 1, 1, 1, 1, 0.0])
     assert np.isclose(pii.lowest(scores, truth), 0.575)
