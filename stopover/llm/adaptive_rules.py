@@ -2,10 +2,12 @@
 
 Each document gets integer measures, most of them shares in thousandths. Per
 language, source and measure the values are counted in fixed buckets: a
-quantile sketch that is exact to its bucket's width, and that merges by adding
+quantile sketch that is exact to its bucket's width (1 below 1024, above that
+less than a 500th of the value, without a last one), and that merges by adding
 counts, in any order and over any grouping. A threshold is an upper fence
 from such a sketch: the upper quartile, plus a multiple of its distance from the
-median, plus a margin for groups that hardly vary. Groups too small for that
+median, plus a margin for groups that hardly vary. The values themselves, not
+their buckets, are held against it. Groups too small for that
 take the merged sketch of their language, or of everything. Documents are
 joined with the thresholds of their group and judged.
 """
@@ -22,7 +24,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 # Rows that a group needs for thresholds of its own, and spreads above the upper quartile.
 ENOUGH, SPREADS = 200, 6
-# Measure: numerator, denominator, parts of one, margin. Buckets end at the last one.
+# Measure: numerator, denominator, parts of one, margin.
 MEASURES = {
     "symbols": ("n_symbols", "word_chars", 1000, 50),
     "upper": ("n_upper", "word_chars", 1000, 200),
@@ -30,7 +32,8 @@ MEASURES = {
     "repeat_words": ("n_repeat_words", "n_words", 1000, 200),
     "word_length": ("word_chars", "n_words", 10, 60),
 }
-LAST = 1000
+# Leading binary digits of a value that its bucket keeps.
+DIGITS = 10
 
 
 def n_repeat_words(docs: DataFrame) -> DataFrame:
@@ -93,13 +96,24 @@ def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
     return n_repeat_words(rows.drop("lines")).drop("words")
 
 
+def values() -> dict[str, Column]:
+    """Whole values of the measures of a row, by name; 0 of nothing."""
+    return {name: F.when(F.col(below) > 0, F.expr(f"({over} * {parts}) div {below}")).otherwise(0)
+            for name, (over, below, parts, _) in MEASURES.items()}
+
+
+def bucket(value: Column) -> Column:
+    """The least value whose leading binary digits are those of ``value``."""
+    more = F.greatest(F.length(F.bin(value)) - DIGITS, F.lit(0))
+    at = F.call_function
+    return at("shiftleft", at("shiftright", value, more), more)
+
+
 def buckets() -> Column:
     """Measure names and bucket numbers of a row, as an array of structs."""
     return F.array(*[
-        F.struct(F.lit(name).alias("measure"), F.least(F.lit(LAST), F.when(
-            F.col(below) > 0, F.expr(f"({over} * {parts}) div {below}")).otherwise(0))
-            .cast("int").alias("bucket"))
-        for name, (over, below, parts, _) in MEASURES.items()])
+        F.struct(F.lit(name).alias("measure"), bucket(value).alias("bucket"))
+        for name, value in values().items()])
 
 
 def fences(counts: DataFrame) -> DataFrame:
@@ -162,9 +176,8 @@ def judged(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     limits = staged(fences(staged(counts, "sketches")), "limits")
     joined = rows.join(limits, F.expr("lang <=> f_lang and source <=> f_source"))
     above = F.exists(F.array(*[
-        F.struct(b["bucket"].alias("bucket"), F.col(f"f_{m}").alias("fence"))
-        for m, b in zip(MEASURES, [buckets()[i] for i in range(len(MEASURES))])]),
-        lambda x: x["bucket"] > x["fence"])
+        F.struct(value.alias("value"), F.col(f"f_{m}").alias("fence"))
+        for m, value in values().items()]), lambda x: x["value"] > x["fence"])
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return joined.select(
         "doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",

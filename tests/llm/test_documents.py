@@ -218,3 +218,23 @@ def test_thresholds_follow_the_group(spark):
     rows += [(5000, text(0.9), "en", "prose")]
     got = adaptive_rules.judged(spark.createDataFrame(rows, SCHEMA)).where("not kept").collect()
     assert [r.doc.doc_id for r in got] == [5000]
+
+
+def test_long_words_have_no_last_bucket(spark):
+    """A fence of 1120 (median 15, upper quartile 28 characters) holds for longer words too."""
+    rng = random.Random(5)
+
+    def text(size):
+        return " ".join("".join(rng.choices("abcdefghij", k=size)) for _ in range(60))
+    rows = [(i, text(15 if i < 170 else 28), "ja", "web") for i in range(300)]
+    rows += [(1000 + size, text(size), "ja", "web") for size in (99, 105, 111, 113, 150, 3000)]
+    got = adaptive_rules.judged(spark.createDataFrame(rows, SCHEMA)).where("not kept").collect()
+    assert sorted(r.doc.doc_id for r in got) == [1113, 1150, 4000]
+
+
+def test_buckets_are_exact_to_their_width(spark):
+    values = [*range(1030), *(2**k + d for k in range(10, 34) for d in (-1, 0, 1))]
+    got = spark.createDataFrame([(v,) for v in values], "v long").select(
+        "v", adaptive_rules.bucket(F.col("v")).alias("b")).collect()
+    for v, b in got:
+        assert b == v if v < 1024 else v - v / 512 < b <= v
