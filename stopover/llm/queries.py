@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopover.llm import (
-    adaptive_rules, language, mixing, packing, pii, prefix_counts, quality, simhash, token_files,
-    winnowing)
+    adaptive_rules, centroids, divergence, language, lattice, mixing, packing, pii, prefix_counts,
+    quality, simhash, token_files, winnowing)
 from stopover.llm.common import crc32, documents
 from stopover.session import fresh_path
 
@@ -17,6 +17,9 @@ SIZE, END = 2048, 0
 SHARE, WEIGHTS, SEED = 1.5, [5, 2, 1], 0
 SHINGLE, HASH_SEED, BITS = 4, 42, 4
 KEEP_ABOVE = 0.3
+PIECES = "piece_bpe_32k.model"
+TERM_DOCUMENTS, TERM_RANKS = 10, 10
+CLUSTERS, ROUNDS, CLUSTER_SEED, DIMS = 8, 10, 3, 64
 
 
 def tokenizer_path(name: str) -> str:
@@ -95,6 +98,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), tokenizer_path(WORD_TOKENIZER), SIZE, END)
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir), TERM_DOCUMENTS, TERM_RANKS)
+
+
+def op12_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = crc32(F.col("doc_id")) % 7
+    scored = lattice.scored(
+        documents(spark, sf_dir), remainder != 2, tokenizer_path(PIECES), ["doc_id"])
+    return scored.select(
+        "doc.doc_id", (crc32(F.col("doc.doc_id")) % 7 == 2).alias("held_out"), "n_tokens",
+        "n_known", "train_tokens", "base_score", "score")
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(
+        spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", CLUSTERS,
+        ROUNDS, CLUSTER_SEED, DIMS)
+
+
 QUERIES = {
     name: query for name, query in globals().items()
     if name.startswith("op") and name[2:].split("_")[0].isdigit()}
@@ -175,4 +197,72 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from measured join above using (row)
 """
 
-ORACLE = {"op5_mixing": _MIXING, "op8_adaptive_rules": _RULES}
+_DIVERGENCE = rf"""
+with docs as (select coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+grouped as (select distinct lang, source from docs),
+vocabulary as (select lang, term from (select lang, unnest(list_distinct(terms)) as term from docs)
+    group by all having count(*) >= {TERM_DOCUMENTS}),
+used as (select lang, source, term, count(*)::hugeint as n
+    from (select lang, source, unnest(terms) as term from docs)
+    join vocabulary using (lang, term) group by all),
+sizes as (select lang, count(*)::hugeint as v from vocabulary group by lang),
+totals as (select lang, source, sum(n)::hugeint as total from used group by all),
+langs as (select lang, sum(n)::hugeint as total from used group by lang),
+priced as (select g.lang, g.source, term, coalesce(n, 0) as n,
+    1 + (1000000000 * (coalesce(n, 0) + 2)) // (coalesce(total, 0) + 2 * v) as p
+    from grouped g join vocabulary using (lang) join sizes using (lang)
+    left join used using (lang, source, term) left join totals using (lang, source)),
+expected as (select lang, term, 1 + (1000000000 * (sum(n)::hugeint + 2)) // (any_value(total)
+        + 2 * any_value(v)) as q
+    from used join langs using (lang) join sizes using (lang) group by lang, term),
+far as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))
+        as value
+    from priced a join priced b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+    group by all),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+    from grouped a join grouped b on a.lang = b.lang and a.source <> b.source
+    left join far f on f.lang = a.lang and f.source = a.source and f.item = b.source),
+loud as (select lang, source, 'term' as part, term as item, (p - q) * (p - q) // (p + q) as value
+    from priced join expected using (lang, term) where n > 0 and p > q)
+select lang, source, part, item, value::bigint as value, row_number() over (
+    partition by lang, source, part order by value desc, item)::int as rank
+from (select * from pairs union all select * from loud)
+qualify part = 'pair' or rank <= {TERM_RANKS}
+"""
+
+
+def _rounds(vector: str, k: int, rounds: int, seed: int, dims: int) -> str:
+    """Exact k-means as SQL, one materialised step after another."""
+    steps = [f"""kept as materialized (select row_number() over () as row, vec_id,
+        list_transform({vector}, lambda x: floor(1024 * x::double)::hugeint) as x from embeddings
+        where len({vector}) = {dims} and len(list_filter({vector},
+            lambda x: x is null or not isfinite(x))) = 0)""",
+             f"""centre0 as materialized (select row_number() over (order by hash, x) - 1 as cluster, x
+        from (select x, sha256('{seed}:' || coalesce(vec_id::varchar, '')) as hash from kept)
+        order by hash, x limit {k})"""]
+    for n in range(rounds + 1):
+        steps.append(f"""near{n} as materialized (select row, any_value(x) as x, any_value(vec_id) as vec_id,
+            min_by(cluster, (distance, cluster)) as cluster, min(distance) as distance
+        from (select k.row, k.x, k.vec_id, c.cluster, list_sum(list_transform(list_zip(k.x, c.x),
+            lambda z: (z[1] - z[2]) * (z[1] - z[2])))::hugeint as distance
+            from kept k, centre{n} c) group by row)""")
+        if n < rounds:
+            steps.append(f"""centre{n + 1} as materialized (select cluster, coalesce(m.x, c.x) as x
+        from centre{n} c left join (select cluster, list(mean order by place) as x from (
+            select cluster, place, (s - ((s % n) + n) % n) // n as mean from (
+                select cluster, place, sum(v)::hugeint as s, count(*)::hugeint as n from (
+                    select cluster, unnest(x) as v, unnest(range(1, {dims} + 1)) as place from near{n})
+                group by all)) group by cluster) m using (cluster))""")
+    return f"""with {", ".join(steps)}
+select vec_id, cluster::int as cluster, distance::bigint as distance,
+    (sum(distance) over (partition by cluster))::bigint as cluster_inertia,
+    (sum(distance) over ())::bigint as inertia,
+    sha256(array_to_string(c.x, ',')) as centroid_sha256
+from near{rounds} join centre{rounds} c using (cluster)"""
+
+
+ORACLE = {
+    "op5_mixing": _MIXING, "op8_adaptive_rules": _RULES, "op11_divergence": _DIVERGENCE,
+    "op13_centroids": _rounds("embedding", CLUSTERS, ROUNDS, CLUSTER_SEED, DIMS)}
