@@ -14,6 +14,7 @@ the divergence of two prices is floor((p - q)^2 / (p + q)).
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,16 +22,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stopover.llm.common import on_workers
+from stopover.llm.common import on_workers, rows_of, utf8
 from stopover.session import staged
 
-# A term, and the scale of prices.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE = 1_000_000_000
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Terms are runs of ASCII letters, lower-cased, and of all that isn't ASCII; other bytes part them.
+TERM_BYTES = bytes(
+    b if b > 127 else ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(256))
 
 # Terms of a block, about; sources of a tile; ids for which the merge gallops at a time.
 BLOCK, TILE, STRETCH = 8192, 8, 64
+# Different terms that a task counts before it passes them on; tasks that share a hot group.
+AT_ONCE, SALTS = 300_000, 64
 
 
 def price(count: Column, occurrences: Column, terms: Column) -> Column:
@@ -115,24 +118,57 @@ def tile_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
         for name, values in zip(("a", "b", "value", "either"), columns)})
 
 
+def term_counts(docs: DataFrame) -> DataFrame:
+    """``lang, source, term, docs, n``: documents with a term and its occurrences, by group."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for (lang, source), (documents, occurrences) in held.items():
+                size = len(occurrences)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(lang, size), pa.repeat(source, size),
+                     pa.array(list(occurrences), pa.binary()).cast(pa.string()),
+                     pa.array([documents[t] for t in occurrences], pa.int64()),
+                     pa.array(list(occurrences.values()), pa.int64())],
+                    ["lang", "source", "term", "docs", "n"])
+            held.clear()
+
+        for batch in batches:
+            for rows in rows_of(batch):
+                for lang, source, text in zip(
+                        rows.column(0).to_pylist(), rows.column(1).to_pylist(),
+                        utf8(rows.column(2))):
+                    terms = text.translate(TERM_BYTES).split()
+                    if (lang, source) not in held:
+                        held[lang, source] = Counter(), Counter()
+                    documents, occurrences = held[lang, source]
+                    documents.update(set(terms))
+                    occurrences.update(terms)
+                if sum(len(n) for _, n in held.values()) > AT_ONCE:
+                    yield from told()
+        yield from told()
+
+    return docs.mapInArrow(
+        counted, "lang string, source string, term string, docs long, n long",
+    ).groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+
+
+def spread_join(many: DataFrame, few: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """Left join with a small table of unique keys, whose hot ones are dealt to SALTS tasks."""
+    salted = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return many.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).join(
+        salted, [*keys, "salt"], "left").drop("salt")
+
+
 class Counts:
     """Tables of one audit: groups, languages, and what each group holds of the kept terms."""
 
     def __init__(self, docs: DataFrame, least: int):
         lang = F.coalesce("lang", F.lit("")).alias("lang")
         source = F.coalesce("source", F.lit("")).alias("source")
-        words = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
-        named = docs.select(lang, source, F.regexp_extract_all(words, F.lit(TERM), 0).alias("terms"))
-        # Each text's different terms count a document, all of its terms an occurrence.
-        one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-        twice = F.array(
-            F.struct(F.array_distinct("terms").alias("terms"), one.alias("docs"), none.alias("n")),
-            F.struct("terms", none.alias("docs"), one.alias("n")))
-        counted = staged(
-            named.select("lang", "source", F.explode(twice).alias("of"))
-            .select("lang", "source", F.explode("of.terms").alias("term"), "of.docs", "of.n")
-            .groupBy("lang", "source", "term")
-            .agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")), "terms")
+        counted = staged(term_counts(docs.select(lang, source, "text")), "terms")
         vocabulary = counted.groupBy("lang", "term").agg(
             F.sum("docs").alias("docs"), F.sum("n").alias("in_lang"),
         ).where(F.col("docs") >= least)
@@ -142,7 +178,7 @@ class Counts:
         sizes = sizes.withColumn("blocks", blocks)
         inside = Window.partitionBy("lang", "block").orderBy("term")
         numbered = (
-            vocabulary.join(sizes, "lang")
+            spread_join(vocabulary, sizes, ["lang"], "term")
             .withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")))
             .withColumn("id", F.row_number().over(inside).cast("long"))
             .select("lang", "term", "in_lang", "block", "id"))
@@ -201,7 +237,8 @@ def terms(counts: Counts) -> DataFrame:
     """``lang, source, item, value`` of terms that a group holds more of than its language."""
     p = price(F.col("n"), F.col("occurrences"), F.col("terms"))
     q = price(F.col("in_lang"), F.col("lang_total"), F.col("terms"))
-    priced = counts.kept.join(counts.groups, ["lang", "source"]).select(
+    groups = counts.groups.select("lang", "source", "occurrences", "terms", "lang_total")
+    priced = spread_join(counts.kept, groups, ["lang", "source"], "term").select(
         "lang", "source", F.col("term").alias("item"), p.alias("p"), q.alias("q"))
     return priced.where("p > q").select(
         "lang", "source", "item", divergence(F.col("p"), F.col("q")).alias("value"))
