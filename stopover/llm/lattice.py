@@ -30,7 +30,7 @@ from stopover.llm.common import on_workers, rows_of, utf8
 from stopover.session import staged
 
 # A word is hot if it makes up 1/HOT of all words or more; bytes up to which it is sent itself.
-HOT, SHORT = 20_000, 64
+HOT, SHORT = 400_000, 64
 # Different words that a task counts before it passes the counts on.
 AT_ONCE = 200_000
 
@@ -64,6 +64,14 @@ def pieces(path: str) -> dict[int, bytes]:
     return _pieces[path]
 
 
+def log_sum(logs: list[float]) -> float:
+    """Logarithm of a sum, from the logarithms of what is added."""
+    if len(logs) == 1:
+        return logs[0]
+    top = max(logs)
+    return top + math.log(sum([math.exp(x - top) for x in logs]))
+
+
 class Lattice:
     """Natural logarithms of the pieces' probabilities, and the recursion over them."""
 
@@ -75,23 +83,26 @@ class Lattice:
             # A character and a byte may be spelt alike: both are ways to write it.
             share[piece] = share.get(piece, 0.0) + (counts.get(number, 0) + 1) / total
         self.scores = {piece: math.log(p) for piece, p in share.items()}
-        self.longest = max(map(len, self.scores))
+        # Beginnings of longer pieces: where none goes on, no further end is tried.
+        self.begins = {piece[:i] for piece in self.scores for i in range(1, len(piece))}
         self.end = math.log10((ends + 1) / total)
 
     def word(self, word: bytes) -> float:
         """log10 of the sum over all segmentations of the word with its blank."""
-        text, scores, longest = b" " + word, self.scores, self.longest
-        forward = [0.0]
-        for end in range(1, len(text) + 1):
-            ways = []
-            for start in range(max(0, end - longest), end):
-                score = scores.get(text[start:end])
+        text, scores, begins = b" " + word, self.scores, self.begins
+        ways: list[list[float]] = [[] for _ in range(len(text) + 1)]
+        ways[0].append(0.0)
+        for start in range(len(text)):
+            # All ways to this place are known: no piece ends behind where it starts.
+            here, ways[start] = log_sum(ways[start]), []
+            for end in range(start + 1, len(text) + 1):
+                piece = text[start:end]
+                score = scores.get(piece)
                 if score is not None:
-                    ways.append(forward[start] + score)
-            top = max(ways)
-            forward.append(top if len(ways) == 1
-                           else top + math.log(sum(math.exp(way - top) for way in ways)))
-        return forward[-1] / _LOG10
+                    ways[end].append(here + score)
+                if piece not in begins:
+                    break
+        return log_sum(ways[-1]) / _LOG10
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -233,15 +244,15 @@ def scored(docs: DataFrame, trains: Column, path: str, keep: list[str]) -> DataF
     others = parted.select("row", F.explode("left").alias("of")).select(
         "row", "of.word", "of.times").join(weighed, "word")
     times, trained = F.col("times"), F.col("trained")
-    sums_of_others = others.select(
-        "row", F.when(trained > 0, times).otherwise(0).alias("n_known"),
-        (times * (F.log10(trained + 1) - under)).alias("base_score"),
-        (times * F.col("score")).alias("score"))
-    return (
-        parted.drop("left").unionByName(sums_of_others, allowMissingColumns=True)
-        .groupBy("row")
-        .agg(F.first("doc", ignorenulls=True).alias("doc"), F.max("n_tokens").alias("n_tokens"),
-             F.sum("n_known").alias("n_known"), F.sum("base_score").alias("base_score"),
-             F.sum("score").alias("score"))
-        .select("doc", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
-                "base_score", "score"))
+    sums_of_others = others.groupBy("row").agg(
+        F.sum(F.when(trained > 0, times).otherwise(0)).alias("more_known"),
+        F.sum(times * (F.log10(trained + 1) - under)).alias("more_base"),
+        F.sum(times * F.col("score")).alias("more_score"))
+
+    def both(column: str, more: str) -> Column:
+        return (F.col(column) + F.coalesce(more, F.lit(0))).alias(column)
+
+    return parted.drop("left").join(sums_of_others, "row", "left").select(
+        "doc", "n_tokens", both("n_known", "more_known"),
+        F.lit(tokens).cast("long").alias("train_tokens"),
+        both("base_score", "more_base"), both("score", "more_score"))
