@@ -26,15 +26,16 @@ from stopover.plans import nested_orders as nested
 from stopover.plans.nested_orders import code, fetch_date, iso_text, price_text, table, whole
 from stopover.plans.snapshot_job import itinerary_summary as summary_of_envelopes
 from stopover.schema import (
-    SEGMENT_COLUMNS, SUMMARY_COLUMNS, align_to, describe_paths, has_path,
+    ENVELOPE, SEGMENT_COLUMNS, SUMMARY_COLUMNS, align_to, describe_paths, has_path,
 )
 from stopover.session import fresh_path, staged
 from stopover.sources import sinks
+from stopover.sources.batches import land, landed_files, open_landed, read_apart, unread
 from stopover.sources.snapshots import (
-    accepted, discover_snapshots, folder_date, merge_report, outcome_report, passing_over,
-    read_id_lists, read_snapshots, snapshot_states, union_by_name, unreadable_files,
+    accepted, discover_snapshots, list_versions, merge_report, outcome, read_id_lists,
+    read_snapshots, snapshot_states, union_by_name,
 )
-from stopover.streaming.ingest import ingest_new_files
+from stopover.streaming.ingest import ingest_new_files, sync_days
 
 #: Order of an order's line items.
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -155,33 +156,69 @@ def _stray_records(spark: SparkSession, sf_dir: str) -> str:
     return nested.once(spark, sf_dir, "stray", write)
 
 
-def _unreadable_file(spark: SparkSession, sf_dir: str) -> str:
-    """A file that says it is compressed and is not."""
+def _unreadable_files(spark: SparkSession, sf_dir: str) -> str:
+    """Files that say they are compressed and are not: two for each order year."""
     def write(path: str) -> None:
-        spark.range(1).select(nested.envelope_line()).coalesce(1).write.text(f"{path}/plain")
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        source = hadoop.Path(f"{path}/plain")
-        system = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        folder = hadoop.Path(f"{path}/1990-01-01")
-        system.mkdirs(folder)
-        for status in system.globStatus(hadoop.Path(f"{path}/plain/*.txt")):
-            system.rename(status.getPath(), hadoop.Path(folder, "broken.json.gz"))
-        system.delete(source, True)
+        days = _days(spark, sf_dir, "-01-04").unionByName(_days(spark, sf_dir, "-01-05"))
+        texts = days.select("fetch_date", F.concat(nested.envelope_line(), "fetch_date"))
+        texts.repartition("fetch_date").write.partitionBy("fetch_date").text(f"{path}/plain")
+        files = spark.sparkContext._jvm.org.apache.hadoop.fs
+        root = files.Path(f"{path}/plain")
+        system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in system.globStatus(files.Path(f"{path}/plain/fetch_date=*/*.txt")):
+            folder = files.Path(path, status.getPath().getParent().getName())
+            system.mkdirs(folder)
+            system.rename(status.getPath(), files.Path(folder, "broken.json.gz"))
+        system.delete(root, True)
     return nested.once(spark, sf_dir, "unreadable", write)
 
 
+_ANY_FILE = "*.{json,txt,gz}"
+
+
 def fault_isolated_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records by day and outcome, and the files that could not be read, whole, as one each."""
+    """Records by day and outcome, and the files that could not be read, whole, as one each.
+
+    One scan: files that cannot be read are those that are listed and gave no row.
+    """
     paths = [f(spark, sf_dir) for f in (
-        nested.landing, _stray_records, _cut_records, _unreadable_file)]
-    report, lost = passing_over(
-        lambda bad: staged(outcome_report(
-            read_snapshots(spark, paths, files="*.{json,txt,gz}", exclude=bad)), "outcomes"),
-        most=1)
-    files = unreadable_files(spark, lost).groupBy(
-        folder_date(F.col("file_path")).alias("fetch_date"), F.col("reason").alias("outcome"),
-    ).agg(F.count("*").alias("records"))
-    return report.unionByName(files)
+        nested.landing, _stray_records, _cut_records, _unreadable_files)]
+    rows = read_apart(spark, paths, files=_ANY_FILE)
+    found = staged(rows.groupBy("file_path", "fetch_date", "is_record", outcome().alias("outcome"))
+                   .agg(F.count("*").alias("records")), "outcomes")
+    lost = unread(list_versions(spark, paths, _ANY_FILE), found).select(
+        "fetch_date", F.lit("file cannot be read").alias("outcome"), F.lit(1).alias("records"))
+    known = found.where("is_record").select("fetch_date", "outcome", "records")
+    return known.unionByName(lost).groupBy(
+        F.coalesce("fetch_date", F.lit("none")).alias("fetch_date"), "outcome",
+    ).agg(F.sum("records").alias("records"))
+
+
+def _landed_batches(spark: SparkSession, sf_dir: str) -> str:
+    """Two landings with a run after each, small batches, and a run that finds nothing new."""
+    def write(path: str) -> None:
+        store, log = f"{path}/store", f"{path}/log"
+        early = [f(spark, sf_dir) for f in (nested.landing, _unreadable_files)]
+        everything = [*early, _failed_days(spark, sf_dir)]
+        for base in (early, everything, everything):
+            land(spark, base, store, log, ENVELOPE, files=_ANY_FILE, most=1000, most_files=20)
+    return nested.once(spark, sf_dir, "batches", write)
+
+
+def batch_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by day and outcome from the store that the batches filled."""
+    path = _landed_batches(spark, sf_dir)
+    rows = open_landed(spark, f"{path}/store", f"{path}/log")
+    return rows.groupBy("fetch_date", "outcome").agg(
+        F.count("*").alias("records"),
+        F.sum(F.coalesce(F.array_size("data.itineraries"), F.lit(0))).alias("itineraries"))
+
+
+def batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log's last word by day: whether all of its files were read, and their records."""
+    path = _landed_batches(spark, sf_dir)
+    return landed_files(spark, f"{path}/log").groupBy("fetch_date").agg(
+        F.min("state").alias("state"), F.sum("records").alias("records"))
 
 
 _OPERATING = (
@@ -318,6 +355,62 @@ def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("fetch_date", date_key(F.col("fetch_date")))
 
 
+FILES_PER_DAY = 4
+
+
+def _land_files(events: DataFrame, base: str) -> None:
+    """Four files a day at fixed paths, in place of those that are there."""
+    spark, fresh = events.sparkSession, fresh_path(events.sparkSession, "landing")
+    slots = events.withColumn("slot", F.pmod("event_id", F.lit(FILES_PER_DAY)))
+    slots.repartition("fetch_date", "slot").write.partitionBy("fetch_date", "slot").json(fresh)
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    system = files.Path(fresh).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.globStatus(files.Path(f"{fresh}/*/*/*.json")):
+        slot = status.getPath().getParent()
+        target = files.Path(f"{base}/{slot.getParent().getName()}/{slot.getName()}.json")
+        system.mkdirs(target.getParent())
+        system.delete(target, False)
+        system.rename(status.getPath(), target)
+
+
+def _replaced_files(spark: SparkSession, sf_dir: str) -> str:
+    """Days land, are replaced under their paths, removed and added, with a run after each."""
+    def write(path: str) -> None:
+        events = _event_lines(spark, sf_dir)
+        day = F.dayofmonth(F.col("fetch_date").cast("date"))
+        wrong = events.where(day % 5 != 0).withColumn("value", F.lit(-1.0))
+        right = events.where(((day > 15) | (day % 5 == 0)) & (day % 7 != 0))
+        gone = [row[0] for row in events.where(day % 7 == 0).select(
+            "fetch_date").distinct().collect()]
+
+        def run(number: int) -> None:
+            changes = sync_days(
+                spark, f"{path}/landed", f"{path}/days", f"{path}/manifest", _EVENT,
+                lambda rows: rows.select("event_id", "user_id", "value", "fetch_date"))
+            changes.withColumn("run", F.lit(number)).write.mode("append").parquet(
+                f"{path}/changes")
+
+        _land_files(wrong, f"{path}/landed")
+        run(1)
+        _land_files(right, f"{path}/landed")
+        sinks.drop_days(spark, f"{path}/landed", gone)
+        run(2)
+        run(3)
+    return nested.once(spark, sf_dir, "replaced", write)
+
+
+def replaced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the files that are there in the end."""
+    rows = spark.read.parquet(f"{_replaced_files(spark, sf_dir)}/days")
+    return rows.withColumn("fetch_date", date_key(F.col("fetch_date")))
+
+
+def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each run found: files by day and kind of change; the last run none."""
+    return spark.read.parquet(f"{_replaced_files(spark, sf_dir)}/changes").groupBy(
+        "run", "fetch_date", "change").agg(F.count("*").alias("files"))
+
+
 # ---- projections ----
 
 def project_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -578,6 +671,8 @@ QUERIES = {
     "snapshot_lineage": snapshot_lineage,
     "empty_snapshot_guard": empty_snapshot_guard,
     "fault_isolated_read": fault_isolated_read,
+    "batch_landing": batch_landing,
+    "batch_log": batch_log,
     "schema_align": schema_align,
     "union_by_name": union_by_name_query,
     "empty_input_result": empty_input_result,
@@ -590,6 +685,8 @@ QUERIES = {
     "partitioned_parquet_sink": partitioned_parquet_sink,
     "incremental_ingest": incremental_ingest,
     "snapshot_replace": snapshot_replace,
+    "replaced_files": replaced_files,
+    "changed_files": changed_files,
     "project_columns": project_columns,
     "nested_field_access": nested_field_access,
     "literal_column": literal_column,

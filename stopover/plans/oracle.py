@@ -219,7 +219,23 @@ select fetch_date, 'malformed record', count(*) from records group by fetch_date
 union all
 select 'none', 'folder is not a date', count(*) from records
 union all
-select '1990-01-01', 'file cannot be read', 1""",
+select year || day, 'file cannot be read', 1
+from (select distinct cast(year(o_orderdate) as varchar) as year from orders),
+     (select unnest(['-01-04', '-01-05']) as day)""",
+    "batch_landing": f"""with {_RECORDS}
+select fetch_date, 'accepted' as outcome, count(*) as records,
+       cast(sum(total_results) as bigint) as itineraries
+from records group by fetch_date
+union all
+select distinct cast(year(o_orderdate) as varchar) || '-01-02', 'accepted', 1, 0 from orders""",
+    "batch_log": f"""with {_RECORDS}
+select fetch_date, 'read' as state, count(*) as records from records group by fetch_date
+union all
+select distinct cast(year(o_orderdate) as varchar) || '-01-02', 'read', 1 from orders
+union all
+select year || day, 'unreadable', null
+from (select distinct cast(year(o_orderdate) as varchar) as year from orders),
+     (select unnest(['-01-04', '-01-05']) as day)""",
     "schema_align": f"""with {_SEGMENTS}
 select fetch_date, itinerary_id, leg_id, count(*) - 1 as stop_count, true as operating_is_null,
        false as path_before, true as path_after
@@ -250,6 +266,23 @@ select event_id, ts, user_id, value, strftime(ts, '%Y-%m-%d') as fetch_date from
 select event_id, user_id, case when day(ts) > 15 then value else -1.0 end as value,
        strftime(ts, '%Y-%m-%d') as fetch_date
 from events""",
+    "replaced_files": """
+select event_id, user_id,
+       case when day(ts) > 15 or day(ts) % 5 = 0 then value else -1.0 end as value,
+       strftime(ts, '%Y-%m-%d') as fetch_date
+from events where day(ts) % 7 <> 0""",
+    "changed_files": """
+with days as (
+  select strftime(ts, '%Y-%m-%d') as fetch_date, day(ts) as d, count(distinct event_id % 4) as files
+  from events group by all
+)
+select 1 as run, fetch_date, 'new' as change, files from days where d % 5 <> 0
+union all
+select 2, fetch_date, 'vanished', files from days where d % 5 <> 0 and d % 7 = 0
+union all
+select 2, fetch_date, 'changed', files from days where d % 5 <> 0 and d % 7 <> 0 and d > 15
+union all
+select 2, fetch_date, 'new', files from days where d % 5 = 0 and d % 7 <> 0""",
     "project_columns": """
 select l_shipdate as departure, l_orderkey as itinerary, l_linenumber as segment,
        cast(l_partkey as varchar) as flight_number, l_extendedprice as price

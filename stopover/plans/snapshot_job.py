@@ -20,14 +20,18 @@ from stopover.operators.summary import (
 from stopover.schema import (
     ENVELOPE, FULL_ENVELOPE, SEGMENT_COLUMNS, SUMMARY_COLUMNS, SUMMARY_SCHEMA,
 )
+from stopover.session import staged
+from stopover.sources.batches import read_apart, unread
 from stopover.sources.sinks import (
     write_csv, write_json, write_parquet, write_partitioned,
 )
 from stopover.sources.snapshots import (
-    ACCEPTED, CORRUPT, JSON_FILES, LINEAGE, latest_itineraries, outcome, passing_over,
-    read_snapshots, snapshot_report, unreadable_files,
+    ACCEPTED, CORRUPT, JSON_FILES, LINEAGE, latest_itineraries, list_versions,
+    lost_files, outcome, passing_over, read_snapshots, snapshot_report,
 )
 
+EMPTY = "empty file"
+
 
 def merge_snapshots(
     spark: SparkSession,
@@ -36,7 +40,6 @@ def merge_snapshots(
     schema: str = FULL_ENVELOPE,
     multi_line: bool = False,
     files: str = JSON_FILES,
-    exclude: list[str] | None = None,
 ) -> DataFrame:
     """Write all landed records as parquet, by outcome and day, and open the accepted ones.
 
@@ -45,12 +48,41 @@ def merge_snapshots(
     A field of the wrong type makes its record malformed; with the narrow
     ``ENVELOPE`` for ``schema`` that holds for the needed fields only.
     """
-    records = read_snapshots(spark, landing, schema, multi_line, files, exclude).withColumn(
+    records = read_snapshots(spark, landing, schema, multi_line, files).withColumn(
         "outcome", outcome())
     write_partitioned(records, store, "outcome", "fetch_date", rebalance=False)
     return open_store(spark, store)
 
 
+def merge_readable(
+    spark: SparkSession,
+    landing: str,
+    store: str,
+    most: int,
+    schema: str = FULL_ENVELOPE,
+    multi_line: bool = False,
+    files: str = JSON_FILES,
+) -> tuple[DataFrame, DataFrame]:
+    """The same, leaving out up to ``most`` files that cannot be read, whole; returns them too.
+
+    One scan finds them all; see ``read_apart``.
+    """
+    listing = list_versions(spark, landing, files)
+
+    def write(bad: list[str]) -> None:
+        rows = read_apart(spark, landing, schema, multi_line, files, exclude=bad)
+        named = F.when(F.col("is_record"), outcome()).otherwise(EMPTY)
+        write_partitioned(rows.withColumn("outcome", named).drop("is_record"), store,
+                          "outcome", "fetch_date", rebalance=False)
+
+    passing_over(write, most)
+    written = spark.read.schema("file_path string").parquet(store)
+    lost = staged(unread(listing, written), "unreadable")
+    if lost.count() > most:
+        raise ValueError(f"more than {most} files cannot be read")
+    return open_store(spark, store), lost_files(lost)
+
+
 def open_store(spark: SparkSession, store: str, schema: str = ENVELOPE) -> DataFrame:
     """The accepted records, with the day as text as in a scan of the landing folder.
 
@@ -69,8 +101,8 @@ def open_rejected(spark: SparkSession, store: str) -> DataFrame:
 
 def _stored(spark: SparkSession, store: str, schema: str) -> DataFrame:
     columns = f"{schema}, {LINEAGE}, outcome string, fetch_date date"
-    return spark.read.schema(columns).parquet(store).withColumn(
-        "fetch_date", date_key(F.col("fetch_date")))
+    rows = spark.read.schema(columns).parquet(store).where(F.col("outcome") != EMPTY)
+    return rows.withColumn("fetch_date", date_key(F.col("fetch_date")))
 
 
 def current_itineraries(envelopes: DataFrame) -> DataFrame:
@@ -122,10 +154,14 @@ def run(
     Segments and summary come from one set of itineraries, kept below ``out``
     as ``itineraries``: the latest version of each on its day.
     """
-    merged, lost = passing_over(
-        lambda bad: merge_snapshots(
-            spark, landing, f"{out}/merged", FULL_ENVELOPE, multi_line, files, bad), unreadable)
-    rejects = open_rejected(spark, f"{out}/merged").unionByName(unreadable_files(spark, lost))
+    store = f"{out}/merged"
+    if unreadable:
+        merged, lost = merge_readable(
+            spark, landing, store, unreadable, FULL_ENVELOPE, multi_line, files)
+        rejects = open_rejected(spark, store).unionByName(lost)
+    else:
+        merged = merge_snapshots(spark, landing, store, FULL_ENVELOPE, multi_line, files)
+        rejects = open_rejected(spark, store)
     write_json(rejects, f"{out}/rejected")
     write_parquet(snapshot_report(merged), f"{out}/report")
     if merged_json:

@@ -65,6 +65,15 @@ def replace_snapshots(
     _write_folders(df, path, (column,), rebalance, "dynamic")
 
 
+def drop_days(
+    spark: SparkSession, path: str, days: list[str], column: str = "fetch_date"
+) -> None:
+    """Remove days from a table with a folder for each; days that it lacks don't matter."""
+    for day in days:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={day}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _write_folders(
     df: DataFrame, path: str, columns: tuple[str, ...], rebalance: bool, mode: str
 ) -> None:

@@ -40,16 +40,19 @@ def folder_date(path: Column) -> Column:
     return _date_or_null(F.regexp_replace(path_part(path, -2), "^fetch_date=", ""))
 
 
-def with_lineage(records: DataFrame) -> DataFrame:
-    """Add ``fetch_date`` (folder), ``search_date`` (file name) and the file's path and time."""
+def lineage() -> list[Column]:
+    """``fetch_date`` (folder), ``search_date`` (file name) and the file's path and time."""
     path = F.col("_metadata.file_path")
-    return records.select(
-        "*",
+    return [
         folder_date(path).alias("fetch_date"),
         _date_or_null(F.regexp_replace(path_part(path, -1), r"\.json$", "")).alias("search_date"),
         path.alias("file_path"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
-    )
+    ]
+
+
+def with_lineage(records: DataFrame) -> DataFrame:
+    return records.select("*", *lineage())
 
 
 def plain_path(encoded: Column) -> Column:
@@ -66,6 +69,7 @@ def read_snapshots(
     files: str = JSON_FILES,
     exclude: list[str] | None = None,
     days: list[str] | None = None,
+    larger_than: int | None = None,
 ) -> DataFrame:
     """All records below ``base``, with lineage; malformed ones carry their text.
 
@@ -74,6 +78,7 @@ def read_snapshots(
     splits files by line. With ``days`` only the folders of those days, which
     must exist, are listed and read. A file that cannot be read fails the
     job; ``exclude`` names such files (as in ``file_path``), see ``passing_over``.
+    ``larger_than`` leaves out files of no more bytes than that.
     """
     folders = [base] if isinstance(base, str) else base
     if days is not None:
@@ -87,8 +92,10 @@ def read_snapshots(
         .option("multiLine", multi_line)
         .json(folders)
     )
+    # The file source looks at such filters before it opens a file.
+    if larger_than is not None:
+        records = records.where(F.col("_metadata.file_size") > larger_than)
     if exclude:
-        # the file source looks at such a filter before it opens a file
         named = {form for path in exclude for form in (path, unquote(path))}
         records = records.where(~F.col("_metadata.file_path").isin(*sorted(named)))
     return with_lineage(records)
@@ -97,6 +104,18 @@ def read_snapshots(
 Result = TypeVar("Result")
 
 
+def unreadable_path(error: BaseException) -> str | None:
+    """Path of the file that an error says cannot be read, by its condition; None for others."""
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while cause is not None:
+        if "getCondition" in dir(cause) and str(cause.getCondition()).startswith("FAILED_READ_FILE"):
+            path = cause.getMessageParameters().get("path")
+            # Told with an empty host, which the path of a record has not.
+            return re.sub("^([a-z0-9+]+:)///", r"\1/", path) if path else None
+        cause = cause.getCause()
+    return None
+
+
 def passing_over(
     action: Callable[[list[str]], Result], most: int
 ) -> tuple[Result, list[str]]:
@@ -105,16 +124,15 @@ def passing_over(
     ``action`` gets the files to leave out and reads strictly. If it fails on a
     file, that file is left out as a whole and the action is run again, so no
     file counts half. Beyond ``most`` such files the failure stands, and so does
-    any other failure: a store that is down must not cost data.
+    any other failure: a store that is down must not cost data. Where there may be
+    many such files, ``batches.read_apart`` finds them in one run.
     """
     unreadable: list[str] = []
     while True:
         try:
             return action(unreadable), unreadable
         except Exception as error:
-            found = re.search(r"reading file (.+?)\.\s+SQLSTATE", str(error))
-            # Told with an empty host, which the path of a record has not.
-            path = re.sub("^([a-z0-9+]+:)///", r"\1/", found[1]) if found else None
+            path = unreadable_path(error)
             if path is None or path in unreadable or len(unreadable) >= most:
                 raise
             unreadable.append(path)
@@ -122,8 +140,13 @@ def passing_over(
 
 def unreadable_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Files left out, in the form of ``rejected``."""
-    rows = [(path, "file cannot be read", None) for path in paths]
-    return spark.createDataFrame(rows, "file_path string, reason string, record string")
+    return lost_files(spark.createDataFrame([(path,) for path in paths], "file_path string"))
+
+
+def lost_files(files: DataFrame) -> DataFrame:
+    """The same for a table of files (``file_path``)."""
+    return files.select("file_path", F.lit("file cannot be read").alias("reason"),
+                        F.lit(None).cast("string").alias("record"))
 
 
 def outcome() -> Column:
@@ -148,11 +171,13 @@ def rejected(snapshots: DataFrame) -> DataFrame:
     ).where(F.col("reason") != ACCEPTED)
 
 
-def list_files(spark: SparkSession, base: str, files: str = JSON_FILES) -> DataFrame:
-    """``file_path, fetch_date`` of the files below ``base``; no file is opened.
+def list_versions(
+    spark: SparkSession, base: str | list[str], files: str = JSON_FILES
+) -> DataFrame:
+    """``file_path, fetch_date, length, modified`` of the files below ``base``.
 
-    The binary-file source gives one row per file, and its content column is
-    not selected.
+    No file is opened: the binary-file source gives one row per file, and its
+    content column is not selected. Files of no bytes are passed over.
     """
     found = (
         spark.read.format("binaryFile")
@@ -161,7 +186,21 @@ def list_files(spark: SparkSession, base: str, files: str = JSON_FILES) -> DataF
         .load(base)
     )
     path = F.col("_metadata.file_path")
-    return found.select(path.alias("file_path"), folder_date(path).alias("fetch_date"))
+    return found.select(
+        path.alias("file_path"), folder_date(path).alias("fetch_date"), "length",
+        F.col("modificationTime").alias("modified"))
+
+
+def list_files(spark: SparkSession, base: str, files: str = JSON_FILES) -> DataFrame:
+    """``file_path, fetch_date`` of the files below ``base``; no file is opened."""
+    return list_versions(spark, base, files).select("file_path", "fetch_date")
+
+
+def existing_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern matches, on whatever file system it names."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().toString() for status in system.globStatus(path) or []]
 
 
 def discover_snapshots(spark: SparkSession, base: str, files: str = JSON_FILES) -> DataFrame:
