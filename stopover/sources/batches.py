@@ -43,22 +43,17 @@ def _texts(whole: Column, multi_line: bool) -> Column:
     return F.filter(lines, lambda line: F.trim(line) != "")
 
 
-def read_apart(
-    spark: SparkSession,
-    paths: str | list[str],
-    schema: str = ENVELOPE,
-    multi_line: bool = False,
-    files: str = JSON_FILES,
-    largest: int = LARGEST,
-    exclude: list[str] | None = None,
-) -> DataFrame:
-    """The columns of ``read_snapshots``, and ``is_record``.
+def _one_of(paths: list[str]) -> Column:
+    """Whether a row's file is one of ``paths``; the file source asks before it opens a file."""
+    named = ["'" + p.replace("\\", "\\\\").replace("'", "\\'") + "'" for p in sorted(paths)]
+    return F.expr(f"_metadata.file_path in ({', '.join(named)})") if named else F.lit(False)
 
-    Every file that can be read has a row: one for each record, or one that is no
-    record if it holds none; files of no bytes are not listed by Spark at all. A file of at most ``largest`` bytes that cannot be read
-    has no row and fails nothing; a larger one fails the job unless it is excluded.
-    """
-    size = F.col("_metadata.file_size")
+
+def _whole_files(
+    spark: SparkSession, paths: str | list[str], schema: str, multi_line: bool, files: str,
+    chosen: Column,
+) -> DataFrame:
+    """``read_apart`` for those files that ``chosen``, a filter on ``_metadata``, names."""
     whole = (
         spark.read.format("text")
         .option("wholetext", True)
@@ -66,7 +61,7 @@ def read_apart(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", files)
         .load(paths)
-        .where(size <= largest)
+        .where(chosen)
         .select("value", *lineage())
     )
     own = ["fetch_date", "search_date", "file_path", "landed_at"]
@@ -77,8 +72,30 @@ def read_apart(
         F.coalesce(entries, F.array(F.ltrim("line", F.lit("\ufeff"))))).alias("text"))
     record = F.from_json("text", f"{schema}, {CORRUPT} string",
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    small = texts.select(record.alias("_record"), *own, F.col("text").isNotNull().alias("is_record"))
-    small = small.select("_record.*", *own, "is_record")
+    return texts.select(
+        record.alias("_record"), *own, F.col("text").isNotNull().alias("is_record"),
+    ).select("_record.*", *own, "is_record")
+
+
+def read_apart(
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: str = ENVELOPE,
+    multi_line: bool = False,
+    files: str = JSON_FILES,
+    largest: int = LARGEST,
+    exclude: list[str] | None = None,
+) -> DataFrame:
+    """The columns of ``read_snapshots``, and ``is_record``.
+
+    Every file that can be read has a row: one for each record, or one that is no
+    record if it holds none; files of no bytes are not listed by Spark at all. A file of
+    at most ``largest`` bytes that cannot be read has no row and fails nothing; a
+    larger one fails the job unless it is excluded. Of an array in one line each entry
+    is a record, malformed or not, by itself.
+    """
+    small = _whole_files(spark, paths, schema, multi_line, files,
+                         F.col("_metadata.file_size") <= largest)
     large = read_snapshots(
         spark, paths, schema, multi_line, files, exclude, larger_than=largest)
     return small.unionByName(large.withColumn("is_record", F.lit(True)))
@@ -126,6 +143,15 @@ def batches(files: DataFrame, most_bytes: int, most_files: int) -> Iterator[Batc
         yield Batch(tuple(open_days))
 
 
+def _outermost(folders: set[str]) -> list[str]:
+    """Folders that lie in no other one: a scan lists what is below them too."""
+    kept: list[str] = []
+    for folder in sorted(folders, key=lambda f: f + "/"):
+        if not kept or not folder.startswith(kept[-1] + "/"):
+            kept.append(folder)
+    return kept
+
+
 def read_log(spark: SparkSession, log: str) -> DataFrame:
     """What every batch did: a row for each file it was given, with the batch's number.
 
@@ -167,12 +193,20 @@ def land(
     unreadable = 0
     for batch in batches(todo, most_bytes, most_files):
         given = todo.where(batch.holds())
-        # Paths of one batch: a bounded number.
-        paths = [row[0] for row in given.select(plain_path(F.col("file_path"))).collect()]
         folder = f"{store}/batch={number}"
+        # Paths of one batch: a bounded number.
+        named = given.select(
+            "file_path", "length", plain_path(F.col("file_path")).alias("plain")).collect()
+        small = [row.file_path for row in named if row.length <= largest]
+        folders = _outermost({row.plain.rsplit("/", 1)[0] for row in named})
 
         def read(bad: list[str]) -> None:
-            rows = read_apart(spark, paths, schema, multi_line, files, largest, bad)
+            rows = _whole_files(spark, folders, schema, multi_line, files, _one_of(small))
+            large = [row.plain for row in named
+                     if row.length > largest and not {row.file_path, row.plain} & {*bad}]
+            if large:
+                rows = rows.unionByName(read_snapshots(
+                    spark, large, schema, multi_line, files).withColumn("is_record", F.lit(True)))
             write_partitioned(rows.withColumn("outcome", outcome()), folder,
                               "outcome", "fetch_date", rebalance=False)
 

@@ -115,6 +115,19 @@ def test_batches_are_entered_once(spark, base, tmp_path):
     assert values(landed_files(spark, log).where("records = 3").select("state")) == [("read",)]
 
 
+def test_paths_with_odd_names_and_folders_in_folders(spark, tmp_path):
+    base, store, log = tmp_path / "la'nd ed", str(tmp_path / "store"), str(tmp_path / "log")
+    names = ["it's.json", "a b+c%20.json", "x[1].json", "ü{2}.json"]
+    for n, name in enumerate(names):
+        file(base / "sub", "2031-01-01", name, line(n))
+        file(base / "sub" / "2031-01-01", "2031-01-02", name, line(n + 10))
+    assert land(spark, str(base), store, log, SMALL) == 1
+    assert land(spark, str(base), store, log, SMALL) == 0
+    rows = open_landed(spark, store, log, SMALL).select("data.a", "fetch_date").collect()
+    assert sorted(rows) == [(n, "2031-01-01") for n in range(4)] + [
+        (n, "2031-01-02") for n in range(10, 14)]
+
+
 def test_a_batch_that_was_not_entered_is_done_again(spark, tmp_path, monkeypatch):
     base, store, log = tmp_path / "landed", str(tmp_path / "store"), str(tmp_path / "log")
     for day in range(1, 5):
