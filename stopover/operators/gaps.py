@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopover.functions.times import gap_minutes, local_time, minutes_between
+from stopover.operators.numbering import following, same_keys
 from stopover.operators.summary import COPY_KEYS, LEG_KEYS
 from stopover.session import staged
 
+
 def lead_in_order(
     df: DataFrame,
     keys: list[str],
@@ -31,39 +33,22 @@ def lead_in_order(
     return df.withColumns({n: F.lead(c).over(window) for n, c in values.items()})
 
 
-def _ranges(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Rows with the number of their range; a running number parts even equal rows.
-
-    Written out, so that all uses see the same cuts.
-    """
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    ranged = numbered.repartitionByRange(*keys, *order, "_row")
-    return staged(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
-
-
 def _lead_over_ranges(
     df: DataFrame, keys: list[str], order: list[str], values: dict[str, str]
 ) -> DataFrame:
-    ranged = _ranges(df, keys, order)
-    following = F.struct(*[F.col(c).alias(n) for n, c in values.items()])
-    inside = Window.partitionBy("_range", *keys).orderBy(*order, "_row")
-    rows = ranged.withColumn("_next", F.lead(following).over(inside))
+    # Written out, since the first rows of the ranges are needed beside all rows.
+    rows = staged(following(df, keys, order, {f"_{n}": c for n, c in values.items()}), "ranges")
     # One row per range, so never more rows than there are shuffle partitions.
-    heads = ranged.groupBy("_range").agg(
-        F.min(F.struct(*keys, *order, "_row", following.alias("_values"))).alias("_head"))
-    heads = heads.select(
-        F.lag("_range").over(Window.orderBy("_range")).alias("_before"), "_head",
-    ).where("_before is not null")
-    same_group = F.lit(True)
-    for key in keys:
-        same_group &= F.col(key).eqNullSafe(F.col(f"_head.{key}"))
+    heads = rows.where("_first").select(
+        F.lag("_range").over(Window.orderBy("_range")).alias("_before"),
+        F.struct(*keys).alias("_head"),
+        F.struct(*[F.col(c).alias(n) for n, c in values.items()]).alias("_values"))
     joined = rows.join(
-        F.broadcast(heads),
-        (F.col("_range") == F.col("_before")) & F.col("_next").isNull() & same_group,
-        "left",
-    )
-    chosen = F.coalesce("_next", "_head._values")
-    return joined.select(*df.columns, *[chosen[n].alias(n) for n in values])
+        F.broadcast(heads.where("_before is not null")),
+        F.col("_last") & (F.col("_range") == F.col("_before")) & same_keys(keys, "_head"), "left")
+    return joined.select(*df.columns, *[
+        F.when(F.col("_last"), F.col(f"_values.{n}")).otherwise(F.col(f"_{n}")).alias(n)
+        for n in values])
 
 
 def flight_gaps(segments: DataFrame, order: list[str], spread: bool = True) -> DataFrame:
@@ -93,20 +78,19 @@ def leg_connections(legs: DataFrame) -> DataFrame:
 
 
 def segment_connections(segments: DataFrame) -> DataFrame:
-    """The same from flat segments, which are put back in order leg by leg.
+    """The same from flat segments, whatever the length of a leg: each looks at the next one.
 
-    A leg came out of the array of one record. Copies of it are gathered once.
+    Copies of a segment count once.
     """
     copies = [c for c in COPY_KEYS if c in segments.columns]
-    segment = F.struct("seg_pos", "destinationCode", "seg_arrival", "seg_departure")
-    legs = segments.groupBy(*LEG_KEYS, *copies).agg(
-        F.sort_array(F.collect_set(segment)).alias("_segments"))
-    return _connections(legs.select(
-        *LEG_KEYS,
-        F.col("_segments.destinationCode").alias("_airports"),
-        F.col("_segments.seg_arrival").alias("_arrivals"),
-        F.col("_segments.seg_departure").alias("_departures"),
-    ))
+    places = ["seg_pos", "destinationCode", "seg_arrival", "seg_departure"]
+    once = segments.select(*LEG_KEYS, *copies, *places).distinct()
+    ahead = lead_in_order(once, [*LEG_KEYS, *copies], places,
+                          {"next_pos": "seg_pos", "next_departure": "seg_departure"})
+    minutes = minutes_between(
+        local_time(F.col("seg_arrival")), local_time(F.col("next_departure")))
+    return ahead.where("next_pos is not null").select(
+        *LEG_KEYS, "seg_pos", F.col("destinationCode").alias("airport"), minutes.alias("minutes"))
 
 
 def _connections(legs: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from stopover.operators.flatten import (
 from stopover.operators.gaps import (
     flight_gaps, lead_in_order, leg_connections, segment_connections,
 )
+from stopover.operators.numbering import running_number
 from stopover.operators.summary import (
     LEG_KEYS, PRICE_KEYS, distinct_segments, first_by_position, last_by_position, ordered_codes,
     summarise_groups, summarise_legs, summarise_segments,
@@ -507,13 +508,18 @@ def explode_drops_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _crew_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Record lists of at most 500 customers each, with their declared number."""
+    """Record lists of at most 500 customers each, with their declared number.
+
+    Customers are numbered within a block of keys, and the lists are cut by number: no
+    list grows with the rows of one key.
+    """
     customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    people = customers.join(nations, customers.c_nationkey == nations.n_nationkey)
-    return people.groupBy(whole(F.col("c_custkey"), IDS_PER_LIST).alias("response")).agg(
-        F.count("*").alias("number"),
-        F.collect_list(F.struct(F.col("n_name").alias("craft"), F.col("c_name").alias("name")))
-        .alias("people"))
+    people = customers.join(nations, customers.c_nationkey == nations.n_nationkey).select(
+        whole(F.col("c_custkey"), IDS_PER_LIST).alias("response"), "c_custkey",
+        F.col("n_name").alias("craft"), F.col("c_name").alias("name"))
+    numbered = running_number(people, ["response"], ["c_custkey", "name", "craft"], "number")
+    return numbered.groupBy("response", whole(F.col("number"), IDS_PER_LIST).alias("part")).agg(
+        F.count("*").alias("number"), F.collect_list(F.struct("craft", "name")).alias("people"))
 
 
 def format_message(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -524,7 +530,7 @@ def format_message(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def record_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_record_count(_crew_responses(spark, sf_dir)).select(
-        "response", "number", "listed")
+        "response", "part", "number", "listed")
 
 
 # ---- aggregations ----

@@ -1,7 +1,7 @@
 """Nested snapshots made from the flat test tables, in the shape of the landed ones.
 
 An order is an itinerary, its year the snapshot, its line items are segments.
-Line items go to legs of about four, legs to pages of eight, and a record
+Line items are numbered in order; four make a leg, eight legs a page, and a record
 holds one page of a block of 64 order keys. So a record stays small however
 many line items one order has, alike or not. Orders without any have no legs.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stopover.operators.numbering import running_number
 from stopover.session import fresh_path
 from stopover.sources.snapshots import accepted, read_snapshots
 
@@ -21,6 +22,9 @@ ORDERS_PER_BLOCK = 64
 BLOCKS_PER_FILE = 64
 PAGES_PER_FILE = 64
 CODES = 25
+#: All that tells the line items of an order apart, in the order that they are numbered in.
+LINE_COLUMNS = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+                "l_linestatus", "l_shipdate"]
 # Fixed value: what stands before a price, rupee sign and no-break space.
 PRICE_MARK = "\u20b9\u00a0"
 
@@ -66,13 +70,6 @@ def fetch_date(day: Column) -> Column:
     return F.concat(F.year(day).cast("string"), F.lit("-01-01"))
 
 
-def spread_number() -> Column:
-    """Sum of all that tells the line items of an order apart, and the number of the copy."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    return (F.col("l_linenumber") + F.col("l_partkey") + F.col("l_suppkey")
-            + F.coalesce(cents, F.lit(0)) + F.col("copy"))
-
-
 def with_copies(counted: DataFrame) -> DataFrame:
     """A row for each of ``copies``, numbered; made in runs, and never sorted."""
     last_run = whole(F.col("copies") - 1, COPIES_AT_ONCE)
@@ -84,19 +81,16 @@ def with_copies(counted: DataFrame) -> DataFrame:
 
 def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fetch_date, block, page`` and the envelope's three columns."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
-        "l_linestatus", "l_shipdate")
-    orders = table(spark, sf_dir, "orders")
-    sizes = lines.groupBy("l_orderkey").agg(F.count("*").alias("lines"))
-    heads = orders.join(sizes, orders.o_orderkey == sizes.l_orderkey, "left").select(
-        "o_orderkey", "o_totalprice", "o_orderdate",
-        whole(F.col("lines") + SEGMENTS_PER_LEG - 1, SEGMENTS_PER_LEG).alias("legs"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_COLUMNS)
+    heads = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     # Copies are counted before they are shuffled, and made again behind the join.
     counted = lines.groupBy(*lines.columns).agg(F.count("*").alias("copies"))
-    filled = with_copies(counted.join(heads, counted.l_orderkey == heads.o_orderkey)).withColumn(
-        "leg_no", spread_number() % F.col("legs"))
-    bare = heads.where("legs is null")
+    first = running_number(counted, ["l_orderkey"], LINE_COLUMNS, "first", "copies")
+    filled = with_copies(first.join(heads, first.l_orderkey == heads.o_orderkey))
+    filled = filled.withColumn("line_no", F.col("first") + F.col("copy")).withColumn(
+        "leg_no", whole(F.col("line_no"), SEGMENTS_PER_LEG))
+    filled_keys = lines.select("l_orderkey").distinct()
+    bare = heads.join(filled_keys, heads.o_orderkey == filled_keys.l_orderkey, "left_anti")
     placed = (
         filled.unionByName(bare, allowMissingColumns=True)
         .withColumn("block", whole(F.col("o_orderkey"), ORDERS_PER_BLOCK))
@@ -123,8 +117,7 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     placed_segment = F.when(
         F.col("l_orderkey").isNotNull(),
-        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-                 segment.alias("segment")))
+        F.struct("line_no", segment.alias("segment")))
     legs = placed.groupBy(*order, "leg_no").agg(
         F.sort_array(F.collect_list(placed_segment))["segment"].alias("segments"))
     leaves = F.col("o_orderdate") + F.make_dt_interval(days=F.col("leg_no").cast("int"))

@@ -12,31 +12,20 @@ orders_ as (
 )"""
 
 _SEGMENTS = _ORDERS + """,
-sizes as (
-  select l_orderkey, (count(*) + 3) // 4 as n_legs from lineitem group by l_orderkey
-),
-numbered_lines as (
-  select *, row_number() over same - 1 as copy_row
-  from lineitem
-  window same as (partition by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
-                  l_quantity, l_linestatus, l_shipdate)
-),
 placed as (
-  select l.*,
-         (l_linenumber + l_partkey + l_suppkey
-          + coalesce(cast(round(l_extendedprice * 100) as bigint), 0) + copy_row) % n_legs
-           as leg_no
-  from numbered_lines l join sizes using (l_orderkey)
+  select *, line_no // 4 as leg_no
+  from (select *, row_number() over (partition by l_orderkey order by
+               l_linenumber nulls first, l_partkey nulls first, l_suppkey nulls first,
+               l_extendedprice nulls first, l_quantity nulls first, l_linestatus nulls first,
+               l_shipdate nulls first) - 1 as line_no
+        from lineitem)
 ),
 segs as (
   select fetch_date, itinerary_id, "formattedPrice", o_totalprice, l_orderkey, leg_no,
          cast(l_orderkey as varchar) || '-' || cast(leg_no as varchar) as leg_id,
          leg_no // 8 as page,
-         cast(dense_rank() over (partition by l_orderkey, leg_no // 8 order by leg_no) - 1
-              as integer) as leg_pos,
-         cast(row_number() over (partition by l_orderkey, leg_no
-              order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1
-              as integer) as seg_pos,
+         cast(leg_no % 8 as integer) as leg_pos,
+         cast(line_no % 4 as integer) as seg_pos,
          strftime(o_orderdate + to_days(cast(leg_no as integer)), '%Y-%m-%dT%H:%M:%S')
            as departure,
          strftime(o_orderdate + to_days(cast(leg_no as integer) + 1), '%Y-%m-%dT%H:%M:%S')
@@ -331,8 +320,11 @@ select c_name as name, n_name as craft,
        c_name || ' is currently in space flying on the ' || n_name || '! Hello! :)' as message
 from customer join nation on c_nationkey = n_nationkey""",
     "record_count": """
-select c_custkey // 500 as response, count(*) as number, cast(count(*) as integer) as listed
-from customer join nation on c_nationkey = n_nationkey group by 1""",
+select response, part, count(*) as number, cast(count(*) as integer) as listed
+from (select c_custkey // 500 as response, (row_number() over (
+          partition by c_custkey // 500 order by c_custkey, c_name, n_name) - 1) // 500 as part
+      from customer join nation on c_nationkey = n_nationkey)
+group by 1, 2""",
     "itinerary_summary": f"""with {_LINES},{_summary_ctes('lines', 'l_orderkey', _LINE_ORDER)}
 select itinerary_id, {_ELEVEN} from summary""",
     "itinerary_summary_nested": _LEG_SUMMARY,

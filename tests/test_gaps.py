@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from stopover.functions.times import date_key, local_time, minutes_between
 from stopover.operators.flatten import explode_itineraries, explode_legs, flatten_segments
 from stopover.operators.gaps import (
-    _ranges, flight_gaps, lead_in_order, leg_connections, segment_connections,
+    flight_gaps, lead_in_order, leg_connections, segment_connections,
 )
+from stopover.operators.numbering import following, in_ranges
 from stopover.operators.summary import ordered_codes
 from stopover.sources.snapshots import accepted, read_snapshots
 from tests.landed import envelope, golden_waits, itinerary, land, leg
@@ -105,7 +106,7 @@ def test_copies_are_spread_over_ranges(spark, many_ranges):
     rows = [("k", 5, 1)] * 2000 + [("k", t, t + 10) for t in range(2000)] + [
         (str(i % 7), i, i) for i in range(2000)]
     df = spark.createDataFrame(rows, "k string, t int, v int").repartition(6)
-    sizes = [r["count"] for r in _ranges(df, ["k"], ["t"]).groupBy("_range").count().collect()]
+    sizes = [r["count"] for r in in_ranges(df, ["k"], ["t"]).groupBy("_range").count().collect()]
     assert len(sizes) > 3 and max(sizes) < 2000
     plain = lead_in_order(df, ["k"], ["t", "v"], {"n": "v"}, spread=False)
     ranged = lead_in_order(df, ["k"], ["t", "v"], {"n": "v"})
@@ -133,6 +134,51 @@ def test_lead_over_ranges_with_two_keys(spark, many_ranges):
     assert ranged.where("n is null").count() == 4
 
 
+def test_rows_are_shuffled_once(spark):
+    """One exchange of full rows; what follows it reads the written ranges."""
+    df = spark.range(1000).selectExpr("id % 7 as k", "id as t", "id * 2 as v")
+    plan = following(df, ["k"], ["t"], {"n": "v"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "rangepartitioning" in plan
+    rest = lead_in_order(df, ["k"], ["t"], {"n": "v"})
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    # The table of the ranges' first rows alone.
+    assert "hashpartitioning" not in plan and plan.count("Exchange SinglePartition") == 1
+
+
+def test_lead_of_values_of_all_kinds(spark, many_ranges):
+    rows = [(float("nan") if i % 3 == 0 else (None if i % 3 == 1 else 1.5), i,
+             None if i % 5 == 0 else (i, [str(i)], {"a": i})) for i in range(200)]
+    df = spark.createDataFrame(
+        rows, "k double, t int, v struct<a:int,b:array<string>,c:map<string,int>>").withColumns({
+            "at": F.timestamp_seconds("t"), "day": F.date_add(F.lit("2031-01-01").cast("date"), "t"),
+            "price": F.col("t").cast("decimal(20,3)"), "raw": F.col("t").cast("string").cast("binary")})
+    ahead = {f"next_{c}": c for c in ("t", "v", "at", "day", "price", "raw")}
+    plain = lead_in_order(df, ["k"], ["t"], ahead, spread=False)
+    # by their text: NaN is not equal to itself
+    assert repr(values(plain)) == repr(values(
+        lead_in_order(df.repartition(4), ["k"], ["t"], ahead)))
+
+
+def test_a_leg_of_very_many_segments(spark):
+    """Equal to the nested form, which holds the leg in one row."""
+    from stopover.operators.summary import LEG_KEYS
+
+    n, base = 200_000, F.lit("2031-01-01T00:00:00").cast("timestamp_ntz")
+    after = lambda minutes: F.translate(
+        (base + F.make_dt_interval(mins=minutes)).cast("string"), " ", "T")
+    at = F.col("id").cast("int")
+    flat = spark.range(n).select(
+        F.lit("2031-01-01").alias("fetch_date"), F.lit("it").alias("itinerary_id"),
+        F.lit(0).alias("leg_pos"), F.lit("leg").alias("leg_id"), at.alias("seg_pos"),
+        F.concat(F.lit("N"), at % 25).alias("destinationCode"),
+        after(at * 100 + 60).alias("seg_arrival"), after(at * 100).alias("seg_departure"))
+    assert set(LEG_KEYS) <= set(flat.columns)
+    found = segment_connections(flat.repartition(6))
+    row = found.agg(F.count("*").alias("n"), F.min("minutes").alias("least"),
+                    F.max("minutes").alias("most"), F.sum("seg_pos").alias("places")).first()
+    assert (row.n, row.least, row.most, row.places) == (n - 1, 40, 40, (n - 1) * (n - 2) // 2)
+
+
 def test_lead_of_nothing(spark):
     df = spark.createDataFrame([], "k string, t int")
     assert lead_in_order(df, ["k"], ["t"], {"n": "t"}).collect() == []

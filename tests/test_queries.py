@@ -77,20 +77,58 @@ def test_query_equals_sql_on_skewed_tables(spark, skewed, name):
     compare(spark, skewed, views(skewed), name)
 
 
+def many_lines(lines, like):
+    """20,000 lines of one order: unlike in ``like`` only, and copies."""
+    numbers = lines.sparkSession.range(20_000)
+    kind = {f.name: f.dataType for f in lines.schema}
+    n = F.col("id")
+    changed = {
+        "numbers": {"l_linenumber": n},
+        "dates and quantities": {"l_shipdate": F.date_add("l_shipdate", (n % 700).cast("int")),
+                                 "l_quantity": n % 50},
+        "equal sums": {"l_partkey": n + 1, "l_suppkey": 30_000 - n},
+        "copies": {},
+        "nulls": {"l_quantity": F.when(n % 2 == 0, n), "l_shipdate": F.lit(None),
+                  "l_extendedprice": F.lit(None)},
+    }[like]
+    rows = lines.limit(1).crossJoin(numbers)
+    return rows.withColumns({c: v.cast(kind[c]) for c, v in changed.items()}).drop("id")
+
+
 @needs_data
-def test_legs_stay_small_whatever_one_order_holds(spark, tmp_path):
-    """Many lines of one part and supplier in one order, with unlike numbers, and copies."""
-    lines = spark.read.parquet(f"{SF}/lineitem.parquet").limit(1)
-    many = lines.crossJoin(spark.range(20_000)).withColumn(
-        "l_linenumber", F.col("id").cast(lines.schema["l_linenumber"].dataType)).drop("id")
-    copies = lines.crossJoin(spark.range(5_000)).drop("id")
-    many.unionByName(copies).write.parquet(f"{tmp_path}/lineitem.parquet")
+@pytest.mark.parametrize(
+    "like", ["numbers", "dates and quantities", "equal sums", "copies", "nulls"])
+def test_legs_stay_small_whatever_one_order_holds(spark, tmp_path, like):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    many_lines(lines, like).write.parquet(f"{tmp_path}/lineitem.parquet")
     spark.read.parquet(f"{SF}/orders.parquet").write.parquet(f"{tmp_path}/orders.parquet")
-    legs = order_envelopes(spark, str(tmp_path)).select(
-        F.explode("data.itineraries.legs").alias("legs")).select(
-        F.explode("legs.segments").alias("segments")).select(F.size("segments").alias("n"))
-    row = legs.agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
-    assert row["all"] == 25_000 and row["most"] <= 40
+    records = order_envelopes(spark, str(tmp_path))
+    itineraries = records.select(F.explode("data.itineraries").alias("i"))
+    assert itineraries.agg(F.max(F.size("i.legs"))).first()[0] == 8
+    legs = itineraries.select(F.explode("i.legs").alias("leg"))
+    row = legs.agg(F.sum(F.size("leg.segments")).alias("all"),
+                   F.min(F.size("leg.segments")).alias("least"),
+                   F.max(F.size("leg.segments")).alias("most"),
+                   F.count_distinct("leg.id").alias("ids")).first()
+    assert (row["all"], row["least"], row["most"], row["ids"]) == (20_000, 4, 4, 5_000)
+
+
+@needs_data
+def test_record_lists_stay_small_whatever_one_key_holds(spark, tmp_path):
+    """A third of the customers, and 2,000 copies of one, under one key."""
+    folder = str(tmp_path)
+    duckdb.execute(f"""copy (
+        select * replace (case when c_custkey % 3 = 0 then 7 else c_custkey end as c_custkey)
+        from '{SF}/customer.parquet'
+        union all
+        select c.* from '{SF}/customer.parquet' c, range(2000) where c_custkey = 1
+        ) to '{folder}/customer.parquet' (format parquet)""")
+    for name in set(TABLES) - {"customer"}:
+        os.symlink(f"{SF}/{name}.parquet", f"{folder}/{name}.parquet")
+    for name in ("record_count", "format_message"):
+        compare(spark, folder, views(folder), name)
+    counts = queries()["record_count"](spark, folder)
+    assert counts.agg(F.max("listed")).first()[0] == 500
 
 
 @needs_data
