@@ -32,6 +32,7 @@ from stopover.schema import (
 from stopover.session import fresh_path, staged
 from stopover.sources import sinks
 from stopover.sources.batches import land, landed_files, open_landed, read_apart, unread
+from stopover.sources.drift import record_shapes, schema_drift, shape_paths
 from stopover.sources.snapshots import (
     accepted, discover_snapshots, list_versions, merge_report, outcome, read_id_lists,
     read_snapshots, snapshot_states, union_by_name,
@@ -406,6 +407,29 @@ def replaced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("fetch_date", date_key(F.col("fetch_date")))
 
 
+def _drifting_events(spark: SparkSession, sf_dir: str) -> str:
+    """Events whose fields change with the day: new ones, one that is left out, one of another type."""
+    def write(path: str) -> None:
+        day = F.dayofmonth(F.col("fetch_date").cast("date"))
+        events = _event_lines(spark, sf_dir).withColumns({
+            "device": F.when(day > 10, F.struct(
+                F.col("event_type").alias("kind"), F.array(F.struct("user_id")).alias("users"))),
+            "user_id": F.when(day % 4 != 0, F.col("user_id")),
+            "tags": F.when(F.col("event_id") % 3 == 0, F.array("event_type"))})
+        fields = ["event_id", "user_id", "event_type", "device", "tags"]
+        late = F.to_json(F.struct(*fields, F.concat(F.lit("v"), "value").alias("value")))
+        early = F.to_json(F.struct(*fields, "value"))
+        lines = events.select("fetch_date", F.when(day > 20, late).otherwise(early).alias("line"))
+        lines.hint("rebalance", "fetch_date").write.partitionBy("fetch_date").text(path)
+    return nested.once(spark, sf_dir, "drifting", write)
+
+
+def schema_drift_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that the records have, or lack, beside those that are read."""
+    shapes = record_shapes(spark, _drifting_events(spark, sf_dir), files=TEXT_FILES)
+    return schema_drift(shape_paths(shapes), _EVENT)
+
+
 def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each run found: files by day and kind of change; the last run none."""
     return spark.read.parquet(f"{_replaced_files(spark, sf_dir)}/changes").groupBy(
@@ -693,6 +717,7 @@ QUERIES = {
     "snapshot_replace": snapshot_replace,
     "replaced_files": replaced_files,
     "changed_files": changed_files,
+    "schema_drift": schema_drift_query,
     "project_columns": project_columns,
     "nested_field_access": nested_field_access,
     "literal_column": literal_column,

@@ -260,6 +260,31 @@ select event_id, user_id,
        case when day(ts) > 15 or day(ts) % 5 = 0 then value else -1.0 end as value,
        strftime(ts, '%Y-%m-%d') as fetch_date
 from events where day(ts) % 7 <> 0""",
+    "schema_drift": """
+with days as (select *, strftime(ts, '%Y-%m-%d') as fetch_date, day(ts) as d from events),
+fields as (
+  select 'event_id' as path, 'bigint' as type, 'read' as state, fetch_date from days
+  where event_id is not null
+  union all select 'user_id', 'bigint', 'read', fetch_date from days
+  where d % 4 <> 0 and user_id is not null
+  union all select 'event_type', 'string', 'read', fetch_date from days
+  where event_type is not null
+  union all select 'value', 'double', 'read', fetch_date from days
+  where d <= 20 and value is not null
+  union all select 'value', 'string', 'other type', fetch_date from days
+  where d > 20 and value is not null
+  union all select 'tags', 'array', 'not read', fetch_date from days where event_id % 3 = 0
+  union all select path, type, 'not read', fetch_date from days, (values
+      ('device', 'object'), ('device.kind', 'string'), ('device.users', 'array')) f(path, type)
+  where d > 10
+  union all select 'device.users.user_id', 'bigint', 'not read', fetch_date from days
+  where d > 10 and user_id is not null
+)
+select path, type, state, min(fetch_date) as first_day, max(fetch_date) as last_day,
+       count(*) as records
+from fields group by all
+union all
+select 'ts', 'string', 'never found', null, null, 0""",
     "changed_files": """
 with days as (
   select strftime(ts, '%Y-%m-%d') as fetch_date, day(ts) as d, count(distinct event_id % 4) as files
