@@ -170,8 +170,9 @@ buckets as (select row, lang, source, unnest(['symbols', 'upper', 'dup_lines', '
     unnest([n_symbols * 1000 // nullif(word_chars, 0), n_upper * 1000 // nullif(word_chars, 0),
         n_dup_lines * 1000 // nullif(n_lines, 0), n_repeat_words * 1000 // nullif(n_words, 0),
         word_chars * 10 // nullif(n_words, 0)]) as raw from measured),
-bucketed as (select row, lang, source, measure, least(1000, coalesce(raw, 0)) as bucket
-    from buckets),
+valued as (select row, lang, source, measure, coalesce(raw, 0)::bigint as value from buckets),
+bucketed as (select *, (value >> more) << more as bucket from (select *, greatest(
+    length(bin(value)) - {adaptive_rules.DIGITS}, 0)::bigint as more from valued)),
 levels as (select b, case when b > 0 then lang end as lang, case when b > 1 then source end as source,
     measure, bucket, count(*) as n from bucketed, (select unnest([0, 1, 2]) as b)
     group by all),
@@ -183,7 +184,7 @@ fences as (select b, lang, source, measure, max(total) as total,
 limits as (select *, upper + {adaptive_rules.SPREADS} * (upper - half) + case measure
     {' '.join(f"when '{m}' then {v[3]}" for m, v in adaptive_rules.MEASURES.items())} end as fence
     from fences),
-above as (select x.row, bool_or(x.bucket > case
+above as (select x.row, bool_or(x.value > case
         when o.total >= {adaptive_rules.ENOUGH} then o.fence
         when l.total >= {adaptive_rules.ENOUGH} then l.fence else e.fence end) as above
     from bucketed x

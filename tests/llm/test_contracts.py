@@ -2,10 +2,12 @@
 
 import hashlib
 import os
+import random
 import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -127,3 +129,23 @@ def test_op8_keeps_and_fails_by_the_base_rules(spark, rows):
     assert got.count() == len(rows)
     assert got.where("base_failed and kept").isEmpty()
     assert got.where((F.col("n_words") < 50) & ~F.col("base_failed")).isEmpty()
+
+
+def test_op8_equals_its_sql_where_words_are_very_long(spark, tmp_path):
+    """A group whose fence for the word length lies far beyond the exact buckets."""
+    dice = random.Random(8)
+    lengths = [dice.randrange(5, 60) * dice.choice([1, 1, 4]) for _ in range(300)] + [
+        900, 2_000, 40_000, 3_000]
+    rows = [(n, " ".join("".join(dice.choices("abcdefgh", k=size)) for _ in range(60)), "zz", "long")
+            for n, size in enumerate(lengths)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    got = queries.op8_adaptive_rules(spark, str(tmp_path))
+    names = sorted(got.columns)
+    db = duckdb.connect()
+    db.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = db.execute(f"select {', '.join(names)} from ({queries.ORACLE['op8_adaptive_rules']})")
+    assert sorted(map(tuple, got.select(names).collect())) == sorted(want.fetchall())
+    # Some are kept beyond the last exact bucket, and some are not.
+    beyond = {r.kept for r in got.where("word_chars * 10 div n_words > 1023").collect()}
+    assert beyond == {True, False}
