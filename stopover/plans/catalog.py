@@ -33,6 +33,7 @@ from stopover.session import fresh_path, staged
 from stopover.sources import sinks
 from stopover.sources.batches import land, landed_files, open_landed, read_apart, unread
 from stopover.sources.drift import record_shapes, schema_drift, shape_paths
+from stopover.sources.manifest import discovered, extend_manifest
 from stopover.sources.snapshots import (
     accepted, discover_snapshots, list_versions, merge_report, outcome, read_id_lists,
     read_snapshots, snapshot_states, union_by_name,
@@ -407,6 +408,25 @@ def replaced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("fetch_date", date_key(F.col("fetch_date")))
 
 
+def manifest_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files by day as the manifest has them, and the run that listed the day last.
+
+    Days land in two parts with a run after each; the second lists the new days, and
+    the newest of the others once more, which has got further files meanwhile.
+    """
+    base, manifest = (fresh_path(spark, n) for n in ("landing", "manifest"))
+    events = _event_lines(spark, sf_dir)
+    day = F.dayofmonth(F.col("fetch_date").cast("date"))
+    first = events.where((day % 2 == 1) & (day < 20) & ((day != 19) | (F.col("event_id") % 2 == 0)))
+    _land_files(first, base)
+    runs = [extend_manifest(spark, base, manifest)]
+    _land_files(events.where((day % 2 == 0) | (day >= 19)), base)
+    runs.append(extend_manifest(spark, base, manifest))
+    last = {d: number for number, days in enumerate(runs, 1) for d in days}
+    listed = spark.createDataFrame([*last.items()], "fetch_date string, listed_in int")
+    return discovered(spark, manifest).drop("bytes").join(listed, "fetch_date")
+
+
 def _drifting_events(spark: SparkSession, sf_dir: str) -> str:
     """Events whose fields change with the day: new ones, one that is left out, one of another type."""
     def write(path: str) -> None:
@@ -718,6 +738,7 @@ QUERIES = {
     "replaced_files": replaced_files,
     "changed_files": changed_files,
     "schema_drift": schema_drift_query,
+    "manifest_discovery": manifest_discovery,
     "project_columns": project_columns,
     "nested_field_access": nested_field_access,
     "literal_column": literal_column,

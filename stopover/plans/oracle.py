@@ -260,6 +260,10 @@ select event_id, user_id,
        case when day(ts) > 15 or day(ts) % 5 = 0 then value else -1.0 end as value,
        strftime(ts, '%Y-%m-%d') as fetch_date
 from events where day(ts) % 7 <> 0""",
+    "manifest_discovery": """
+select strftime(ts, '%Y-%m-%d') as fetch_date, count(distinct event_id % 4) as files,
+       case when any_value(day(ts)) % 2 = 0 or any_value(day(ts)) >= 19 then 2 else 1 end as listed_in
+from events group by 1""",
     "schema_drift": """
 with days as (select *, strftime(ts, '%Y-%m-%d') as fetch_date, day(ts) as d from events),
 fields as (

@@ -16,10 +16,11 @@ from stopover.operators.flatten import explode_itineraries, explode_legs, flatte
 from stopover.operators.summary import LEG_KEYS, summarise_legs
 from stopover.schema import ENVELOPE
 from stopover.session import staged
+from stopover.sources.manifest import open_manifest
 from stopover.sources.sinks import drop_days, replace_snapshots
 from stopover.sources.snapshots import (
-    CORRUPT, JSON_FILES, accepted, existing_folders, latest_itineraries, list_versions, plain_path,
-    read_snapshots, with_lineage,
+    CORRUPT, JSON_FILES, accepted, latest_itineraries, list_versions, plain_path, read_snapshots,
+    with_lineage,
 )
 
 
@@ -110,9 +111,6 @@ def refresh_days(
     query.awaitTermination()
 
 
-MANIFEST = "file_path string, length bigint, modified timestamp, fetch_date string"
-
-
 def file_changes(listing: DataFrame, known: DataFrame) -> DataFrame:
     """``fetch_date, file_path, change``: files that are new, changed or vanished.
 
@@ -149,10 +147,7 @@ def sync_days(
     """
     listing = staged(
         list_versions(spark, base, files).where("fetch_date is not null"), "listing")
-    known = spark.createDataFrame([], MANIFEST)
-    if existing_folders(spark, f"{manifest}/fetch_date=*"):
-        known = spark.read.schema(MANIFEST).parquet(manifest)
-    changes = staged(file_changes(listing, known), "changes")
+    changes = staged(file_changes(listing, open_manifest(spark, manifest)), "changes")
     # Here and below the driver holds days, not files.
     changed = sorted(row[0] for row in changes.select("fetch_date").distinct().collect())
     if not changed:
