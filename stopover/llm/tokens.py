@@ -20,6 +20,8 @@ import numpy as np
 
 # Parts kept (as many of the generation before), and bytes of the longest part that is kept.
 KEPT, LONGEST = 400_000, 64
+# Runs of marks behind words that are kept.
+MARKS = 10_000
 
 # Characters that some definitions count as white space, ASCII ones left out.
 _ODD_SPACE = re.compile(
@@ -27,10 +29,12 @@ _ODD_SPACE = re.compile(
 # Latin letters that no normal form changes, and how the two kinds of tokenizers cut.
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148"
 _SAFE = re.compile(f"[ \t-\r!-~{_LATIN}]*")
+_WORD = re.compile(rf"( ?[{_LATIN}]+)([!-/:-@\[-`{{-~]*)")
 _SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
 DROPPED = re.compile(rf"{_SHORT}|[{_LATIN}]+|[0-9]|[^\s0-9{_LATIN}]+")
 LED = re.compile(rf"{_SHORT}| ?[{_LATIN}]+| ?[0-9]+| ?[^\s0-9{_LATIN}]+|\s+(?!\S)|\s+")
-_SPACED = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+# In a bytes pattern white space is that of ASCII; nothing is ever tried twice.
+_SPACED = re.compile(rb"\s*+\S++|\s++")
 
 assert array("I").itemsize == 4 and sys.byteorder == "little"
 _loaded: dict[tuple[str, str], object] = {}
@@ -94,6 +98,7 @@ class Encoder:
         self.letters = byte_letters()
         self.kept: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         raw = text.encode()
@@ -114,16 +119,15 @@ class Encoder:
         if len(self.kept) > KEPT:
             self.old, self.kept = self.kept, {}
         kept, old, hard = self.kept, self.old, []
-        for i, ids in enumerate(found):
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            part = parts[i]
+            ids = kept.get(part) or old.get(part) or self.quick(part)
             if ids is None:
-                part = parts[i]
-                ids = kept.get(part) or old.get(part) or self.quick(part)
-                if ids is None:
-                    hard.append(i)
-                    continue
-                found[i] = ids
-                if len(part) <= LONGEST:
-                    kept[part] = ids
+                hard.append(i)
+                continue
+            found[i] = ids
+            if len(part) <= LONGEST:
+                kept[part] = ids
         new = list({parts[i] for i in hard})
         made = dict(zip(new, self.plain(new)))
         for i in hard:
@@ -133,17 +137,33 @@ class Encoder:
     def quick(self, part: bytes) -> bytes | None:
         """Ids by the library's model alone; None if the part isn't known to be safe."""
         text = part.decode()
-        if not _SAFE.fullmatch(text) or b"<|" in part:
+        if self.separation == "drop":
+            text = text.lower()
+        # Most parts are a word, perhaps with marks behind it: two pieces, and few marks.
+        simple = _WORD.fullmatch(text)
+        if simple:
+            word, marks = simple.groups()
+            ids = self.piece(word)
+            if not marks:
+                return ids
+            if marks not in self.marks:
+                if len(self.marks) > MARKS:
+                    self.marks.clear()
+                self.marks[marks] = self.piece(marks)
+            return ids + self.marks[marks]
+        if not _SAFE.fullmatch(text) or "<|" in text:
             return None
-        out = []
-        for piece in self.pieces.findall(text.lower() if self.separation == "drop" else text):
-            raw = piece.encode()
-            ids = (self.kept.get(raw) or self.old.get(raw)) if raw != part else None
-            if ids is None:
-                word = raw.decode("latin-1").translate(self.letters)
-                ids = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
-            out.append(ids)
-        return out[0] if len(out) == 1 else b"".join(out)
+        return b"".join(map(self.piece, self.pieces.findall(text)))
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece, which the library's model takes in byte letters."""
+        if not piece.isascii():
+            word = piece.encode().decode("latin-1").translate(self.letters)
+        elif piece[0] > " ":
+            word = piece
+        else:
+            word = piece.translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
 
     def plain(self, parts: list[bytes]) -> list[bytes]:
         """By the library's whole tokenizer."""
