@@ -110,16 +110,17 @@ class Encoder:
         else:
             return self.plain([raw])[0]
         found = list(map(self.kept.get, parts))
-        if None in found:
-            self.fill(parts, found)
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            self.fill(parts, found, missing)
         return b"".join(found)
 
-    def fill(self, parts: list[bytes], found: list[bytes | None]) -> None:
+    def fill(self, parts: list[bytes], found: list[bytes | None], missing: list[int]) -> None:
         """Put the ids of parts that aren't kept in their places."""
         if len(self.kept) > KEPT:
             self.old, self.kept = self.kept, {}
         kept, old, hard = self.kept, self.old, []
-        for i in [i for i, ids in enumerate(found) if ids is None]:
+        for i in missing:
             part = parts[i]
             ids = kept.get(part) or old.get(part) or self.quick(part)
             if ids is None:
