@@ -77,16 +77,16 @@ def leg_connections(legs: DataFrame) -> DataFrame:
     ))
 
 
-def segment_connections(segments: DataFrame) -> DataFrame:
+def segment_connections(segments: DataFrame, spread: bool = True) -> DataFrame:
     """The same from flat segments, whatever the length of a leg: each looks at the next one.
 
-    Copies of a segment count once.
+    Copies of a segment count once. ``spread`` is that of ``lead_in_order``.
     """
     copies = [c for c in COPY_KEYS if c in segments.columns]
     places = ["seg_pos", "destinationCode", "seg_arrival", "seg_departure"]
     once = segments.select(*LEG_KEYS, *copies, *places).distinct()
     ahead = lead_in_order(once, [*LEG_KEYS, *copies], places,
-                          {"next_pos": "seg_pos", "next_departure": "seg_departure"})
+                          {"next_pos": "seg_pos", "next_departure": "seg_departure"}, spread)
     minutes = minutes_between(
         local_time(F.col("seg_arrival")), local_time(F.col("next_departure")))
     return ahead.where("next_pos is not null").select(

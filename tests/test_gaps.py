@@ -24,6 +24,7 @@ def test_golden_connections(spark, landing):
     records = accepted(read_snapshots(spark, landing))
     nested = leg_connections(explode_legs(explode_itineraries(records)))
     flat = segment_connections(flatten_segments(records).repartition(5))
+    assert values(flat) == values(segment_connections(flatten_segments(records), spread=False))
     columns = ["fetch_date", "itinerary_id", "seg_pos", "airport", "minutes"]
     assert sorted(map(tuple, nested.select(*columns).collect())) == golden_waits()
     assert sorted(map(tuple, flat.select(*columns).collect())) == golden_waits()
