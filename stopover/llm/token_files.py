@@ -160,17 +160,20 @@ def write_token_files(docs: DataFrame, folder: str, path: str, length: int = 204
                       end: int = 0) -> list[dict]:
     """Write the ids of every whole text, in ascending ``doc_id`` order, ``end`` behind each.
 
-    Null ids come first, rows of one id are ordered by a hash of their text; a
-    null text is empty. Returns a row for each file (part, path, documents,
+    Null ids come first, rows of one id are ordered by a hash of their text, and
+    ranges part them, even equal rows; a null text is empty, no rows make no
+    documents. Returns a row for each file (part, path, documents,
     tokens), in order; their number is that of the shuffle partitions.
     """
     spark = docs.sparkSession
     on_workers(spark)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = (
-        docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
-        .repartitionByRange(tasks, "doc_id")
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
+        docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text",
+                        "xxhash64(text) hash", "monotonically_increasing_id() row")
+        .repartitionByRange(tasks, "doc_id", "hash", "row")
+        .sortWithinPartitions("doc_id", "hash", "row")
+        .select("doc_id", "text")
         .mapInArrow(partial(_write, folder=folder, path=path, length=length, end=end), WRITTEN)
         .collect())
     return sorted((row.asDict() for row in rows), key=lambda r: r["part"])

@@ -200,10 +200,13 @@ def compared_with_edited(docs: DataFrame, k: int = K, window: int = WINDOW) -> D
     spark = docs.sparkSession
     on_workers(spark)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    falling = F.col("doc_id").desc_nulls_last()
+    # Ranges part rows of one id, even equal ones.
+    falling = [F.col("doc_id").desc_nulls_last(), F.col("hash").desc(), F.col("row")]
     rows = (
-        docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
-        .repartitionByRange(tasks, falling).sortWithinPartitions(falling, F.xxhash64("text").desc())
+        docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text",
+                        "xxhash64(text) hash", "monotonically_increasing_id() row")
+        .repartitionByRange(tasks, *falling).sortWithinPartitions(*falling)
+        .select("doc_id", "text")
         .mapInArrow(partial(_neighbours, k=k, window=window), f"{COMPARED}, {ENDS}"))
     table = staged(rows, "compared")
     ends = table.where("part is not null")

@@ -120,6 +120,18 @@ def test_token_files_round_trip(spark, odd, empty):
     assert token_files.read_token_files(spark, none).count() == 0
 
 
+def test_rows_of_one_id_are_parted(spark):
+    """All rows without an id, most of them alike: no file holds much more than its share."""
+    rows = [(None, "the same text")] * 3000 + [(None, f"text {i}") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    written = token_files.write_token_files(docs, fresh_path(spark, "tokens"), BYTES)
+    counts = [row["n_docs"] for row in written]
+    assert sum(counts) == 4000 and max(counts) < 1500
+    read = token_files.read_token_files(spark, written).collect()
+    starts = sorted((r.start, r.n_tokens) for r in read)
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:])) and starts[0][0] == 0
+
+
 def test_paths_as_spark_names_them():
     assert token_files.uri("/a/b c") == "file:///a/b c"
     assert token_files.uri("file:/a") == "file:/a" and token_files.uri("hdfs://h/a") == "hdfs://h/a"
