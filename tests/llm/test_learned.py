@@ -1,7 +1,9 @@
 """Language, quality and personal data: what must hold, and accuracy on held-out rows."""
 
+import math
 import os
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -44,7 +46,7 @@ def test_copies_leave_the_sample_alone(spark):
         assert 0.6 * size < len(want) <= 1.4 * size
         assert sorted(map(tuple, sampled(often, size).collect())) == want
     few, many = (language.fit(d, F.lit(True), 100) for d in (once, often))
-    assert many.languages == ["en", "fr"] and many.threshold > 0
+    assert many.languages == ["en", "fr"] and many.threshold > -np.inf
     assert np.array_equal(few.vectors, many.vectors) and few.threshold == many.threshold
 
 
@@ -63,6 +65,76 @@ def test_language_of_odd_rows(odd, empty):
     assert language.predicted(empty, model).count() == 0
 
 
+def plain_prediction(model, text):
+    """Subword by subword: the mean of what each adds, one language after another."""
+    grams = [f"<{word}>"[i:i + n] for word in re.findall(r"[^\W\d_]+", text.lower())
+             for n in (2, 3, 4) for i in range(len(word) + 3 - n)]
+    rows = [zlib.crc32(g.encode()) % language.ROWS for g in grams]
+    logits = [sum(model.vectors[r][k] for r in rows) / len(rows) + model.bias[k]
+              for k in range(len(model.languages))]
+    powers = [math.exp(x / model.temperature) for x in logits]
+    best = max(range(len(powers)), key=lambda k: (powers[k], -k))
+    return model.languages[best], powers[best] / sum(powers), logits[best] < model.threshold
+
+
+@needs_data
+def test_prediction_equals_the_plain_one(docs):
+    model = language.fit(docs, F.lit(True))
+    rows = docs.where("length(text) between 1 and 3000").limit(150)
+    got = language.predicted(rows, model, ["text"]).collect()
+    checked = [r for r in got if re.search(r"[a-z]", r.doc.text)]
+    assert len(checked) > 100
+    for row in checked:
+        name, score, rejected = plain_prediction(model, row.doc.text)
+        assert (row.lang_pred, row.rejected) == (name, rejected)
+        assert math.isclose(row.score, score, rel_tol=1e-9)
+
+
+@needs_data
+def test_rejection_of_languages_left_out(spark):
+    """Known texts stay; of one language after another, left out, most are rejected."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang is not null")
+    held = crc32(F.col("doc_id")) % 4 == 2
+    shares = {}
+    for out in ("de", "en", "es", "fr"):
+        model = language.fit(docs.where(F.col("lang") != out), ~held)
+        rates = {r.strange: r.rejected for r in language.predicted(
+            docs.where(held), model, ["lang"]).groupBy((F.col("doc.lang") == out).alias("strange")).agg(
+            F.avg(F.col("rejected").cast("int")).alias("rejected")).collect()}
+        assert rates[False] < 0.006
+        shares[out] = rates[True]
+    print(shares)
+    assert min(shares["de"], shares["en"], shares["fr"]) > 0.5
+
+
+def test_texts_of_shuffled_letters_are_rejected(spark):
+    words = {"en": "the cat and the dog sat on a mat with", "fr": "le chat et le chien sont sur un tapis avec"}
+    rows = spark.createDataFrame(
+        [(lang, f"{text} {'abcdefgh'[n % 8]}{'mnopqrst'[n // 8 % 8]} {text}") for n in range(200)
+         for lang, text in words.items()], "lang string, text string")
+    model = language.fit(rows, F.lit(True))
+    strange = [language.mixed_letters(text * 3, n) for n, text in enumerate(list(words.values()) * 20)]
+    assert np.mean([model.predict(t)[2] for t in strange]) > 0.9
+    assert not any(model.predict(r.text)[2] for r in rows.collect())
+
+
+def test_signs_and_numbers_are_no_letters():
+    model = language.Model(["en"], np.zeros((language.ROWS, 1)), np.zeros(1))
+    for text in ("½ ² ①", "Ⅷ", "12 _ -", ""):
+        assert model.predict(text) == ("und", 0.0, True)
+    assert model.predict("½ a")[0] == "en"
+    assert language.mixed_letters("ab 1c!", 3)[2:4] == " 1"
+
+
+def test_rare_languages_are_sampled(spark):
+    rows = spark.createDataFrame([("en", f"word {n}") for n in range(3000)]
+                                 + [("da", f"ord {n}") for n in range(8)]
+                                 + [("sv", f"ordet {n}") for n in range(200)], "lang string, text string")
+    got = dict(language.sampled(rows.union(rows), 300, 40, 3).groupBy("lang").count().collect())
+    assert got["da"] == 8 and 15 < got["sv"] < 80 and 200 < got["en"] < 400
+    assert set(dict(language.sampled(rows, 300, 40, 2).groupBy("lang").count().collect())) == {"en", "sv"}
+
+
 @needs_data
 def test_quality_of_held_out_rows(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
