@@ -2,8 +2,9 @@
 
 Sizes are summed by source, each source gets a target, and its rate is target
 over size. A document is taken ``floor(rate)`` times, and once more if a number
-in [0, 1) made from its id and a seed lies below the fraction that is left. So
-a source's sum is right on average, and a run can be repeated.
+in [0, 1) made from its id, its text, a running number among rows that are alike
+in both, and a seed lies below the fraction that is left. So a source's sum is
+right on average, also where ids are missing or repeated, and a run can be repeated.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from stopover.session import staged
 MOST = 2.0
 # Digits of the hash that make the random number: 52 bits, exact in a double.
 DIGITS = 13
+# Rows of a chunk, as a power of two, in which equal rows are numbered.
+CHUNK = 10
 
 
 def n_words(text: Column) -> Column:
@@ -54,22 +57,54 @@ def targets(sizes: DataFrame, share: float, weights: list[int], most: float = MO
         .otherwise(F.lit(float(most)) * F.col("source_size")).alias("target"))
 
 
-def draw(id_column: Column, seed: int) -> Column:
-    """A number in [0, 1) that depends on id and seed alone (null: like the text ``null``)."""
-    text = F.concat(F.coalesce(id_column.cast("string"), F.lit("null")), F.lit(f":{seed}"))
+def draw(name: Column, number: Column, seed: int) -> Column:
+    """A number in [0, 1) that depends on a row's name, its number among its like, and a seed."""
+    text = F.concat(name, F.lit(":"), number.cast("string"), F.lit(f":{seed}"))
     digits = F.substring(F.md5(text.cast("binary")), 1, DIGITS)
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(16 ** DIGITS))
 
 
+def named(id_column: Column, text: Column) -> Column:
+    """Id and hash of the text (null id: like the text ``null``, null text: like an empty one)."""
+    return F.concat(F.coalesce(id_column.cast("string"), F.lit("null")), F.lit(":"),
+                    F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``number``, from 0 among rows of one ``name`` and source ``of``, in any order.
+
+    Numbers are counted within chunks of rows that lay together, then the counts
+    of a name's earlier chunks are added. So no task holds all rows of a name,
+    only a count for each chunk that has it. Rows are written as a table first,
+    so that a repeated task finds the same chunks.
+    """
+    placed = staged(rows.withColumn(
+        "chunk", F.shiftright(F.monotonically_increasing_id(), CHUNK)), "chunks")
+    earlier = Window.partitionBy("name", "of").orderBy("chunk").rowsBetween(
+        Window.unboundedPreceding, -1)
+    counts = placed.groupBy("name", "of", "chunk").count()
+    later = staged(counts.withColumn("before", F.sum("count").over(earlier)).where("before > 0").select(
+        F.col("name").alias("l_name"), F.col("of").alias("l_of"), F.col("chunk").alias("l_chunk"),
+        "before"), "later_chunks")
+    within = F.row_number().over(Window.partitionBy("name", "of", "chunk").orderBy("chunk")) - 1
+    return placed.withColumn("within", within).join(
+        later, (F.col("name") == F.col("l_name")) & F.col("of").eqNullSafe(F.col("l_of"))
+        & (F.col("chunk") == F.col("l_chunk")), "left").withColumn(
+        "number", F.col("within") + F.coalesce("before", F.lit(0)))
+
+
 def repetitions(docs: DataFrame, share: float = 1.5, weights: list[int] | None = None,
-                seed: int = 0, keep: list[str] | None = None) -> DataFrame:
+                seed: int = 0, keep: list[str] | None = None, alike: bool = True) -> DataFrame:
     """How often each document is taken: a row per row, ``copies`` from 0 to 2.
 
     ``docs`` has ``doc_id, text, source``; the columns in ``keep`` (default: the
     id) come along in a struct ``doc``, so that no name can clash, with ``size``
     (words; null: 0), ``source_size``, ``target`` and ``copies`` beside it. A null
-    source is a source; rows of one id share its draw; a source without words
-    has the target 0 and no copies; no rows give no rows.
+    source is a source; a null text counts as empty; a source without words
+    has the target 0 and no copies; no rows give no rows. Rows alike in id, text and
+    source each have a draw of their own; which of them is which is left open.
+    A caller who knows that no two rows are alike says so (``alike``) and saves
+    the running numbers, for which the columns in ``keep`` are shuffled.
 
     Sizes are summed before they are shuffled. The targets are one row per
     source, written as a table first, so that the join is planned by their
@@ -77,20 +112,25 @@ def repetitions(docs: DataFrame, share: float = 1.5, weights: list[int] | None =
     in which adaptive execution splits a hot source.
     """
     columns = [F.col(c) for c in (keep or ["doc_id"])]
-    sized = docs.select(F.struct(*columns).alias("doc"), F.col("doc_id").alias("id"),
+    sized = docs.select(F.struct(*columns).alias("doc"),
+                        named(F.col("doc_id"), F.col("text")).alias("name"),
                         F.col("source").alias("of"), n_words(F.col("text")).alias("size"))
+    sized = numbered(sized) if alike else sized.withColumn("number", F.lit(0))
     sums = docs.select("source", n_words(F.col("text")).alias("size")).groupBy("source").agg(
         F.sum("size").alias("source_size"))
     table = staged(targets(sums, share, weights or [5, 2, 1]), "targets")
     joined = sized.join(table, F.col("of").eqNullSafe(F.col("source")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    copies = F.floor(rate) + (draw(F.col("id"), seed) < rate - F.floor(rate)).cast("long")
+    copies = F.floor(rate) + (draw(F.col("name"), F.col("number"), seed) < rate - F.floor(rate)).cast("long")
     return joined.select("doc", "size", "source_size", "target", copies.alias("copies"))
 
 
 def mixed(docs: DataFrame, share: float = 1.5, weights: list[int] | None = None,
-          seed: int = 0) -> DataFrame:
-    """The mix itself: all columns of ``docs``, a row for every copy."""
-    taken = repetitions(docs, share, weights, seed, docs.columns).where("copies > 0")
+          seed: int = 0, alike: bool = True) -> DataFrame:
+    """The mix itself: all columns of ``docs``, of any name, a row for every copy.
+
+    Odd rows count as in ``repetitions``.
+    """
+    taken = repetitions(docs, share, weights, seed, docs.columns, alike).where("copies > 0")
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(
         "doc.*")

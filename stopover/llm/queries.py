@@ -124,7 +124,10 @@ QUERIES = {
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 _MIXING = rf"""
-with sized as (select doc_id, source, len({_WORDS})::bigint as size from documents),
+with sized as (select doc_id, source, len({_WORDS})::bigint as size,
+    coalesce(doc_id::varchar, 'null') || ':' || md5(coalesce(text, '')) as name,
+    row_number() over (partition by doc_id, source, md5(coalesce(text, ''))) - 1 as number
+    from documents),
 sources as (select source, sum(size)::bigint as source_size from sized group by source),
 weighted as (select *, [5.0::double, 2.0::double, 1.0::double][
     ((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as weight from sources),
@@ -139,7 +142,7 @@ targets as (select source, source_size, case when c < bound then c * weight
     select *, max(case when level < bound then level end) over () as c from levels)),
 rated as (select doc_id, size, source_size, target,
     case when source_size > 0 then target / source_size else 0.0 end as rate,
-    ('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || ':0'), 1, 13))::bigint::double
+    ('0x' || substr(md5(name || ':' || number || ':0'), 1, 13))::bigint::double
         / 4503599627370496.0::double as draw
     from sized join targets on sized.source is not distinct from targets.source)
 select doc_id, size, source_size, target,

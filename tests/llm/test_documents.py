@@ -113,6 +113,31 @@ def test_taken_words_come_near_their_targets(spark):
     assert len(got) == 4 and all(abs(r.taken / r.target - 1) < 0.06 for r in got)
 
 
+def test_rows_without_ids_and_equal_rows_have_draws_of_their_own(spark):
+    """All alike, or alike but for the text: taken words come near the target all the same."""
+    for text in ("'one two three four five six seven eight nine ten'",
+                 "concat('one two three four five six seven eight nine ', id)"):
+        rows = spark.range(6000).repartition(7).selectExpr(
+            "cast(null as long) doc_id", f"{text} text", "'en' lang",
+            "if(id % 6 < 4, 's0', if(id % 6 = 4, 's1', null)) source")
+        got = mixing.repetitions(rows, keep=["source"]).groupBy("doc.source", "target").agg(
+            F.sum(F.col("size") * F.col("copies")).alias("taken"), F.count("*").alias("n")).collect()
+        assert sorted(r.n for r in got) == [1000, 1000, 4000]
+        assert all(abs(r.taken / r.target - 1) < 0.06 for r in got)
+        again = mixing.mixed(rows.repartition(3)).groupBy("source").count().collect()
+        assert {r.source: r["count"] * 10 for r in again} == {r.source: r.taken for r in got}
+
+
+def test_numbers_of_equal_rows_run_across_chunks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 3)
+    rows = spark.range(2000).repartition(5).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('n', id div 7)) name", "if(id % 2 = 0, 'a', null) of", "id")
+    got = mixing.numbered(rows).toPandas()
+    assert len(got) == 2000
+    for _, group in got.groupby(["name", "of"], dropna=False):
+        assert sorted(group.number) == list(range(len(group)))
+
+
 def plain_fingerprint(text):
     words = (text or "").encode().lower().split()
     shingles = [b" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
