@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from stopover.llm.common import on_workers, rows_of, texts
 from stopover.llm.tokens import (
     _SAFE, _SPACED, DROPPED, KEPT, LONGEST, _loaded, byte_letters, separation, tokenizer)
+from stopover.session import fresh_path
 
 # Pairs of tokens whose answer is kept.
 KEPT_PAIRS = 400_000
@@ -369,3 +370,37 @@ def prefix_counts(docs: DataFrame, path: str, budget: int, tables: bool = False)
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(
         partial(_count, path=path, budget=budget, tables=tables),
         schema + (", counts binary" if tables else ""))
+
+
+def stored(docs: DataFrame, path: str) -> DataFrame:
+    """The tables of all texts, written to the shared folder: ``doc_id, n_bytes, counts``.
+
+    Compressed, since a count mostly equals the one before it. Rows as in ``prefix_counts``.
+    """
+    spark = docs.sparkSession
+    tables = prefix_counts(docs, path, 0, tables=True).select("doc_id", "n_bytes", "counts")
+    place = fresh_path(spark, "prefix_tables")
+    tables.write.option("compression", "zstd").parquet(place)
+    return spark.read.schema(tables.schema).parquet(place)
+
+
+def _answer(batches: Iterator[pa.RecordBatch], budgets: list[int]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        tables = [np.frombuffer(t.as_buffer(), "<u4") for t in batch.column("counts")]
+        totals = [int(t[-1]) if len(t) else 0 for t in tables]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("n_bytes"), pa.array(totals, pa.int64()),
+             *[pa.array([fits(t, b) for t in tables], pa.int64()) for b in budgets]],
+            names=["doc_id", "n_bytes", "n_tokens", *[f"fits_{b}" for b in budgets]])
+
+
+def answered(tables: DataFrame, budgets: list[int]) -> DataFrame:
+    """Totals and, for each budget, the longest prefix it holds, from stored tables alone.
+
+    Returns a row per row: ``doc_id, n_bytes, n_tokens`` and ``fits_<budget>``, in
+    code points. An empty table has no tokens; no rows give no rows.
+    """
+    on_workers(tables.sparkSession)
+    return tables.select("doc_id", "n_bytes", "counts").mapInArrow(
+        partial(_answer, budgets=budgets), "doc_id long, n_bytes long, n_tokens long, "
+        + ", ".join(f"fits_{b} long" for b in budgets))

@@ -14,6 +14,7 @@ from stopover.session import fresh_path
 # Parameters of the queries; the pipeline uses the same.
 BYTE_TOKENIZER, WORD_TOKENIZER = "byte_bpe_50k.json", "word_bpe_49k.json"
 SIZE, END = 2048, 0
+BUDGETS = [512, 2048, 8192]
 SHARE, WEIGHTS, SEED = 1.5, [5, 2, 1], 0
 SHINGLE, HASH_SEED, BITS = 4, 42, 4
 KEEP_ABOVE = 0.3
@@ -87,10 +88,10 @@ def op8_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix_counts.prefix_counts(
-        documents(spark, sf_dir), tokenizer_path(WORD_TOKENIZER), SIZE).select(
+    tables = prefix_counts.stored(documents(spark, sf_dir), tokenizer_path(WORD_TOKENIZER))
+    return prefix_counts.answered(tables, BUDGETS).select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > SIZE).alias("over_limit"),
-        "fits_chars")
+        *[f"fits_{budget}" for budget in BUDGETS])
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

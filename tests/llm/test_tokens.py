@@ -86,6 +86,28 @@ def test_prefix_counts_of_odd_rows(odd, empty):
     assert prefix_counts.prefix_counts(empty, WORDS, 10).count() == 0
 
 
+def test_stored_tables_answer_any_budget(spark, odd, empty):
+    library = Tokenizer.from_file(WORDS)
+    tables = prefix_counts.stored(odd, WORDS)
+    budgets = [0, 1, 7, 100, 10**6]
+    got = prefix_counts.answered(tables, budgets).collect()
+    kept = {(r.doc_id, r.n_bytes): np.frombuffer(r.counts, "<u4") for r in tables.collect()}
+    assert Counter((r.doc_id, r.n_bytes) for r in got) == Counter(
+        (i, len((t or "").encode())) for i, t, *_ in ROWS)
+    for i, text, *_ in ROWS:
+        text = text or ""
+        counts = kept[i, len(text.encode())]
+        assert len(counts) == len(text)
+        for n in range(0, len(text), 1 + len(text) // 40):
+            assert counts[n] == len(library.encode(text[:n + 1], add_special_tokens=False).ids)
+        row = next(r for r in got if (r.doc_id, r.n_bytes) == (i, len(text.encode())))
+        assert row.n_tokens == (counts[-1] if text else 0)
+        for budget in budgets:
+            within = [n + 1 for n, c in enumerate(counts.tolist()) if c <= budget]
+            assert row[f"fits_{budget}"] == max(within, default=0)
+    assert prefix_counts.answered(prefix_counts.stored(empty, WORDS), [5]).count() == 0
+
+
 def test_token_files_round_trip(spark, odd, empty):
     library = Tokenizer.from_file(BYTES)
     folder = fresh_path(spark, "tokens")
