@@ -336,6 +336,11 @@ def fits(counts: np.ndarray, budget: int) -> int:
     return int(within[-1]) + 1 if len(within) else 0
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """A table as little-endian integers of 16 bits if they hold its counts, else of 32."""
+    return counts.astype("<u2" if counts.max(initial=0) < 1 << 16 else "<u4").tobytes()
+
+
 def _count(batches: Iterator[pa.RecordBatch], path: str, budget: int,
            tables: bool) -> Iterator[pa.RecordBatch]:
     rules = counter(path)
@@ -372,21 +377,46 @@ def prefix_counts(docs: DataFrame, path: str, budget: int, tables: bool = False)
         schema + (", counts binary" if tables else ""))
 
 
+def _store(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    rules = counter(path)
+    for batch in batches:
+        for part in rows_of(batch):
+            rows = texts(part.column("text"))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array([len(t.encode()) for t in rows], pa.int64()),
+                 pa.array([len(t) for t in rows], pa.int64()),
+                 pa.array([packed(counts) for counts in rules.all_counts(rows)], pa.binary())],
+                names=["doc_id", "n_bytes", "n_chars", "counts"])
+
+
 def stored(docs: DataFrame, path: str) -> DataFrame:
-    """The tables of all texts, written to the shared folder: ``doc_id, n_bytes, counts``.
+    """The tables of all texts, written to the shared folder: ``doc_id, n_bytes, n_chars, counts``.
 
-    Compressed, since a count mostly equals the one before it. Rows as in ``prefix_counts``.
+    A count for each code point, in integers of 16 bits, or of 32 for texts of more
+    than 65,535 tokens; compressed, since a count mostly equals the one before it.
+    Rows as in ``prefix_counts``.
     """
     spark = docs.sparkSession
-    tables = prefix_counts(docs, path, 0, tables=True).select("doc_id", "n_bytes", "counts")
+    on_workers(spark)
+    tables = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(
+        partial(_store, path=path), "doc_id long, n_bytes long, n_chars long, counts binary")
     place = fresh_path(spark, "prefix_tables")
     tables.write.option("compression", "zstd").parquet(place)
     return spark.read.schema(tables.schema).parquet(place)
 
 
+def unpacked(table: pa.Scalar, n_chars: int) -> np.ndarray:
+    """A view of a stored table; what ``n_chars`` counts take tells their width."""
+    raw = table.as_buffer()
+    return np.frombuffer(raw, "<u2" if raw.size == 2 * n_chars else "<u4")
+
+
 def _answer(batches: Iterator[pa.RecordBatch], budgets: list[int]) -> Iterator[pa.RecordBatch]:
+    # what a worker kept in order to count is not needed to read, and takes much room
+    _loaded.clear()
     for batch in batches:
-        tables = [np.frombuffer(t.as_buffer(), "<u4") for t in batch.column("counts")]
+        tables = [unpacked(t, n) for t, n in zip(
+            batch.column("counts"), batch.column("n_chars").to_pylist())]
         totals = [int(t[-1]) if len(t) else 0 for t in tables]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("n_bytes"), pa.array(totals, pa.int64()),
@@ -401,6 +431,6 @@ def answered(tables: DataFrame, budgets: list[int]) -> DataFrame:
     code points. An empty table has no tokens; no rows give no rows.
     """
     on_workers(tables.sparkSession)
-    return tables.select("doc_id", "n_bytes", "counts").mapInArrow(
+    return tables.select("doc_id", "n_bytes", "n_chars", "counts").mapInArrow(
         partial(_answer, budgets=budgets), "doc_id long, n_bytes long, n_tokens long, "
         + ", ".join(f"fits_{b} long" for b in budgets))

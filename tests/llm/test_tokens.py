@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -91,7 +92,8 @@ def test_stored_tables_answer_any_budget(spark, odd, empty):
     tables = prefix_counts.stored(odd, WORDS)
     budgets = [0, 1, 7, 100, 10**6]
     got = prefix_counts.answered(tables, budgets).collect()
-    kept = {(r.doc_id, r.n_bytes): np.frombuffer(r.counts, "<u4") for r in tables.collect()}
+    kept = {(r.doc_id, r.n_bytes): prefix_counts.unpacked(pa.scalar(bytes(r.counts)), r.n_chars)
+            for r in tables.collect()}
     assert Counter((r.doc_id, r.n_bytes) for r in got) == Counter(
         (i, len((t or "").encode())) for i, t, *_ in ROWS)
     for i, text, *_ in ROWS:
@@ -106,6 +108,11 @@ def test_stored_tables_answer_any_budget(spark, odd, empty):
             within = [n + 1 for n, c in enumerate(counts.tolist()) if c <= budget]
             assert row[f"fits_{budget}"] == max(within, default=0)
     assert prefix_counts.answered(prefix_counts.stored(empty, WORDS), [5]).count() == 0
+    for most in (0, 65_535, 65_536, 10**6):
+        counts = np.array([0, most, most // 2], np.int64)
+        raw = prefix_counts.packed(counts)
+        assert prefix_counts.unpacked(pa.scalar(raw), 3).tolist() == counts.tolist()
+        assert len(raw) == (6 if most < 1 << 16 else 12)
 
 
 def test_token_files_round_trip(spark, odd, empty):
