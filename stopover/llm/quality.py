@@ -29,6 +29,8 @@ from stopover.llm.common import on_workers, rows_of, utf8
 
 # Most labelled texts of each kind, bytes of a dictionary, of a block, and level.
 SAMPLE, SIZE, BLOCK, LEVEL = 1500, 1 << 16, 1 << 12, 3
+# Most blocks of a labelled text to learn from, spread evenly over it: 64 KiB.
+LEARNED = 16
 FOLDS = 3
 # Bytes, half of them left, that every text is thought to be longer by: short ones prove little.
 PRIOR = 200
@@ -38,9 +40,22 @@ def blocks(raw: bytes) -> list[bytes]:
     return [raw[i:i + BLOCK] for i in range(0, len(raw), BLOCK)]
 
 
-def dictionary(raws: list[bytes]) -> bytes:
+def spread_blocks(text: Column, most: int = LEARNED) -> Column:
+    """The blocks of a text in UTF-8, or ``most`` of them, evenly from its start to its end."""
+    raw = F.encode(text, "UTF-8")
+    n = F.coalesce(F.ceil(F.octet_length(text) / BLOCK).cast("long"), F.lit(0).cast("long"))
+    taken = F.least(n, F.lit(most))
+    # the first and the last block are among those taken
+    at = lambda i: F.when(taken < 2, F.lit(0)).otherwise(
+        F.floor(i * (n - 1) / (taken - 1)))
+    return F.when(n == 0, F.array().cast("array<binary>")).otherwise(F.transform(
+        F.sequence(F.lit(0).cast("long"), taken - 1),
+        lambda i: F.substring(raw, (at(i) * BLOCK + 1).cast("int"), F.lit(BLOCK))))
+
+
+def dictionary(texts: list[list[bytes]]) -> bytes:
     """Trained on the blocks of texts; of very few texts, what they hold."""
-    samples = [b for raw in raws for b in blocks(raw)]
+    samples = [b for own in texts for b in own]
     try:
         return zstandard.train_dictionary(SIZE, samples).as_bytes()
     except zstandard.ZstdError:
@@ -66,11 +81,11 @@ class Model:
         self.key = uuid.uuid4().hex
 
     @staticmethod
-    def measure(pair, raw: bytes) -> tuple[float, float]:
+    def measure(pair, own: list[bytes]) -> tuple[float, float]:
         """Size with the bad dictionary less that with the good one, over their sum; share left."""
-        good, bad = (sum(len(c.compress(b)) for b in blocks(raw)) for c in pair)
+        good, bad = (sum(len(c.compress(b)) for b in own) for c in pair)
         both = good + bad + PRIOR
-        return (bad - good) / both, float(np.log(both / (2 * (len(raw) + PRIOR))))
+        return (bad - good) / both, float(np.log(both / (2 * (sum(map(len, own)) + PRIOR))))
 
     def pair(self):
         return compressor(self.good), compressor(self.bad)
@@ -106,8 +121,11 @@ def logistic(columns: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[floa
     return (*plain.tolist(), float(w[-1] - plain @ middle))
 
 
-def train(texts: list[bytes], labels: list[int]) -> Model:
-    """Dictionaries of all texts, and the curve from folds that they haven't seen."""
+def train(texts: list[list[bytes]], labels: list[int]) -> Model:
+    """Dictionaries of all texts, given in blocks, and the curve from folds that they haven't seen.
+
+    Below twelve texts there are no folds, and all texts score the share of good ones.
+    """
     y = np.array(labels, float)
     turn = np.arange(len(texts)) % FOLDS
     x = np.zeros((len(texts), 2))
@@ -129,7 +147,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMPLE
 
     Of each kind the rows with the smallest hashes of the id are taken, the
     same ones in every run; an id with several labels counts as bad if any is.
-    The chosen ids, a bounded number, are broadcast.
+    The chosen ids, a bounded number, are broadcast. Texts are cut into blocks in
+    the tasks, and at most ``LEARNED`` blocks of each come to the driver; what is
+    scored are whole texts.
     """
     on_workers(docs.sparkSession)
     known = labels.where(usable & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
@@ -142,8 +162,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMPLE
     rows = docs.select("doc_id", "text").where("text is not null").join(
         F.broadcast(ids), F.col("doc_id") == F.col("id")).select("id", "quality", "text")
     one = rows.groupBy("id", "quality").agg(F.min("text").alias("text"))
-    got = sorted(one.toArrow().to_pylist(), key=lambda r: r["id"])
-    return train([r["text"].encode() for r in got], [r["quality"] for r in got])
+    cut = one.select("id", "quality", spread_blocks(F.col("text").cast("string")).alias("blocks"))
+    got = sorted(cut.toArrow().to_pylist(), key=lambda r: r["id"])
+    return train([r["blocks"] for r in got], [r["quality"] for r in got])
 
 
 _models: dict[str, tuple] = {}
@@ -157,7 +178,8 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
     pair = _models[model.key]
     for batch in batches:
         for part in rows_of(batch):
-            found = np.array([model.measure(pair, raw) for raw in utf8(part.column("text"))])
+            found = np.array([model.measure(pair, blocks(raw))
+                              for raw in utf8(part.column("text"))])
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc"), pa.array(found[:, 0]), pa.array(model.score(found))],
                 names=["doc", "measure", "score"])
@@ -169,7 +191,8 @@ def scored(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Data
     Returns a struct ``doc`` of the columns in ``keep`` (default: the id), the
     ``measure`` and the ``score``. An empty or null text measures 0, its score is that of
     a text that resembles both kinds alike; without labels of both kinds all
-    texts have the share of good labels.
+    texts have the share of good labels. Equal texts have equal scores, repeated rows
+    are each returned, further columns are not read unless kept; no rows give no rows.
     """
     spark = docs.sparkSession
     on_workers(spark)
