@@ -2,11 +2,13 @@
 
 The base spans of four kinds come from fixed patterns and checks, and always
 stay. Beside them generators propose spans with high recall, overlapping each
-other: written-out or bracketed addresses, and every window of digit groups in
-a run of digits and separators. Boosted trees score a candidate by its format
+other: addresses written out, in brackets or as entities, base addresses whose
+name begins with other Latin letters, IP addresses of version 6, and every window of
+digit groups in a run of digits and separators. Boosted trees score a candidate by its format
 (kind, digits, separators, check digit, part sizes) and its context (what stands
 left and right, words nearby, digits around). Candidates above a threshold are
-taken, the best first, if they overlap nothing taken before.
+taken, the best first, of equally good ones the longest, if they overlap nothing
+taken before but the base address they end with.
 
 There are no labels, so the trees learn from what can be checked: base spans of
 a bounded sample, also rewritten in the forms the patterns miss, are examples;
@@ -23,6 +25,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import partial
+from ipaddress import IPv6Address
 from itertools import islice
 
 import numpy as np
@@ -48,7 +51,7 @@ SAMPLE, PER_TEXT, EXAMPLES, PRECISION = 3000, 200, 20_000, 0.99
 # Candidates that are scored at a time.
 SCORED = 4096
 TREES, DEPTH, RATE, FOLDS = 40, 3, 0.2, 4
-FEATURES = 28
+FEATURES = 34
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -99,13 +102,17 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
-AT = re.compile(r"\s?(?:\(at\)|\[at\]|\{at\}|@)\s?| at ", re.IGNORECASE)
+AT = re.compile(r"\s?(?:\(at\)|\[at\]|\{at\}|@|&#64;|&#x40;|&commat;)\s?| at |_at_", re.IGNORECASE)
 RIGHT = re.compile(r"[\w-]+(?:(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\[\.\])\s?| dot |\.)[\w-]+)+",
                    re.IGNORECASE)
 BROKEN_IP = re.compile(r"[0-9]{1,3}(?:(?:\[\.\]|\(\.\)| ?\[dot\] ?| dot |\. )[0-9]{1,3}){3}",
                        re.IGNORECASE)
 RUN = re.compile(r"\(?\+?[0-9](?:[\x20().\xa0/-]{0,3}[0-9])+")
 GROUP = re.compile(r"[0-9]+")
+IP6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")
+# How a dot in a name is written, and the end of Latin letters with marks.
+FILE = re.compile(r"\.(?:py|js|ts|txt|md|html?|json|csv|java|cpp|[ch]|sh|pdf|png|jpg)\Z", re.IGNORECASE)
+DOTS, LATIN = (" dot ", " (dot) ", " [dot] ", "(dot)", "[dot]", "{dot}", "[.]"), "\u0250"
 
 
 def name_start(text: str, end: int) -> int:
@@ -116,15 +123,38 @@ def name_start(text: str, end: int) -> int:
     return start
 
 
+def written_start(text: str, start: int) -> int:
+    """Where a name begins of which ``start`` begins the last part, parts joined by written-out dots."""
+    while dot := next((d for d in DOTS if text[max(0, start - len(d)):start].lower() == d), ""):
+        part = name_start(text, start - len(dot))
+        if part == start - len(dot):
+            break
+        start = part
+    return start
+
+
+def is_ip6(text: str) -> bool:
+    try:
+        return bool(IPv6Address(text))
+    except ValueError:
+        return False
+
+
 def candidates(text: str) -> Iterator[Span]:
     """Spans that may be personal data, many of them not."""
     for m in AT.finditer(text):
         right = RIGHT.match(text, m.end())
         start = name_start(text, m.start()) if right else m.start()
         if start < m.start():
+            if (first := written_start(text, start)) < start:
+                yield first, 0, right.end()
             yield start, 0, right.end()
     if not DIGIT.search(text):
         return
+    if ":" in text:
+        for m in IP6.finditer(text):
+            if is_ip6(m.group()):
+                yield m.start(), 1, m.end()
     for m in BROKEN_IP.finditer(text):
         yield m.start(), 1, m.end()
     for m in RUN.finditer(text):
@@ -169,6 +199,9 @@ def features(text: str, span: Span) -> list[float]:
         len(digits(before)), len(digits(after)), float(bool(WORDS[kind].search(before))),
         float(re.search(r"\.[A-Za-z]{2,}\Z", own) is not None),
         float(re.search(r"(?:at[)\]} ]|@)\s?[\w-]+\.", own) is not None),
+        own.count(":"), float("&" in own), float("_at_" in own.lower()),
+        float(text[max(0, start - 4):start].lower() == "tel:"), len(groups[-1]) if groups else 0,
+        float(FILE.search(own) is not None),
     ]
 
 
@@ -280,26 +313,38 @@ def rewritten(text: str, span: Span, rng) -> Iterator[tuple[str, Span, int]]:
     start, kind, end = span
     own = text[start:end]
 
-    def put(new: str, label: int, off: int = 0) -> tuple[str, Span, int]:
-        return text[:start] + new + text[end:], (start + off, kind, start + len(new)), label
+    def put(new: str, label: int, off: int = 0, short: int = 0) -> tuple[str, Span, int]:
+        return (text[:start] + new + text[end:], (start + off, kind, start + len(new) - short), label)
 
     flip = rng.integers(0, len(own))
     if kind == 0:
         name, _, host = own.rpartition("@")
-        for at, dot in ((" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" @ ", "."),
-                        ("(at)", "."), ("{at}", "{dot}")):
-            yield put(name + at + host.replace(".", dot), 1)
-        turn = zlib.crc32(own.encode()) % 3
-        for at, dots in ((" at ", ("[dot]", " (dot) ", "{dot}")), (" AT ", ("[.]", "(dot)", " [dot] "))):
-            yield put(name + at + host.replace(".", dots[turn]), 1)
+        turn = zlib.crc32(own.encode())
+        forms = [name + at + host.replace(".", dot) for at, dot in (
+            (" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" @ ", "."), ("(at)", "."),
+            ("{at}", "{dot}"), (" at ", ("[dot]", " (dot) ", "{dot}")[turn % 3]),
+            (" AT ", ("[.]", "(dot)", " [dot] ")[turn % 3]), ("_at_", "."), ("&#64;", "."),
+            ("&commat;", "."))]
+        parts = name.split(".") if "." in name.strip(".") else [name, "lee"]
+        forms.append(" dot ".join(parts) + " at " + host.replace(".", " dot "))
+        forms.append("\u00f6" + own)
+        # eight of the forms, other ones for other addresses
+        for n in range(8):
+            yield put(forms[(turn + n) % len(forms)], 1)
         yield put(f"{name} at {host}", 0)
         yield put(f"{name} at {host} dot by", 0)
-        yield put(f"{name} at {host.replace('.', ' ')}", 0)
+        yield put(f"{name} at {host.replace('.', ' ')}" if turn % 2 else
+                  f"{name}_at_{host.partition('.')[0]}.{('py', 'txt', 'html')[turn % 3]}", 0)
     elif kind == 1:
         for dot in ("[.]", "(.)", "[dot]", " dot "):
             yield put(own.replace(".", dot), 1)
         yield put(own.replace(".", ". "), 0)
         yield put("[.]".join(["9" + p.zfill(2) for p in own.split(".")]), 0)
+        six = [f"{int(p):x}" for p in own.split(".")]
+        yield put("2001:db8:" + ":".join([*six, "0", "1"]), 1)
+        yield put(f"fe80::{':'.join(six)}", 1)
+        yield put(f"2001:db8:{six[0]}::{six[3]}", 1)
+        yield put(f"{six[0]}::{six[1]}", 0)
     elif kind == 2:
         number = digits(own)
         for mark in ("/", ".", "  "):
@@ -317,6 +362,20 @@ def rewritten(text: str, span: Span, rng) -> Iterator[tuple[str, Span, int]]:
         yield put(own.replace(" ", "/").replace("-", "/"), 1 if "/" not in own and "-" in own else 0)
         yield put(digits(own), 0)
         yield put("x" + digits(own) + "c", 0, 1)
+        n = digits(own)[-10:]
+        if len(n) == 10:
+            area, office, line = n[:3], n[3:6], n[6:]
+            country = digits(own)[:-10] or "1"
+            yield put(("-", ".", " ")[flip % 3].join((area, office, line)), 1)
+            yield put(f"0{n[:2]} {n[2:6]} {n[6:]}", 1)
+            yield put(f"00{country} {area} {office} {line}", 1)
+            yield put(f"00 {country} {n[:2]} {n[2:6]} {n[6:]}", 1)
+            yield put(f"00 {country} {n[:2]} {n[2:6]} {n[6:]}", 0, 0, 5)
+            yield put(f"{area}-{office}-{line} 12", 0, 4)
+            yield put(f"{n[:4]}-{n[4:7]}-{n[7:]}{n[0]}", 0)
+            yield put(f"tel:{n}", 1, 4)
+            yield put(f"{n[0]}-{n[1:4]}-{n[4:9]}-{n[9]}", 0)
+            yield put(f"20{n[:2]}-{n[2:4]}-{n[4:6]} {n[6:]}", 0)
 
 
 def marked(text: str, taken: list[Span]) -> bytearray:
@@ -398,15 +457,22 @@ def spans(text: str, model: Trees) -> list[Span]:
         return base
     covered = marked(text, base)
     cuts = np.array(model.thresholds)
-    free = (c for c in candidates(text) if not any(covered[c[0]:c[2]]))
+    ends = {end: start for start, kind, end in base if kind == 0}
+
+    def free_to(c: Span) -> int:
+        """Where the part of a candidate ends that must be free: it may end with a base address."""
+        start = ends.get(c[2], -1) if c[1] == 0 else -1
+        return start if start > c[0] and max(text[c[0]:start]) < LATIN else c[2]
+
+    free = (c for c in candidates(text) if not any(covered[c[0]:free_to(c)]))
     good: list[tuple[float, Span]] = []
     while block := list(islice(free, SCORED)):
         scores = model.score(np.array([features(text, c) for c in block]))
         above = np.flatnonzero(scores >= cuts[[c[1] for c in block]])
         good += [(-float(scores[i]), block[i]) for i in above]
     taken = list(base)
-    for _, c in sorted(good, key=lambda g: g[0]):
-        if not any(covered[c[0]:c[2]]):
+    for _, c in sorted(good, key=lambda g: (g[0], g[1][0] - g[1][2])):
+        if not any(covered[c[0]:free_to(c)]):
             taken.append(c)
             covered[c[0]:c[2]] = b"\1" * (c[2] - c[0])
     return sorted(taken)
@@ -447,7 +513,8 @@ def found(docs: DataFrame, model: Trees, keep: list[str] | None = None) -> DataF
     Returns a struct ``doc`` of the columns in ``keep`` (default: the id),
     ``base`` and ``spans`` (``kind:start:end`` in code points, comma-joined; all
     spans hold the base ones), and the text with all spans ``masked``. A null
-    text has no spans and stays null; no rows give no rows.
+    text has no spans and stays null; equal texts have equal spans, repeated rows are
+    each returned, further columns are not read unless kept; no rows give no rows.
     """
     on_workers(docs.sparkSession)
     rows = docs.select(F.struct(*(keep or ["doc_id"])).alias("doc"),

@@ -145,6 +145,21 @@ def test_quality_of_held_out_rows(spark, docs):
     assert (got[got.quality == 1].score >= 0.3).mean() > 0.95
 
 
+def test_blocks_to_learn_from_are_spread_evenly(spark):
+    size = quality.BLOCK
+    sizes = [0, 1, size - 1, size, size + 1, 16 * size, 16 * size + 1, 100 * size + 7]
+    made = ["".join(chr(97 + i * 7 // 5 % 26) for i in range(n)) for n in sizes] + ["é" * 40_000, None]
+    rows = spark.createDataFrame(list(enumerate(made)), "n int, text string")
+    got = dict(rows.select("n", quality.spread_blocks(F.col("text")).alias("b")).collect())
+    for n, text in enumerate(made[:-1]):
+        whole = quality.blocks(text.encode())
+        most = quality.LEARNED
+        at = range(len(whole)) if len(whole) <= most else [
+            i * (len(whole) - 1) // (most - 1) for i in range(most)]
+        assert [bytes(b) for b in got[n] or []] == [whole[i] for i in at], n
+    assert not got[len(made) - 1]
+
+
 def test_quality_of_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame(
         [(7, 1), (7, 0), (3, 1), (12, 0), (None, 1), (99, 1)], "doc_id long, quality int")
@@ -217,6 +232,55 @@ def test_mixed_forms_are_taken_and_plain_sentences_left():
         assert pii.spans(clean, model) == []
 
 
+FORMS = ("605-555-9305", "605.555.9305", "001 605 555 9305", "00 44 20 7946 0958", "020 7946 0958",
+         "john.doe_at_example.com", "john.doe&#64;example.com", "john.doe&commat;example.com",
+         "2001:db8:85a3::8a2e:370:7334", "john dot doe at example dot com", "jöhn@example.com")
+CLEAN = ("look_at_main.py", "get_at_index.html", "de::ad1", "12:30:45", "2024-10-12 1030",
+         "ISBN 0-306-40615-2", "order 4111-222-3333", "1234567890", "meet at example.com")
+
+
+@pytest.fixture(scope="module")
+def taught():
+    rng = np.random.default_rng(9)
+    rows = []
+    for n in range(500):
+        a, b, c, d = rng.integers(1, 255, 4).tolist()
+        rows.append(f"write to jo{n}.x{n % 7}@mail{n % 9}.example.com or call +1 ({200 + a}) 555-{1000 + 9 * n} "
+                    f"from host {a}.{b}.{c}.{d} paid {n} of {rng.integers(1000, 10**6)} by hand")
+    return pii.boost(*pii.examples(rows))
+
+
+@pytest.mark.parametrize("own", FORMS)
+def test_forms_beyond_the_patterns_are_taken_whole(taught, own):
+    text = f"write to {own} now"
+    clean = pii.masked(text, pii.spans(text, taught))
+    assert re.fullmatch(r"write to \[(EMAIL|IP|CARD|PHONE)\] now", clean), clean
+
+
+def test_numbers_behind_tel_are_taken(taught):
+    text = "reach tel:6055559305 now"
+    assert pii.spans(text, taught) == [(10, 3, 20)]
+
+
+@pytest.mark.parametrize("own", CLEAN)
+def test_alike_forms_are_left(taught, own):
+    assert pii.spans(f"see {own} here", taught) == []
+
+
+def test_wider_addresses_keep_the_base_one(taught):
+    found = pii.spans("x jöhn@example.com y", taught)
+    assert found == [(2, 0, 18), (4, 0, 18)]
+    text = "東京joe@example.com"
+    assert pii.spans(text, taught) == pii.base_spans(text) == [(2, 0, 17)]
+
+
+def test_candidates_of_long_texts_take_no_longer():
+    for long in ("a dot " * 60_000 + "b at c.d", "a dot b at c.d " * 20_000, ":" * 200_000 + "1",
+                 "1::" * 60_000, "1:2:" * 50_000, "_at_" * 50_000, "x&#64;" * 30_000):
+        for _ in pii.candidates(long):
+            pass
+
+
 def test_threshold_is_the_lowest_with_the_precision():
     scores, truth = np.array([0.9, 0.8, 0.8, 0.7, 0.6, 0.55]), np.array([1, 1, 1, 1, 1, 0.0])
     assert np.isclose(pii.lowest(scores, truth), 0.575)
