@@ -34,6 +34,8 @@ from stopover.session import staged
 
 # Reference fingerprints, rows that one task takes of a key group at a time, and blocks of a key.
 PIVOTS, PART, AGREE = 24, 4096, 2
+# Parts that the links of one fingerprint are dealt to.
+SPREAD = 256
 _PIVOTS = np.random.default_rng(6).integers(0, 1 << 63, PIVOTS, dtype=np.uint64) << np.uint64(1)
 
 
@@ -207,15 +209,20 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     smallest of its neighbourhood) and small-star (every smaller one, and the row
     itself); each round is written as a table, and the last one changes nothing. The
     smallest neighbour is an aggregate, joined back, so that no neighbourhood
-    is gathered in a task.
+    is gathered in a task; nor does the join gather one: links are dealt by their
+    end and a hash of the other one, and the smallest neighbour goes to those
+    parts that have a link of that end.
     """
     def star(table: DataFrame, both: bool) -> DataFrame:
         ends = table.select("u", "v")
         if both:
             ends = ends.union(table.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = ends.groupBy(F.col("u").alias("m_u")).agg(F.min("v").alias("m"))
-        least = least.select("m_u", F.least("m_u", "m").alias("m"))
-        joined = ends.join(least, F.col("u") == F.col("m_u"))
+        ends = ends.withColumn("deal", F.pmod(F.xxhash64("v"), F.lit(SPREAD)).cast("int"))
+        least = ends.groupBy(F.col("u").alias("m_u"), "deal").agg(F.min("v").alias("m"))
+        least = least.groupBy("m_u").agg(F.min("m").alias("m"), F.collect_list("deal").alias("deals"))
+        least = least.select("m_u", F.least("m_u", "m").alias("m"), "deals")
+        sent = least.select("m_u", "m", F.explode("deals").alias("m_deal"))
+        joined = ends.join(sent, (F.col("u") == F.col("m_u")) & (F.col("deal") == F.col("m_deal")))
         if both:
             return joined.where("v > u and v != m").select(
                 F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -276,14 +283,19 @@ def one_of_each(docs: DataFrame, shingle: int = 4, seed: int = 42, bits: int = 4
     """The rows of ``docs``, all columns, of which one stays in each component.
 
     It is one with the smallest id (null last), of several with that id the one
-    with the smallest hash of its text, and of equal rows any.
+    with the smallest hash of its text, and of equal rows any. Texts are shuffled
+    once, to meet the ids and hashes that stay, and those of them that are there
+    several times once more. ``docs`` is read three times, so it had better be a table.
     """
     found = grouped(docs, shingle, seed, bits)
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash"))
-    kept = found.groupBy("root").agg(least.alias("least")).select(
-        F.col("least.doc_id").alias("k_id"), F.col("least.hash").alias("k_hash"))
+    alike = found.groupBy("root", "doc_id", "hash").agg(F.count("*").alias("n"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash", "n"))
+    kept = staged(alike.groupBy("root").agg(least.alias("least")).select(
+        F.col("least.doc_id").alias("k_id"), F.col("least.hash").alias("k_hash"),
+        F.col("least.n").alias("n")), "kept")
     rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"),
                        F.xxhash64(F.col("text").cast("string")).alias("hash"))
-    both = rows.join(kept, F.col("id").eqNullSafe(F.col("k_id"))
-                     & (F.col("hash") == F.col("k_hash")))
-    return both.dropDuplicates(["k_id", "k_hash"]).select("doc.*")
+    same = F.col("id").eqNullSafe(F.col("k_id")) & (F.col("hash") == F.col("k_hash"))
+    single = rows.join(kept.where("n = 1"), same, "left_semi")
+    several = rows.join(kept.where("n > 1"), same).dropDuplicates(["k_id", "k_hash"])
+    return single.select("doc.*").union(several.select("doc.*"))

@@ -69,3 +69,36 @@ def test_one_of_each_keeps_unlike_texts_of_one_id(spark):
             (2, "first text of this id here")]
     got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r.text for r in got) == sorted({t for _, t in rows})
+
+
+def test_one_of_each_of_repeated_rows(spark):
+    rows = [(None, "the same text in very many rows", 1)] * 500 + [(5, "it has a row of its own", 2)]
+    rows += [(5, "it has a row of its own", 3)] * 3 + [(8, None, 4), (9, None, 4), (8, "", 5)]
+    rows += [(11, "a single text of other words", 6), (None, "without an id but once", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long").repartition(7)
+    got = simhash.one_of_each(docs)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert len(kept) == 5 and kept.count((None, "the same text in very many rows")) == 1
+    assert (11, "a single text of other words") in kept and (None, "without an id but once") in kept
+    assert sum(k == (5, "it has a row of its own") for k in kept) == 1
+    assert sum(not t for _, t in kept) == 1
+
+
+def test_texts_are_shuffled_once(spark):
+    docs = spark.range(50).selectExpr("id doc_id", "concat('text of row ', id) text")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = simhash.one_of_each(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the rows of both branches go by the same key; one exchange more for those that are there twice
+    of_texts = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert sum("k_id" not in x for x in of_texts) <= 2, plan
+
+
+def test_components_with_hubs(spark):
+    edges = [(n, 1) for n in range(2, 3000)] + [(n + 5000, n + 5001) for n in range(40)] + [(2999, 5000)]
+    table = spark.createDataFrame(edges, "u long, v long")
+    got = {r.fp: r.root for r in simhash.components(table).collect()}
+    assert got == {n: 1 for n in [*range(1, 3000), *range(5000, 5041)]}
