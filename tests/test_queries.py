@@ -1,5 +1,6 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import datetime
 import os
 
 import duckdb
@@ -8,9 +9,11 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, rows
+from stopover.plans import nested_orders
 from stopover.plans.catalog import QUERIES
 from stopover.plans.nested_orders import order_envelopes
 from stopover.plans.oracle import ORACLE
+from stopover.sources.snapshots import list_versions
 
 SF = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
@@ -144,3 +147,84 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE) and set(oracle_sql()) <= set(queries())
+
+
+def plan_of(df):
+    """The plan that ran, with its shuffles."""
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+
+
+@needs_data
+def test_no_wide_row_is_grouped_or_sorted(spark):
+    """Records are cut from sorted lines; lists are gathered by no aggregation, which would sort them."""
+    plan = plan_of(order_envelopes(spark, SF))
+    assert "collect_list" not in plan and "MapInArrow" in plan
+
+
+@needs_data
+def test_landed_files_are_packed(spark):
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    files = list_versions(spark, nested_orders.landing(spark, SF), "*")
+    text = nested_orders.envelopes(spark, SF).agg(
+        F.sum(F.length(nested_orders.envelope_text()))).first()[0]
+    assert files.where(~F.col("file_path").endswith(".json.gz")).isEmpty()
+    assert 3 * files.agg(F.sum("length")).first()[0] < text
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+@needs_data
+def test_files_of_the_store_are_small(spark, monkeypatch):
+    """A task of a scan takes few of them, and so few exploded rows."""
+    monkeypatch.setattr(nested_orders, "RECORDS_PER_STORED_FILE", 3)
+    monkeypatch.setattr(nested_orders, "_staged", {})
+    store = nested_orders.merged(spark, SF)
+    sizes = store.groupBy(F.col("_metadata.file_path")).count()
+    assert sizes.agg(F.max("count")).first()[0] == 3
+
+
+def odd_orders(spark, folder):
+    """Orders twice, without a key, a price or a date, and lines of none."""
+    day = datetime.datetime(1995, 5, 5)
+    heads = [(1, 10.5, day), (1, 10.5, day), (2, None, day), (3, 7.0, None), (None, 1.0, day),
+             (None, 1.0, day), (70, 8.0, day), (71, 9.0, day), (71, 9.5, day)]
+    lines = [(key, n, n + 1, n % 3, 1.0, 5.0, "F", day) for key in (1, 2, 3, 71, 99, None)
+             for n in range(37)] + [(1, None, None, None, None, None, None, None)]
+    spark.createDataFrame(
+        heads, "o_orderkey long, o_totalprice double, o_orderdate timestamp_ntz"
+    ).write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice "
+        "double, l_quantity double, l_linestatus string, l_shipdate timestamp_ntz"
+    ).write.parquet(f"{folder}/lineitem.parquet")
+
+
+@pytest.mark.parametrize("rows", [1, 7, 10_000])
+def test_records_are_whole_whatever_a_batch_holds(spark, tmp_path, rows):
+    odd_orders(spark, str(tmp_path))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        found = order_envelopes(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set(name, before)
+    shape = sorted((r.message, r.fetch_date or "", [(i.id, i.price.raw, [
+        (leg.id, len(leg.segments), leg.durationInMinutes) for leg in i.legs])
+        for i in r.data.itineraries]) for r in found)
+
+    def legs(key, numbers, sizes=None):
+        return [(f"{key}-{n}", s, s * 90) for n, s in zip(
+            numbers, sizes or [4] * len(numbers), strict=True)]
+
+    year = "1995-01-01"
+    page = [*range(8)]
+    assert shape == sorted([
+        # 38 lines of an order that is there twice: each leg has each line twice
+        ("0-0", year, [("1", 10.5, legs(1, page, [8] * 8)), ("2", None, legs(2, page))]),
+        ("0-1", year, [("1", 10.5, legs(1, [8, 9], [8, 4])), ("2", None, legs(2, [8, 9], [4, 1]))]),
+        ("0-0", "", [("3", 7.0, legs(3, page))]), ("0-1", "", [("3", 7.0, legs(3, [8, 9], [4, 1]))]),
+        ("1-0", year, [("70", 8.0, []), ("71", 9.0, legs(71, page)), ("71", 9.5, legs(71, page))]),
+        ("1-1", year, [("71", p, legs(71, [8, 9], [4, 1])) for p in (9.0, 9.5)]),
+        ("0", year, [(None, 1.0, [])])])
