@@ -228,3 +228,10 @@ def test_records_are_whole_whatever_a_batch_holds(spark, tmp_path, rows):
         ("1-0", year, [("70", 8.0, []), ("71", 9.0, legs(71, page)), ("71", 9.5, legs(71, page))]),
         ("1-1", year, [("71", p, legs(71, [8, 9], [4, 1])) for p in (9.0, 9.5)]),
         ("0", year, [(None, 1.0, [])])])
+
+
+@needs_data
+def test_leg_summary_shuffles_once(spark):
+    plan = plan_of(queries()["itinerary_summary_by_leg"](spark, SF))
+    final = plan.split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") == 1
