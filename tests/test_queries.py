@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import uuid
 
 import duckdb
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, rows
-from stopover.plans import nested_orders
+from stopover.plans import catalog, nested_orders
 from stopover.plans.catalog import QUERIES
 from stopover.plans.nested_orders import order_envelopes
 from stopover.plans.oracle import ORACLE
@@ -235,3 +236,16 @@ def test_leg_summary_shuffles_once(spark):
     plan = plan_of(queries()["itinerary_summary_by_leg"](spark, SF))
     final = plan.split("Initial Plan")[0]
     assert final.count("Exchange hashpartitioning") == 1
+
+
+@needs_data
+@pytest.mark.parametrize("name, label", [
+    ("merged_json_roundtrip", "merged_json"), ("json_sink_roundtrip", "json"),
+    ("multiline_json_scan", "multiline")])
+def test_written_text_is_packed(spark, monkeypatch, tmp_path, name, label):
+    monkeypatch.setattr(nested_orders, "_staged", {})
+    for module in (nested_orders, catalog):
+        monkeypatch.setattr(module, "fresh_path", lambda s, what: f"{tmp_path}/{what}-{uuid.uuid4().hex}")
+    assert queries()[name](spark, SF).count()
+    found = list_versions(spark, f"{tmp_path}/{label}-*", "part-*")
+    assert found.count() and found.where(~F.col("file_path").endswith(".gz")).isEmpty()
