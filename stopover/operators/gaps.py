@@ -37,7 +37,8 @@ def _lead_over_ranges(
     df: DataFrame, keys: list[str], order: list[str], values: dict[str, str]
 ) -> DataFrame:
     # Written out, since the first rows of the ranges are needed beside all rows.
-    rows = staged(following(df, keys, order, {f"_{n}": c for n, c in values.items()}), "ranges")
+    ahead = following(df, keys, order, {f"_{n}": c for n, c in values.items()})
+    rows = staged(ahead, "ranges", "zstd")
     # One row per range, so never more rows than there are shuffle partitions.
     heads = rows.where("_first").select(
         F.lag("_range").over(Window.orderBy("_range")).alias("_before"),

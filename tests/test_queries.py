@@ -249,3 +249,12 @@ def test_written_text_is_packed(spark, monkeypatch, tmp_path, name, label):
     assert queries()[name](spark, SF).count()
     found = list_versions(spark, f"{tmp_path}/{label}-*", "part-*")
     assert found.count() and found.where(~F.col("file_path").endswith(".gz")).isEmpty()
+
+
+@needs_data
+def test_lines_are_shuffled_without_what_follows_from_them(spark):
+    """Day, block and page of a line are made behind the shuffle."""
+    plan = order_envelopes(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RepartitionByExpression")
+    for name in ("fetch_date", "block", "page"):
+        assert f" AS {name}#" in above and f" AS {name}#" not in below
