@@ -14,15 +14,15 @@ the divergence of two prices is floor((p - q)^2 / (p + q)).
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stopover.llm.common import on_workers, rows_of, utf8
+from stopover.llm.common import on_workers, rows_of
 from stopover.session import staged
 
 SCALE = 1_000_000_000
@@ -32,8 +32,11 @@ TERM_BYTES = bytes(
 
 # Terms of a block, about; sources of a tile; ids for which the merge gallops at a time.
 BLOCK, TILE, STRETCH = 8192, 8, 64
-# Different terms that a task counts before it passes them on; tasks that share a hot group.
-AT_ONCE, SALTS = 300_000, 64
+# Bytes and rows that a task counts or adds up at a time; tasks that share a hot group.
+AT_ONCE, ROWS, SALTS = 16 << 20, 1 << 16, 64
+# A term of a language: documents that hold it, and its occurrences by source.
+TERMS = "lang string, term string, docs long, sources array<string>, n array<long>"
+COLUMNS = ["lang", "term", "docs", "sources", "n"]
 
 
 def price(count: Column, occurrences: Column, terms: Column) -> Column:
@@ -118,41 +121,144 @@ def tile_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
         for name, values in zip(("a", "b", "value", "either"), columns)})
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """``lang, source, term, docs, n``: documents with a term and its occurrences, by group."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-        def told() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (documents, occurrences) in held.items():
-                size = len(occurrences)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(lang, size), pa.repeat(source, size),
-                     pa.array(list(occurrences), pa.binary()).cast(pa.string()),
-                     pa.array([documents[t] for t in occurrences], pa.int64()),
-                     pa.array(list(occurrences.values()), pa.int64())],
-                    ["lang", "source", "term", "docs", "n"])
-            held.clear()
-
-        for batch in batches:
-            for rows in rows_of(batch):
-                for lang, source, text in zip(
-                        rows.column(0).to_pylist(), rows.column(1).to_pylist(),
-                        utf8(rows.column(2))):
-                    terms = text.translate(TERM_BYTES).split()
-                    if (lang, source) not in held:
-                        held[lang, source] = Counter(), Counter()
-                    documents, occurrences = held[lang, source]
-                    documents.update(set(terms))
-                    occurrences.update(terms)
-                if sum(len(n) for _, n in held.values()) > AT_ONCE:
-                    yield from told()
-        yield from told()
-
-    return docs.mapInArrow(
-        counted, "lang string, source string, term string, docs long, n long",
-    ).groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The terms of all texts one after another, and the row that each is of."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = texts.buffers()[2].slice(ends[0], ends[-1] - ends[0]) if ends[-1] > ends[0] else b""
+    raw = np.frombuffer(bytes(raw).translate(TERM_BYTES), np.uint8)
+    inside, ends = raw != 32, ends - ends[0]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    starts = ends[:-1][ends[:-1] < len(raw)]
+    begins[starts] = inside[starts]
+    rows = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(np.flatnonzero(begins), ends)))
+    raw, begins = raw[inside], begins[inside]
+    bounds = np.append(np.flatnonzero(begins), len(raw)).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(
+        len(rows), pa.py_buffer(bounds), pa.py_buffer(raw)), rows
+
+
+def codes(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Numbers of the values, and the values by number."""
+    made = column.dictionary_encode()
+    return made.indices.to_numpy().astype(np.int64), made.dictionary
+
+
+def changes(ordered: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before it; true for the first."""
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return new
+
+
+def listed(values: pa.Array, bounds: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)
+
+
+def chunk_counts(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """TERMS of documents ``lang, source, text``: one row for each term of a language.
+
+    A term's number within its language and its document's rank by group make one
+    number, so that one sort brings together terms, within them sources, within them documents.
+    """
+    langs, lang_names = codes(batch.column(0))
+    sources, source_names = codes(batch.column(1))
+    found, rows = words(batch.column(2))
+    number, names = codes(found)
+    by_group = np.lexsort((sources, langs))
+    rank = np.empty_like(by_group)
+    rank[by_group] = np.arange(len(by_group))
+    low, middle = len(rank).bit_length(), len(names).bit_length()
+    keys = (langs[rows] << middle | number) << low | rank[rows]
+    keys.sort()
+    terms, source = keys >> low, sources[by_group][keys & ((1 << low) - 1)]
+    new = changes(terms)
+    at, entry = np.flatnonzero(new), np.flatnonzero(new | changes(source))
+    in_docs = np.add.reduceat(changes(keys), at, dtype=np.int64) if len(at) else at
+    terms = terms[at]
+    return pa.RecordBatch.from_arrays([
+        lang_names.take(pa.array(terms >> middle)),
+        names.take(pa.array(terms & ((1 << middle) - 1))).cast(pa.string()),
+        pa.array(in_docs, pa.int64()),
+        listed(source_names.take(pa.array(source[entry])),
+               np.append(np.searchsorted(entry, at), len(entry))),
+        listed(pa.array(np.diff(entry, append=len(keys)), pa.int64()),
+               np.append(np.searchsorted(entry, at), len(entry))),
+    ], COLUMNS)
+
+
+def added(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows of TERMS in order, those of the same term of a language added up."""
+    lang, term = batch.column(0), batch.column(1)
+    new = np.ones(len(lang), bool)
+    new[1:] = pc.or_(pc.not_equal(term[1:], term[:-1]), pc.not_equal(lang[1:], lang[:-1])).to_numpy(
+        zero_copy_only=False)
+    at, held = np.flatnonzero(new), pc.list_value_length(batch.column(3)).to_numpy()
+    source, names = codes(batch.column(3).flatten())
+    keys = np.repeat(np.cumsum(new) - 1, held) * len(names) + source
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    entry = np.flatnonzero(changes(keys))
+    bounds = np.searchsorted(keys[entry], np.arange(len(at) + 1) * len(names))
+    n = np.add.reduceat(batch.column(4).flatten().to_numpy()[order], entry)
+    return pa.RecordBatch.from_arrays([
+        lang.take(pa.array(at)), term.take(pa.array(at)),
+        pa.array(np.add.reduceat(batch.column(2).to_numpy(), at)),
+        listed(names.take(pa.array(source[order][entry])), bounds),
+        listed(pa.array(n), bounds)], COLUMNS)
+
+
+def gathered(
+    batches: Iterator[pa.RecordBatch], weight: Callable[[pa.RecordBatch], int], limit: int,
+) -> Iterator[pa.RecordBatch]:
+    """Several batches as one of at most that weight, unless a single one is heavier."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        if held and total + weight(batch) > limit:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        held.append(batch)
+        total += weight(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """TERMS of all documents of a task, as many of them at a time as AT_ONCE allows."""
+    parts = (rows for batch in batches for rows in rows_of(batch))
+    for chunk in gathered(parts, lambda b: b.nbytes + b.num_rows * (AT_ONCE // ROWS), AT_ONCE):
+        made = chunk_counts(chunk)
+        for start in range(0, made.num_rows, ROWS):
+            yield made.slice(start, ROWS)
+
+
+def frequent(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Sums of TERMS in order, of terms in at least so many documents of their language."""
+    last: list[pa.RecordBatch] = []
+    for batch in gathered(batches, lambda b: b.num_rows, ROWS):
+        if not batch.num_rows:
+            continue
+        made = added(pa.concat_batches([*last, batch]))
+        # The last term may go on in the next batch.
+        last = [made.slice(made.num_rows - 1)]
+        made = made.slice(0, made.num_rows - 1)
+        yield made.filter(pc.greater_equal(made.column(2), least))
+    for made in last:
+        yield made.filter(pc.greater_equal(made.column(2), least))
+
+
+def term_counts(docs: DataFrame, least: int) -> DataFrame:
+    """TERMS of the terms that at least so many documents of their language hold.
+
+    A task's counts leave it as one row per term and language, with its sources in
+    arrays, and meet those of other tasks in one shuffle, which spreads by term.
+    """
+    return (
+        docs.mapInArrow(counted, TERMS).repartition("lang", "term")
+        .sortWithinPartitions("term", "lang")
+        .mapInArrow(lambda batches: frequent(batches, least), TERMS))
 
 
 def spread_join(many: DataFrame, few: DataFrame, keys: list[str], by: str) -> DataFrame:
@@ -168,10 +274,10 @@ class Counts:
     def __init__(self, docs: DataFrame, least: int):
         lang = F.coalesce("lang", F.lit("")).alias("lang")
         source = F.coalesce("source", F.lit("")).alias("source")
-        counted = staged(term_counts(docs.select(lang, source, "text")), "terms")
-        vocabulary = counted.groupBy("lang", "term").agg(
-            F.sum("docs").alias("docs"), F.sum("n").alias("in_lang"),
-        ).where(F.col("docs") >= least)
+        occurrences = F.aggregate("n", F.lit(0).cast("long"), lambda a, b: a + b)
+        vocabulary = staged(
+            term_counts(docs.select(lang, source, "text"), least), "terms",
+        ).select("lang", "term", occurrences.alias("in_lang"), "sources", "n")
         sizes = vocabulary.groupBy("lang").agg(
             F.count("*").alias("terms"), F.sum("in_lang").alias("lang_total"))
         blocks = F.greatest(F.ceil(F.col("terms") / BLOCK), F.lit(1)).cast("long")
@@ -181,8 +287,10 @@ class Counts:
             spread_join(vocabulary, sizes, ["lang"], "term")
             .withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")))
             .withColumn("id", F.row_number().over(inside).cast("long"))
-            .select("lang", "term", "in_lang", "block", "id"))
-        self.kept = staged(counted.drop("docs").join(numbered, ["lang", "term"]), "kept")
+            .withColumn("held", F.explode(F.arrays_zip("sources", "n")))
+            .select("lang", F.col("held.sources").alias("source"), "term", "held.n", "in_lang",
+                    "block", "id"))
+        self.kept = staged(numbered, "kept")
         totals = self.kept.groupBy("lang", "source").agg(F.sum("n").alias("occurrences"))
         # One row per group, in one task per language.
         in_lang = Window.partitionBy("lang")

@@ -11,6 +11,7 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from sentencepiece import SentencePieceProcessor
 
-from stopover.llm import centroids, divergence, lattice, queries
+from stopover.llm import centroids, common, divergence, lattice, queries
 
 SF = "/root/testdata/sf0.01"
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
@@ -106,6 +107,57 @@ def test_divergence_of_odd_rows(spark, odd, empty, monkeypatch):
     assert divergence.audit(empty).collect() == []
 
 
+def documents_of(rows):
+    return pa.RecordBatch.from_pylist(rows, pa.schema(
+        [("lang", pa.string()), ("source", pa.string()), ("text", pa.string())]))
+
+
+def test_a_task_passes_a_term_on_once_for_all_sources():
+    rows = [{"lang": "en", "source": f"s{n % 20}", "text": "The cat, the"} for n in range(400)]
+    rows += [{"lang": "fr", "source": "s1", "text": t} for t in ("cat", None, "", " 7 ", "CAT é")]
+    made = pa.Table.from_batches(divergence.counted(iter([documents_of(rows)]))).to_pylist()
+    made = {(r["lang"], r["term"]): (r["docs"], r["sources"], set(r["n"])) for r in made}
+    names = [f"s{n}" for n in range(20)]
+    assert {k: (docs, sorted(own), n) for k, (docs, own, n) in made.items()} == {
+        ("en", "the"): (400, sorted(names), {40}), ("en", "cat"): (400, sorted(names), {20}),
+        ("fr", "cat"): (2, ["s1"], {2}), ("fr", "é"): (1, ["s1"], {1})}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.fixed_dictionaries({
+    "lang": st.sampled_from(["", "x", "y"]), "source": st.sampled_from(["", "s", "t"]),
+    "text": st.none() | st.text("aBb é東\n1", max_size=12)}), max_size=40), st.integers(1, 3))
+def test_counts_do_not_depend_on_how_rows_are_cut(rows, least):
+    docs, occurrences = Counter(), {}
+    for row in rows:
+        terms = [t.lower() for t in re.findall("[aBbé東]+", row["text"] or "")]
+        docs.update((row["lang"], t) for t in set(terms))
+        for term in terms:
+            occurrences.setdefault((row["lang"], term), Counter())[row["source"]] += 1
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(common, "ROWS_AT_ONCE", 2)
+        patch.setattr(divergence, "AT_ONCE", 160)
+        patch.setattr(divergence, "ROWS", 4)
+        cut = [documents_of(rows[at:at + 9]) for at in range(0, len(rows), 9)]
+        told = [row for made in divergence.counted(iter(cut)) for row in made.to_pylist()]
+        told.sort(key=lambda r: (r["term"], r["lang"]))
+        schema = divergence.chunk_counts(documents_of([])).schema
+        ordered = [pa.RecordBatch.from_pylist(told[at:at + 3], schema)
+                   for at in range(0, len(told), 3)]
+        got = [row for made in divergence.frequent(iter(ordered), least)
+               for row in made.to_pylist()]
+    assert {(r["lang"], r["term"]): (r["docs"], Counter(dict(zip(r["sources"], r["n"]))))
+            for r in got} == {k: (n, occurrences[k]) for k, n in docs.items() if n >= least}
+    assert len(got) == sum(n >= least for n in docs.values())
+
+
+def test_terms_are_shuffled_by_language_and_term(spark):
+    docs = spark.createDataFrame([("en", "s", "a b")], "lang string, source string, text string")
+    plan = divergence.term_counts(docs, 1)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(lang") == plan.count("Exchange ") == 1
+    assert "Aggregate" not in plan
+
+
 # Lattice
 
 @pytest.fixture(scope="module")
