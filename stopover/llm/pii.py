@@ -103,7 +103,9 @@ def base_spans(text: str) -> list[Span]:
 
 
 AT = re.compile(r"\s?(?:\(at\)|\[at\]|\{at\}|@|&#64;|&#x40;|&commat;)\s?| at |_at_", re.IGNORECASE)
-RIGHT = re.compile(r"[\w-]+(?:(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\[\.\])\s?| dot |\.)[\w-]+)+",
+# The first part of a domain, and the others; no dot begins like a part.
+PART = re.compile(r"[\w-]+")
+PARTS = re.compile(r"(?:(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\[\.\])\s?| dot |\.)[\w-]+)+",
                    re.IGNORECASE)
 BROKEN_IP = re.compile(r"[0-9]{1,3}(?:(?:\[\.\]|\(\.\)| ?\[dot\] ?| dot |\. )[0-9]{1,3}){3}",
                        re.IGNORECASE)
@@ -115,12 +117,16 @@ FILE = re.compile(r"\.(?:py|js|ts|txt|md|html?|json|csv|java|cpp|[ch]|sh|pdf|png
 DOTS, LATIN = (" dot ", " (dot) ", " [dot] ", "(dot)", "[dot]", "{dot}", "[.]"), "\u0250"
 
 
-def name_start(text: str, end: int) -> int:
-    """Where the name that ends at ``end`` begins, however long; no mark lies in a name."""
+def name_start(text: str, end: int, known: tuple[int, int] = (0, 0)) -> int:
+    """Where the name that ends at ``end`` begins, however long.
+
+    ``known`` is an end before it and where the name there begins: of marks within
+    one name (``_at_``) each is looked at from the one before it.
+    """
     start = end
-    while start and (text[start - 1].isalnum() or text[start - 1] in "_.%+-"):
+    while start > known[0] and (text[start - 1].isalnum() or text[start - 1] in "_.%+-"):
         start -= 1
-    return start
+    return known[1] if start == known[0] else start
 
 
 def written_start(text: str, start: int) -> int:
@@ -142,13 +148,20 @@ def is_ip6(text: str) -> bool:
 
 def candidates(text: str) -> Iterator[Span]:
     """Spans that may be personal data, many of them not."""
+    # End of the part that marks were last followed by, of its domain (0: none), and a known name.
+    stop, right, known = 0, 0, (0, 0)
     for m in AT.finditer(text):
-        right = RIGHT.match(text, m.end())
-        start = name_start(text, m.start()) if right else m.start()
+        if m.end() >= stop:
+            part = PART.match(text, m.end())
+            parts = PARTS.match(text, part.end()) if part else None
+            stop, right = part.end() if part else 0, parts.end() if parts else 0
+        start = name_start(text, m.start(), known) if right else m.start()
+        if right:
+            known = m.start(), start
         if start < m.start():
             if (first := written_start(text, start)) < start:
-                yield first, 0, right.end()
-            yield start, 0, right.end()
+                yield first, 0, right
+            yield start, 0, right
     if not DIGIT.search(text):
         return
     if ":" in text:

@@ -281,6 +281,12 @@ def test_candidates_of_long_texts_take_no_longer():
             pass
 
 
+def test_marks_within_one_name():
+    text = "é+x_at__at_y_at_b.c-d dot e f_at_g"
+    assert [*pii.candidates(text)] == [(0, 0, 27)] * 3
+    assert [*pii.candidates("_at_" * 40_000 + "b.c")] == [(0, 0, 160_003)] * 39_999
+
+
 def test_threshold_is_the_lowest_with_the_precision():
     scores, truth = np.array([0.9, 0.8, 0.8, 0.7, 0.6, 0.55]), np.array([1, 1, 1, 1, 1, 0.0])
     assert np.isclose(pii.lowest(scores, truth), 0.575)
