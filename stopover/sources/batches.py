@@ -3,7 +3,9 @@
 A file that cannot be read costs itself and nothing else. Files up to a stated
 size are read whole, one row each, by a scan that leaves out what it cannot read: a
 file that is listed and has no row is unreadable, and it never counts half. So any
-number of bad files is found by the one scan that reads the good ones. Larger
+number of bad files is found by the one scan that reads the good ones. Packed ones
+(gzip) are read as they are and unpacked piece by piece, first to see that they are whole and
+then for their lines, as their text may be many times as large. Larger
 files are read by line and strictly; the error names the file.
 
 ``land`` does so in batches. A batch is written to a folder of its own and then
@@ -14,9 +16,12 @@ could not be read before.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,11 +35,15 @@ from stopover.sources.snapshots import (
 
 # Bytes of the largest file that is read whole (packed ones grow), and limits of a batch.
 LARGEST = 32 << 20
+# Bytes of a packed file unpacked at once, of text kept from the look at the whole file to its
+# lines, and of lines that go on together.
+PIECE, KEPT, LINES = 64 << 10, 32 << 20, 4 << 20
 BATCH_BYTES, BATCH_FILES = 64 << 30, 10_000
 
 LOG = ("file_path string, fetch_date string, length bigint, modified timestamp, records bigint, "
        "state string")
 READ, UNREADABLE = "read", "unreadable"
+_OWN = ["fetch_date", "search_date", "file_path", "landed_at"]
 
 
 def _texts(whole: Column, multi_line: bool) -> Column:
@@ -49,32 +58,114 @@ def _one_of(paths: list[str]) -> Column:
     return F.expr(f"_metadata.file_path in ({', '.join(named)})") if named else F.lit(False)
 
 
+def _unpacked(packed: memoryview) -> Iterator[bytes]:
+    """The text of gzip members, in pieces; an error if one is broken or cut off."""
+    at = 0
+    while at < len(packed):
+        member = zlib.decompressobj(wbits=31)
+        while not member.eof:
+            piece = packed[at:at + PIECE]
+            if not piece:
+                raise EOFError("cut off")
+            yield member.decompress(piece)
+            at += len(piece) - len(member.unused_data)
+
+
+def _whole(packed: memoryview) -> Iterable[bytes]:
+    """``_unpacked``, once all of it has been; a long text is unpacked anew."""
+    kept, size = [], 0
+    for piece in _unpacked(packed):
+        size += len(piece)
+        if size <= KEPT:
+            kept.append(piece)
+        else:
+            kept.clear()
+    return kept if size <= KEPT else _unpacked(packed)
+
+
+def _lines(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    """Lines that are not blank."""
+    begun: list[bytes] = []
+    for piece in pieces:
+        if b"\r" in piece:
+            piece = piece.replace(b"\r", b"\n")
+        end, *more = piece.split(b"\n")
+        begun.append(end)
+        for line in more:
+            yield b"".join(begun)
+            begun = [line]
+    yield b"".join(begun)
+
+
+def _as_text(lines: list[bytes]) -> pa.Array:
+    texts = pa.array(lines, pa.binary())
+    try:
+        return texts.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([line.decode(errors="replace") for line in lines], pa.string())
+
+
+def _lines_of_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_OWN, line`` of the files that are whole; a null line for one without any."""
+
+    def rows(batch: pa.RecordBatch, number: int, texts: pa.Array) -> pa.RecordBatch:
+        own = batch.select(_OWN).take(pa.array(np.full(len(texts), number)))
+        return pa.RecordBatch.from_arrays([*own.columns, texts], [*_OWN, "line"])
+
+    for batch in batches:
+        for number, packed in enumerate(batch.column("content")):
+            try:
+                pieces = _whole(memoryview(packed.as_buffer()))
+            except (zlib.error, EOFError):
+                continue
+            held, size, none = [], 0, True
+            for line in _lines(pieces):
+                if line.strip(b" "):
+                    held.append(line)
+                    size += len(line)
+                    none = False
+                if size >= LINES:
+                    yield rows(batch, number, _as_text(held))
+                    held, size = [], 0
+            if none:
+                yield rows(batch, number, pa.nulls(1, pa.string()))
+            elif held:
+                yield rows(batch, number, _as_text(held))
+
+
 def _whole_files(
     spark: SparkSession, paths: str | list[str], schema: str, multi_line: bool, files: str,
     chosen: Column,
 ) -> DataFrame:
     """``read_apart`` for those files that ``chosen``, a filter on ``_metadata``, names."""
-    whole = (
-        spark.read.format("text")
-        .option("wholetext", True)
-        .option("ignoreCorruptFiles", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", files)
-        .load(paths)
-        .where(chosen)
-        .select("value", *lineage())
-    )
-    own = ["fetch_date", "search_date", "file_path", "landed_at"]
-    lines = whole.select(*own, F.explode_outer(_texts(F.col("value"), multi_line)).alias("line"))
+    def scan(kind: str, some: Column) -> DataFrame:
+        return (
+            spark.read.format(kind)
+            .option("wholetext", kind == "text")
+            .option("ignoreCorruptFiles", True)
+            .option("recursiveFileLookup", True)
+            .option("pathGlobFilter", files)
+            .load(paths)
+            .where(chosen & some)
+        )
+
+    # With ``multi_line`` the text is one value whatever it comes from.
+    packed = F.lit(False) if multi_line else F.col("_metadata.file_path").endswith(".gz")
+    whole = scan("text", ~packed).select("value", *lineage())
+    lines = whole.select(*_OWN, F.explode_outer(_texts(F.col("value"), multi_line)).alias("line"))
+    if not multi_line:
+        lines = lines.unionByName(
+            scan("binaryFile", packed).select("content", *lineage()).mapInArrow(
+                _lines_of_packed, lines.schema))
     # A text that is an array holds several records; one that is cut off stays one text.
     entries = F.when(F.col("line").rlike(r"^\ufeff?\s*\["), F.from_json("line", "array<string>"))
-    texts = lines.select(*own, F.explode_outer(
+    texts = lines.select(*_OWN, F.explode_outer(
         F.coalesce(entries, F.array(F.ltrim("line", F.lit("\ufeff"))))).alias("text"))
     record = F.from_json("text", f"{schema}, {CORRUPT} string",
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     return texts.select(
-        record.alias("_record"), *own, F.col("text").isNotNull().alias("is_record"),
-    ).select("_record.*", *own, "is_record")
+        record.alias("_record"), *_OWN, F.col("text").isNotNull().alias("is_record"),
+    ).select("_record.*", *_OWN, "is_record")
 
 
 def read_apart(

@@ -289,3 +289,36 @@ def test_file_changes_by_length_or_time(spark):
                                  ("f", "d", 1, "t")], columns)
     assert values(file_changes(now, known)) == [
         ("d", "b", "changed"), ("d", "c", "changed"), ("d", "e", "vanished"), ("d", "f", "new")]
+
+
+def test_text_of_packed_files_is_never_held_whole(spark, tmp_path):
+    """The text is longer than any value can be, the files have 2 MB; one breaks off at its end."""
+    ends = [gzip.compress(line(n).encode()) for n in (1, 2)]
+    blank = gzip.compress(b" " * (64 << 20) + b"\r\n", 1)
+    whole = ends[0] + blank * 35 + ends[1]
+    file(tmp_path, "2031-01-01", "whole.json.gz", whole)
+    file(tmp_path, "2031-01-01", "cut.json.gz", whole[:-1])
+    rows = read_apart(spark, str(tmp_path), SMALL, files=ALL)
+    assert values(rows.select(F.element_at(F.split("file_path", "/"), -1), "data.a")) == [
+        ("whole.json.gz", 1), ("whole.json.gz", 2)]
+
+
+def test_packed_files_are_read_as_plain_ones(spark, tmp_path):
+    """Line ends, blank lines, several members, odd bytes, arrays; broken in several places."""
+    text = ("﻿" + line(1) + "\r\n \r" + line(2) + "[" + line(3) + "]\n[1\n" + "ü₹\n" * 3).encode()
+    good = {"members": gzip.compress(text[:7]) + gzip.compress(text[7:]), "plain": gzip.compress(text),
+            "odd": gzip.compress(b'{"status": "\xff\xe2\x82"}\n' + text), "none": gzip.compress(b""),
+            "blank": gzip.compress(b"\n \r\n"), "no end": gzip.compress(text.rstrip())}
+    bad = {"rest": good["plain"] + b"\0", "sum": good["plain"][:-8] + b"\0" * 8,
+           "cut": good["plain"][:-1], "head": good["plain"] + good["plain"][:5], "text": text}
+    for name, raw in {**good, **bad}.items():
+        file(tmp_path / "packed", "2031-01-01", f"{name}.json.gz", raw)
+    for name, raw in good.items():
+        file(tmp_path / "plain", "2031-01-01", f"{name}.json", gzip.decompress(raw))
+    name = F.regexp_extract("file_path", r"([^/]+)\.json", 1).alias("name")
+    columns = ["status", "data", "_corrupt_record", "fetch_date", "is_record", name]
+    packed, plain = (values(read_apart(spark, str(tmp_path / kind), SMALL, files=ALL).select(columns))
+                     for kind in ("packed", "plain"))
+    # Files of no bytes are not listed, packed ones of no text are.
+    extra = (None, None, None, "2031-01-01", False, "none")
+    assert packed == sorted([*plain, extra], key=repr)
